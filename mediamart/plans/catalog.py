@@ -31,7 +31,7 @@ from mediamart.plans.workbench import LAKE_DATASETS, Workbench
 from mediamart.session import scratch_path
 from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
 from mediamart.sinks.serve import file_stats, serve_projection
-from mediamart.sources.tsv import TSV_OPTIONS, read_tsv
+from mediamart.sources.tsv import read_tsv
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -596,8 +596,11 @@ def q_top_billed(spark, sf_dir):
 
 # ================================================================= TSV
 def _write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    # Writer side of the raw format: keep blanks as they are (the writer
+    # trims by default) and write NULL as the sentinel.
     w = (df.write.mode("overwrite").option("sep", "\t").option("header", "true")
-         .option("nullValue", specs.NULL_SENTINEL).option("quote", "").option("escape", ""))
+         .option("nullValue", specs.NULL_SENTINEL).option("quote", "").option("escape", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
