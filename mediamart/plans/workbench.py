@@ -30,7 +30,7 @@ class Workbench:
     def __init__(self, spark: SparkSession, sf_dir: str, buckets: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.buckets = buckets or max(8, spark.sparkContext.defaultParallelism)
+        self.buckets = buckets   # None: range-partitioned serving tables (see sinks.serve)
         self._lake_root: str | None = None
         self._serve: tuple[str, str, dict] | None = None
 

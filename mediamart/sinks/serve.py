@@ -6,10 +6,20 @@ shared folder, each:
 * projected to the declared serving columns (P12; an absent column is an
   error), cast to the declared types (P10) and with NULLs filled in
   non-nullable columns (P11);
-* bucketed on its join key and sorted inside each bucket file by its sort
-  key (O6), so joins between serving tables on that key need no exchange,
-  and Parquet min/max statistics skip row groups on sort-key ranges;
-* partitioned like the reference's store (titleType/decade, category, region).
+* partitioned like the reference's store (titleType/decade, category, region);
+* range-partitioned on (partition columns + sort key) and sorted inside each
+  file (O6), so every file covers its own contiguous key range and Parquet
+  min/max statistics skip files and row groups on sort-key ranges.
+
+Layout and skew. Range partitioning samples the key distribution, and the
+sort keys end in a (nearly) unique column, so even a value holding a third
+of all rows is cut into many similar-size files; AQE then coalesces tiny
+ranges. Joins between serving tables are shuffled (or broadcast under the
+size threshold), which lets AQE split a hot join key across tasks.
+Bucketing on the join key (``buckets=N``) removes the join exchanges
+instead, but every row of a key must then sit in one bucket: a key with a
+third of the rows becomes one unsplittable write and read task. It is
+therefore opt-in, for keys known to be evenly spread.
 
 Spark has no unsigned integers: serving keeps the lake's signed type and
 *counts* values outside the declared unsigned range instead of wrapping
@@ -52,29 +62,36 @@ def ensure_database(spark: SparkSession, db: str, location: str) -> None:
 
 
 def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db: str, root: str,
-                  buckets: int, mode: str = "overwrite") -> dict:
-    """Project, check and write one serving table; returns its load stats.
-
-    ``repartition(buckets, key)`` uses the same hash as ``bucketBy``, so each
-    write task produces exactly one bucket file per partition directory."""
+                  buckets: int | None = None, mode: str = "overwrite") -> dict:
+    """Project, check and write one serving table; returns its load stats."""
     t0 = time.time()
     out = serve_projection(lake_df, spec)
+    parts = list(spec.serve_partition_by)
+    sort_cols = [c for c in spec.sort_by if c not in parts]
+    if buckets:
+        # same hash as bucketBy: one file per bucket per partition directory
+        laid_out = out.repartition(buckets, *spec.bucket_by)
+    else:
+        # no explicit count: AQE may coalesce the ranges to the advisory size
+        laid_out = out.repartitionByRange(*parts, *sort_cols).sortWithinPartitions(*parts, *sort_cols)
+    # Observed after the exchange: the range sampler's extra pass over the
+    # input must not be counted.
     obs = Observation(f"serve_{spec.name}_{int(t0 * 1000)}")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *range_violations(out, spec))
-    sort_cols = [c for c in spec.sort_by if c not in spec.serve_partition_by]
-    writer = (out.repartition(buckets, *spec.bucket_by).write.mode(mode)
-              .format("parquet").option("compression", "snappy")
+    laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *range_violations(out, spec))
+    writer = (laid_out.write.mode(mode).format("parquet").option("compression", "snappy")
               .option("path", f"{root.rstrip('/')}/{spec.name}"))
-    if spec.serve_partition_by:
-        writer = writer.partitionBy(*spec.serve_partition_by)
-    writer.bucketBy(buckets, *spec.bucket_by).sortBy(*sort_cols).saveAsTable(f"`{db}`.`{spec.name}`")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    if buckets:
+        writer = writer.bucketBy(buckets, *spec.bucket_by).sortBy(*sort_cols)
+    writer.saveAsTable(f"`{db}`.`{spec.name}`")
     stats = dict(obs.get)
     stats["elapsed_s"] = time.time() - t0
     return stats
 
 
 def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[str, DatasetSpec],
-                 db: str, root: str, datasets: list[str] | None = None, buckets: int = 8,
+                 db: str, root: str, datasets: list[str] | None = None, buckets: int | None = None,
                  mode: str = "overwrite") -> dict[str, dict]:
     """K5/K6/K7: load the chosen datasets (default all). ``mode='overwrite'``
     replaces the table (idempotent re-run); ``'append'`` adds rows. A
