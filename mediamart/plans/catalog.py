@@ -624,6 +624,47 @@ def q_scan_tsv_gz(spark, sf_dir):
     return clean(raw, specs.PRINCIPALS)
 
 
+# ====================================================== views, end to end
+@register("top_titles_view", served(f"""
+    SELECT tconst, primaryTitle, startYear, primaryGenre, averageRating, numVotes, decade
+    FROM titles_s WHERE titleType = 'movie' AND numVotes >= {MIN_VOTES_TOP} AND averageRating IS NOT NULL""",
+    "titles_s"), "V1 as a catalog view over the serving tables, queried in SQL")
+def q_top_titles_view(spark, sf_dir):
+    db, _, _ = wb(spark, sf_dir).serving()
+    marts.create_views(spark, db, "movie", MIN_VOTES_TOP, "director")
+    return spark.sql(f"SELECT * FROM `{db}`.top_titles")
+
+
+@register("filmography_view", served("""
+    SELECT p.nconst, p.primaryName, t.tconst, t.primaryTitle, t.startYear, t.primaryGenre,
+           t.averageRating, t.numVotes
+    FROM principals_s pr JOIN titles_s t ON t.tconst = pr.tconst JOIN people_s p ON p.nconst = pr.nconst
+    WHERE pr.category = 'director'""", "principals_s", "titles_s", "people_s"),
+    "V2 as a catalog view over the serving tables, queried in SQL")
+def q_filmography_view(spark, sf_dir):
+    db, _, _ = wb(spark, sf_dir).serving()
+    marts.create_views(spark, db, "movie", MIN_VOTES_TOP, "director")
+    return spark.sql(f"SELECT * FROM `{db}`.role_filmography")
+
+
+@register("tsv_end_to_end", served("""
+    SELECT decade, round(avg(averageRating), 2) AS avg_rating, count(*) AS total_movies
+    FROM titles_s WHERE titleType = 'movie' AND decade IS NOT NULL GROUP BY decade""", "titles_s"),
+    "All five raw sources as TSV (ratings gzip) -> etl -> load -> Q1")
+def q_tsv_end_to_end(spark, sf_dir):
+    from mediamart.pipeline import etl, load
+    w = wb(spark, sf_dir)
+    raw_dir = scratch_path(spark, "raw")
+    for name, spec in specs.SOURCES.items():
+        gz = name == "ratings"
+        _write_tsv(w.raw(name), f"{raw_dir}/{spec.file_stem}" + (".gz" if gz else ""), "gzip" if gz else None)
+    lake_dir = raw_dir.rsplit("/", 1)[0] + "/lake"
+    etl(spark, raw_dir, lake_dir, check_header=True)
+    db = "mm_e2e_" + raw_dir.rstrip("/").split("/")[-2][:10]
+    load(spark, lake_dir, raw_dir.rsplit("/", 1)[0] + "/serve", db, verify=False)
+    return marts.rating_by_decade(spark.table(f"`{db}`.titles"))
+
+
 def queries() -> dict[str, Builder]:
     return {name: q.build for name, q in REGISTRY.items()}
 

@@ -97,13 +97,14 @@ def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[st
     replaces the table (idempotent re-run); ``'append'`` adds rows. A
     dataset whose lake input is missing is skipped with zero stats."""
     ensure_database(spark, db, f"{root.rstrip('/')}/_db")
-    stats = {}
+    stats, loaded = {}, []
     for name in datasets or list(lake):
         if lake.get(name) is None:
             stats[name] = {"rows": 0, "files": 0, "elapsed_s": 0.0}
             continue
         stats[name] = write_serving(spark, lake[name], specs[name], db, root, buckets, mode)
-    require_tables(spark, db, list(stats))
+        loaded.append(name)
+    require_tables(spark, db, loaded)
     return stats
 
 
