@@ -88,7 +88,7 @@ AKAS_RAW = RawAnalog("akas", "documents", (
     ("title", "text"),
     ("region", "CASE source WHEN 'src0' THEN NULL WHEN 'src1' THEN '' ELSE upper(source) END"),
     ("language", "CASE lang WHEN 'es' THEN NULL ELSE lang END"),
-    ("types", "CASE lang WHEN 'en' THEN 'imdbDisplay' WHEN 'fr' THEN 'alternative,working' END"),
+    ("types", "CASE lang WHEN 'en' THEN 'display' WHEN 'fr' THEN 'alternative,working' END"),
     ("attributes", "CASE lang WHEN 'de' THEN 'literal title' END"),
     ("isOriginalTitle", "CASE WHEN lang = 'en' THEN '1' ELSE '0' END"),
 ))
