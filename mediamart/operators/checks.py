@@ -81,12 +81,12 @@ def reconcile(lake: DataFrame, serve: DataFrame, spec: DatasetSpec) -> DataFrame
                     "out_of_range", "duplicate_keys"))
 
 
-def storage_report(files: dict[str, DataFrame]) -> DataFrame:
-    """Bytes, files and rows per table with a readable size. ``files``
-    maps table name -> output of ``sinks.serve.file_stats``."""
-    per_table = _union([f.select(F.lit(name).alias("tbl"), "file_size", "rows")
-                        for name, f in files.items()])
-    return (per_table.groupBy("tbl")
+def storage_report(files: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """Bytes, files and rows per (layer, table) with a readable size.
+    ``files`` maps (layer, table) -> output of ``sinks.serve.file_stats``."""
+    per_table = _union([f.select(F.lit(layer).alias("layer"), F.lit(name).alias("tbl"), "file_size", "rows")
+                        for (layer, name), f in files.items()])
+    return (per_table.groupBy("layer", "tbl")
             .agg(F.sum("file_size").alias("bytes"), F.count(F.lit(1)).alias("files"),
                  F.sum("rows").alias("rows"))
             .withColumn("disk_size", readable_size("bytes")))

@@ -487,10 +487,12 @@ def q_distinct_types(spark, sf_dir):
     return wb(spark, sf_dir).titles().select("titleType").distinct().orderBy("titleType")
 
 
-@register("storage_report", None, "A8 bytes, files and rows per lake dataset with readable size")
+@register("storage_report", None, "A8 bytes, files and rows per lake dataset and serving table, readable size")
 def q_storage_report(spark, sf_dir):
     w = wb(spark, sf_dir)
-    return checks.storage_report({n: file_stats(spark, w.lake(n)) for n in LAKE_DATASETS})
+    files = {("lake", n): file_stats(spark, w.lake(n)) for n in LAKE_DATASETS}
+    files.update({("serve", n): file_stats(spark, w.serve(n)) for n in LAKE_DATASETS})
+    return checks.storage_report(files)
 
 
 # ============================================================== checks

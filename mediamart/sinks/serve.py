@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mediamart.functions import out_of_range
+from mediamart.sinks.lake import MAX_RECORDS_PER_FILE
 from mediamart.specs import DatasetSpec
 
 
@@ -79,6 +80,7 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     obs = Observation(f"serve_{spec.name}_{int(t0 * 1000)}")
     laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *range_violations(out, spec))
     writer = (laid_out.write.mode(mode).format("parquet").option("compression", "snappy")
+              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
               .option("path", f"{root.rstrip('/')}/{spec.name}"))
     if parts:
         writer = writer.partitionBy(*parts)
