@@ -27,6 +27,7 @@ def write_lake(df: DataFrame, path: str, partition_by: tuple[str, ...] | list[st
     (an idempotent full rebuild) or append."""
     out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     (out.write.mode(mode)
+     .option("partitionOverwriteMode", "static")   # whatever the session default is
      .option("compression", "snappy")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*partition_by)
