@@ -129,3 +129,22 @@ def test_row_loss_counts(spark):
                                 specs.PEOPLE.raw_schema)
     r = checks.row_loss(raw, clean(raw, specs.PEOPLE), specs.PEOPLE).first()
     assert (r.rows_in, r.rows_out, r.null_key_rows) == (2, 1, 1)
+
+
+def test_enrichment_broadcasts_small_ratings_and_shuffles_when_large(spark):
+    from mediamart.plans.workbench import Workbench
+    from tests.conftest import SF_SMALL
+    df = Workbench.get(spark, SF_SMALL).titles()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftOuter, BuildRight" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = Workbench.get(spark, SF_SMALL).titles()
+        big.collect()
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
