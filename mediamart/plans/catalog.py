@@ -426,13 +426,14 @@ def q_serve_reload_idempotent(spark, sf_dir):
     return checks.tagged_counts(tables).withColumnRenamed("rows", "row_count")
 
 
-@register("serve_load_stats", None, "K8 per-dataset load statistics (rows, range violations, time)")
+@register("serve_load_stats", None, "K8 per-dataset load statistics (rows, files, range violations, time)")
 def q_serve_load_stats(spark, sf_dir):
     _, _, stats = wb(spark, sf_dir).serving()
-    rows = [(name, int(s.get("rows", 0)),
+    rows = [(name, int(s.get("rows", 0)), int(s.get("files", 0)),
              int(sum(v for k, v in s.items() if k.startswith("out_of_range_") and v is not None)),
              float(s.get("elapsed_s", 0.0))) for name, s in stats.items()]
-    return spark.createDataFrame(rows, "dataset string, row_count long, out_of_range long, elapsed_s double")
+    return spark.createDataFrame(
+        rows, "dataset string, row_count long, files long, out_of_range long, elapsed_s double")
 
 
 @register("serve_sorted", served("""

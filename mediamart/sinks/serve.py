@@ -89,6 +89,8 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     writer.saveAsTable(f"`{db}`.`{spec.name}`")
     stats = dict(obs.get)
     stats["elapsed_s"] = time.time() - t0
+    # file count from Spark's file index (a listing, no data read)
+    stats["files"] = len(spark.table(f"`{db}`.`{spec.name}`").inputFiles())
     return stats
 
 
