@@ -31,7 +31,7 @@ from mediamart.plans.workbench import LAKE_DATASETS, Workbench
 from mediamart.session import scratch_path
 from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
 from mediamart.sinks.serve import file_stats, serve_projection
-from mediamart.sources.tsv import read_tsv
+from mediamart.sources.tsv import read_tsv, write_tsv
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -598,22 +598,11 @@ def q_top_billed(spark, sf_dir):
 
 
 # ================================================================= TSV
-def _write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
-    # Writer side of the raw format: keep blanks as they are (the writer
-    # trims by default) and write NULL as the sentinel.
-    w = (df.write.mode("overwrite").option("sep", "\t").option("header", "true")
-         .option("nullValue", specs.NULL_SENTINEL).option("quote", "").option("escape", "")
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
-    if compression:
-        w = w.option("compression", compression)
-    w.csv(path)
-
-
 @register("scan_tsv", with_ctes("SELECT * FROM basics", "basics"),
           "S1/S3/S4 raw basics written as TSV (\\N nulls, header) then read under the declared schema")
 def q_scan_tsv(spark, sf_dir):
     base = scratch_path(spark, "tsv")
-    _write_tsv(wb(spark, sf_dir).raw("basics"), f"{base}/{specs.BASICS.file_stem}")
+    write_tsv(wb(spark, sf_dir).raw("basics"), f"{base}/{specs.BASICS.file_stem}")
     raw = read_tsv(spark, f"{base}/{specs.BASICS.file_stem}", specs.BASICS, check_header=True)
     return clean(raw, specs.BASICS)
 
@@ -622,7 +611,7 @@ def q_scan_tsv(spark, sf_dir):
           "S2 gzip TSV found through the .gz fallback, one task per file, rebalanced")
 def q_scan_tsv_gz(spark, sf_dir):
     base = scratch_path(spark, "tsvgz")
-    _write_tsv(wb(spark, sf_dir).raw("principals"), f"{base}/{specs.PRINCIPALS.file_stem}.gz", "gzip")
+    write_tsv(wb(spark, sf_dir).raw("principals"), f"{base}/{specs.PRINCIPALS.file_stem}.gz", "gzip")
     raw = read_tsv(spark, f"{base}/{specs.PRINCIPALS.file_stem}", specs.PRINCIPALS)
     return clean(raw, specs.PRINCIPALS)
 
@@ -660,7 +649,7 @@ def q_tsv_end_to_end(spark, sf_dir):
     raw_dir = scratch_path(spark, "raw")
     for name, spec in specs.SOURCES.items():
         gz = name == "ratings"
-        _write_tsv(w.raw(name), f"{raw_dir}/{spec.file_stem}" + (".gz" if gz else ""), "gzip" if gz else None)
+        write_tsv(w.raw(name), f"{raw_dir}/{spec.file_stem}" + (".gz" if gz else ""), "gzip" if gz else None)
     lake_dir = raw_dir.rsplit("/", 1)[0] + "/lake"
     etl(spark, raw_dir, lake_dir, check_header=True)
     db = "mm_e2e_" + raw_dir.rstrip("/").split("/")[-2][:10]

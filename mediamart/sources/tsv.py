@@ -83,3 +83,15 @@ def read_tsv(spark: SparkSession, path: str, spec: DatasetSpec, check_header: bo
         parts = max(spark.sparkContext.defaultParallelism, -(-size * 4 // target_partition_bytes))
         df = df.repartition(int(parts))
     return df
+
+
+def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write a DataFrame of strings in the same raw format (header, tab,
+    NULL as the sentinel, no quoting). Blanks are kept as they are: the CSV
+    writer would trim them by default."""
+    w = (df.write.mode("overwrite").option("sep", "\t").option("header", "true")
+         .option("nullValue", NULL_SENTINEL).option("quote", "").option("escape", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+    if compression:
+        w = w.option("compression", compression)
+    w.csv(path)

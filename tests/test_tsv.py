@@ -151,3 +151,12 @@ def test_gzip_read_is_rebalanced(spark, tmp):
     df = read_tsv(spark, os.path.join(tmp, "title.ratings.tsv"), specs.RATINGS)
     assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert df.agg(F.count(F.lit(1))).first()[0] == 2000
+
+
+def test_write_then_read_keeps_blanks_and_nulls(spark, tmp):
+    from mediamart.sources.tsv import write_tsv
+    df = spark.createDataFrame([("tt1", "  ", None), ("tt2", "q\"x", "a\\b")], specs.RATINGS.raw_schema)
+    path = os.path.join(tmp, "title.ratings.tsv")
+    write_tsv(df, path)
+    back = sorted(tuple(r) for r in read_tsv(spark, path, specs.RATINGS).collect())
+    assert back == [("tt1", "  ", None), ("tt2", "q\"x", "a\\b")]
