@@ -3,7 +3,6 @@ and AQE splits the hot join partition across several tasks."""
 
 from pyspark.sql import functions as F
 
-from mediamart import specs
 from mediamart.plans import marts
 
 
