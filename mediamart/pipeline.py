@@ -61,7 +61,8 @@ def etl(spark: SparkSession, input_dir: str, output_dir: str, datasets: list[str
 
 
 def load(spark: SparkSession, lake_dir: str, serve_root: str, db: str, only: list[str] | None = None,
-         truncate: bool = True, buckets: int | None = None, verify: bool = True) -> dict:
+         truncate: bool = True, buckets: int | None = None, verify: bool = True,
+         layout: str = "range") -> dict:
     """Load serving tables from the lake. ``truncate`` (default) replaces
     the tables, so a re-run never duplicates; ``truncate=False`` appends.
     Returns per-dataset statistics and, with ``verify``, the tagged row
@@ -72,7 +73,7 @@ def load(spark: SparkSession, lake_dir: str, serve_root: str, db: str, only: lis
         path = f"{lake_dir.rstrip('/')}/{name}"
         lake[name] = read_lake(spark, path, specs.LAKE[name]) if _fs_exists(spark, path) else None
     stats = load_serving(spark, lake, specs.LAKE, db, serve_root, chosen, buckets=buckets,
-                         mode="overwrite" if truncate else "append")
+                         mode="overwrite" if truncate else "append", layout=layout)
     result = {"stats": stats}
     if verify:
         present = {n: read_serving(spark, db, n) for n in chosen if lake[n] is not None}

@@ -7,19 +7,27 @@ shared folder, each:
   error), cast to the declared types (P10) and with NULLs filled in
   non-nullable columns (P11);
 * partitioned like the reference's store (titleType/decade, category, region);
-* range-partitioned on (partition columns + sort key) and sorted inside each
-  file (O6), so every file covers its own contiguous key range and Parquet
-  min/max statistics skip files and row groups on sort-key ranges.
-
-Layout and skew. Range partitioning samples the key distribution, and the
-sort keys end in a (nearly) unique column, so even a value holding a third
-of all rows is cut into many similar-size files; AQE then coalesces tiny
-ranges. Joins between serving tables are shuffled (or broadcast under the
-size threshold), which lets AQE split a hot join key across tasks.
-Bucketing on the join key (``buckets=N``) removes the join exchanges
-instead, but every row of a key must then sit in one bucket: a key with a
-third of the rows becomes one unsplittable write and read task. It is
-therefore opt-in, for keys known to be evenly spread.
+* sorted by its sort key inside every file (O6), so Parquet min/max
+  statistics let a reader skip row groups outside a sort-key range.
+
+Layouts (``layout=``):
+
+* ``"range"`` (default): range-partitioned on (partition columns + sort
+  key), then sorted. Files hold disjoint key ranges, so a range or point
+  filter reads one file's row groups and only the footers of the others.
+  Costs one sampling pass over the input at load time (write once, read
+  many). The sort keys end in a (nearly) unique column, so a value holding a
+  third of all rows is still cut into many similar-size ranges.
+* ``"rebalance"``: one pass, no sampling; rows are rebalanced on the
+  partition columns (AQE splits any oversized partition, whatever its keys)
+  and sorted per file. Files overlap in key range but each is sorted.
+
+Joins between serving tables are shuffled (or broadcast under the size
+threshold), which lets AQE split a hot join key across tasks. Bucketing on
+the join key (``buckets=N``) removes the join exchanges instead, but every
+row of a key must then sit in one bucket: a key with a third of the rows
+becomes one unsplittable write and read task. It is therefore opt-in, for
+keys known to be evenly spread.
 
 Spark has no unsigned integers: serving keeps the lake's signed type and
 *counts* values outside the declared unsigned range instead of wrapping
@@ -63,7 +71,7 @@ def ensure_database(spark: SparkSession, db: str, location: str) -> None:
 
 
 def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db: str, root: str,
-                  buckets: int | None = None, mode: str = "overwrite") -> dict:
+                  buckets: int | None = None, mode: str = "overwrite", layout: str = "range") -> dict:
     """Project, check and write one serving table; returns its load stats."""
     t0 = time.time()
     out = serve_projection(lake_df, spec)
@@ -72,9 +80,14 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     if buckets:
         # same hash as bucketBy: one file per bucket per partition directory
         laid_out = out.repartition(buckets, *spec.bucket_by)
-    else:
+    elif layout == "range":
         # no explicit count: AQE may coalesce the ranges to the advisory size
         laid_out = out.repartitionByRange(*parts, *sort_cols).sortWithinPartitions(*parts, *sort_cols)
+    elif layout == "rebalance":
+        shuffled = out.hint("rebalance", *parts) if parts else out.hint("rebalance")
+        laid_out = shuffled.sortWithinPartitions(*parts, *sort_cols)
+    else:
+        raise ValueError(f"unknown layout {layout!r}: use 'range' or 'rebalance'")
     # Observed after the exchange: the range sampler's extra pass over the
     # input must not be counted.
     obs = Observation(f"serve_{spec.name}_{int(t0 * 1000)}")
@@ -96,7 +109,7 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
 
 def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[str, DatasetSpec],
                  db: str, root: str, datasets: list[str] | None = None, buckets: int | None = None,
-                 mode: str = "overwrite") -> dict[str, dict]:
+                 mode: str = "overwrite", layout: str = "range") -> dict[str, dict]:
     """K5/K6/K7: load the chosen datasets (default all). ``mode='overwrite'``
     replaces the table (idempotent re-run); ``'append'`` adds rows. A
     dataset whose lake input is missing is skipped with zero stats."""
@@ -106,7 +119,7 @@ def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[st
         if lake.get(name) is None:
             stats[name] = {"rows": 0, "files": 0, "elapsed_s": 0.0}
             continue
-        stats[name] = write_serving(spark, lake[name], specs[name], db, root, buckets, mode)
+        stats[name] = write_serving(spark, lake[name], specs[name], db, root, buckets, mode, layout)
         loaded.append(name)
     require_tables(spark, db, loaded)
     return stats

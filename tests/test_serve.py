@@ -89,3 +89,15 @@ def test_reconcile_reports_duplicates(spark, tmp):
     lake = credits(spark, rows)
     r = checks.reconcile(lake, lake, specs.PRINCIPALS).first()
     assert r.lake_rows == 2 and r.counts_match and r.duplicate_keys == 1 and r.out_of_range == 0
+
+
+def test_rebalance_layout_sorted_files_and_same_rows(spark, tmp):
+    rows = [(f"tt{i % 97:03d}", i % 7, f"nm{i}", ["actor", "director"][i % 2], None, None) for i in range(3000)]
+    db = "t_" + uuid.uuid4().hex[:8]
+    stats = load_serving(spark, {"principals": credits(spark, rows).repartition(8)}, specs.LAKE, db, tmp,
+                         layout="rebalance")
+    assert stats["principals"]["rows"] == 3000
+    t = read_serving(spark, db, "principals").select(*specs.PRINCIPALS.column_names())
+    assert sorted(tuple(r) for r in t.collect()) == sorted(rows)
+    with pytest.raises(ValueError):
+        load_serving(spark, {"principals": credits(spark, rows)}, specs.LAKE, db, tmp, layout="zorder")
