@@ -13,6 +13,9 @@ zero statistics.
 
 from __future__ import annotations
 
+import logging
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
 from mediamart import specs
@@ -23,6 +26,8 @@ from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
 from mediamart.sinks.serve import load_serving, read_serving
 from mediamart.sources.tsv import _fs_exists, check_inputs, read_tsv
 
+log = logging.getLogger("mediamart")
+
 DATASETS = ("titles", "people", "principals", "akas")
 # lake dataset -> raw sources it is built from
 INPUTS = {"titles": ("basics", "ratings"), "people": ("people",),
@@ -67,14 +72,19 @@ def load(spark: SparkSession, lake_dir: str, serve_root: str, db: str, only: lis
     the tables, so a re-run never duplicates; ``truncate=False`` appends.
     Returns per-dataset statistics and, with ``verify``, the tagged row
     counts of the serving tables."""
+    t0 = time.time()
     chosen = list(only or DATASETS)
     lake = {}
     for name in chosen:
         path = f"{lake_dir.rstrip('/')}/{name}"
-        lake[name] = read_lake(spark, path, specs.LAKE[name]) if _fs_exists(spark, path) else None
+        if _fs_exists(spark, path):
+            lake[name] = read_lake(spark, path, specs.LAKE[name])
+        else:
+            log.warning("lake dataset not found, skipped: %s", path)
+            lake[name] = None
     stats = load_serving(spark, lake, specs.LAKE, db, serve_root, chosen, buckets=buckets,
                          mode="overwrite" if truncate else "append", layout=layout)
-    result = {"stats": stats}
+    result = {"stats": stats, "total_elapsed_s": time.time() - t0}
     if verify:
         present = {n: read_serving(spark, db, n) for n in chosen if lake[n] is not None}
         result["counts"] = {r.tbl: r.rows for r in checks.tagged_counts(present).collect()} if present else {}
