@@ -408,7 +408,7 @@ def q_serve_project(spark, sf_dir):
 
 
 @register("serve_load", served("SELECT * FROM titles_s", "titles_s"),
-          "K5/C2 load all serving tables (bucketed, sorted), read titles back")
+          "K5/C2 load all serving tables (range-partitioned, sorted), read titles back")
 def q_serve_load(spark, sf_dir):
     return wb(spark, sf_dir).serve("titles")
 
@@ -533,7 +533,7 @@ def _malformed_sql() -> str:
 
 @register("malformed_values", with_ctes(_malformed_sql(), "basics_raw", "ratings_raw", "people_raw",
                                         "principals_raw", "akas_raw"),
-          "C5 non-empty text that did not parse as a number, per column")
+          "C5 non-NULL text that did not parse as a number, per column")
 def q_malformed_values(spark, sf_dir):
     w = wb(spark, sf_dir)
     return checks._union([checks.malformed_values(w.raw(n), s) for n, s in specs.SOURCES.items()])
