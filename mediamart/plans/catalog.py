@@ -62,11 +62,11 @@ MIN_VOTES_GENRES = 100     # reference: 10000
 MIN_VOTES_TOP = 200        # reference: 25000
 
 # ---------------------------------------------------------------- oracle SQL
-served = with_ctes   # serving-form CTEs (titles_s, ...) live in plans.oracle
+# CTE names ending in _s are the serving form of a table (plans.oracle).
 
 
 def _top_credited_sql(role: str, count_name: str, table: str = "principals_s", people: str = "people_s") -> str:
-    return served(f"""
+    return with_ctes(f"""
         SELECT a.nconst, p.primaryName, a.{count_name}
         FROM (SELECT nconst, count(*) AS {count_name} FROM {table} WHERE category = '{role}'
               GROUP BY nconst ORDER BY {count_name} DESC, nconst LIMIT 20) a
@@ -79,7 +79,7 @@ def _counts_sql(pairs: list[tuple[str, str]]) -> str:
 
 
 # ============================================================ Q1-Q6, V1, V2
-@register("rating_by_decade", served("""
+@register("rating_by_decade", with_ctes("""
     SELECT decade, round(avg(averageRating), 2) AS avg_rating, count(*) AS total_movies
     FROM titles_s WHERE titleType = 'movie' AND decade IS NOT NULL GROUP BY decade ORDER BY decade""",
     "titles_s"), "Q1 average rating and count by decade for one kind, on the serving table")
@@ -87,7 +87,7 @@ def q_rating_by_decade(spark, sf_dir):
     return marts.rating_by_decade(wb(spark, sf_dir).serve("titles"))
 
 
-@register("top_genres", served(f"""
+@register("top_genres", with_ctes(f"""
     SELECT primaryGenre, round(avg(averageRating), 2) AS avg_rating,
            CAST(sum(numVotes) AS BIGINT) AS total_votes, count(*) AS title_count
     FROM titles_s WHERE numVotes >= {MIN_VOTES_GENRES} AND primaryGenre <> ''
@@ -118,7 +118,7 @@ def q_credited_semi(spark, sf_dir):
     return marts.most_credited_sql(spark, w.serve("principals"), w.serve("people"), "actor", "title_count")
 
 
-@register("rating_trend", served("""
+@register("rating_trend", with_ctes("""
     SELECT decade, count(*) AS movies_released, round(avg(averageRating), 2) AS avg_rating,
            round(avg(numVotes), 0) AS avg_votes
     FROM titles_s WHERE titleType = 'movie' AND decade BETWEEN 1950 AND 2020
@@ -127,14 +127,14 @@ def q_rating_trend(spark, sf_dir):
     return marts.rating_trend(wb(spark, sf_dir).serve("titles"))
 
 
-@register("alt_titles_per_region", served("""
+@register("alt_titles_per_region", with_ctes("""
     SELECT region, count(*) AS aka_count FROM akas_s GROUP BY region
     ORDER BY aka_count DESC, region LIMIT 10""", "akas_s"), "Q5 alternate titles per region, top 10")
 def q_alt_titles_per_region(spark, sf_dir):
     return marts.alt_titles_per_region(wb(spark, sf_dir).serve("akas"))
 
 
-@register("top_titles", served(f"""
+@register("top_titles", with_ctes(f"""
     SELECT tconst, primaryTitle, startYear, primaryGenre, averageRating, numVotes, decade
     FROM titles_s WHERE titleType = 'movie' AND numVotes >= {MIN_VOTES_TOP} AND averageRating IS NOT NULL
     ORDER BY averageRating DESC, numVotes DESC""", "titles_s"), "V1 view of top rated titles of a kind")
@@ -142,7 +142,7 @@ def q_top_titles(spark, sf_dir):
     return marts.top_titles(wb(spark, sf_dir).serve("titles"), "movie", MIN_VOTES_TOP)
 
 
-@register("role_filmography", served("""
+@register("role_filmography", with_ctes("""
     SELECT p.nconst, p.primaryName, t.tconst, t.primaryTitle, t.startYear, t.primaryGenre,
            t.averageRating, t.numVotes
     FROM principals_s pr JOIN titles_s t ON t.tconst = pr.tconst JOIN people_s p ON p.nconst = pr.nconst
@@ -357,7 +357,7 @@ def q_prune_two_axis(spark, sf_dir):
     return marts.of_kind_and_decade(wb(spark, sf_dir).lake("titles"), "movie", 1990)
 
 
-@register("range_scan", served("""
+@register("range_scan", with_ctes("""
     SELECT tconst, titleType, startYear, averageRating FROM titles_s
     WHERE startYear BETWEEN 1990 AND 1999""", "titles_s"),
     "F8 range on the sort key of the serving table")
@@ -395,19 +395,19 @@ def q_serve_narrow(spark, sf_dir):
     return checks._union(frames)
 
 
-@register("serve_fill", served("SELECT * FROM titles_s", "titles_s"),
+@register("serve_fill", with_ctes("SELECT * FROM titles_s", "titles_s"),
           "P11 serving projection of titles: NULLs filled in non-nullable columns")
 def q_serve_fill(spark, sf_dir):
     return serve_projection(wb(spark, sf_dir).lake("titles"), specs.TITLES)
 
 
-@register("serve_project", served("SELECT * FROM people_s", "people_s"),
+@register("serve_project", with_ctes("SELECT * FROM people_s", "people_s"),
           "P12 serving column list and order (people drops its partition helper)")
 def q_serve_project(spark, sf_dir):
     return serve_projection(wb(spark, sf_dir).lake("people"), specs.PEOPLE)
 
 
-@register("serve_load", served("SELECT * FROM titles_s", "titles_s"),
+@register("serve_load", with_ctes("SELECT * FROM titles_s", "titles_s"),
           "K5/C2 load all serving tables (range-partitioned, sorted), read titles back")
 def q_serve_load(spark, sf_dir):
     return wb(spark, sf_dir).serve("titles")
@@ -436,7 +436,7 @@ def q_serve_load_stats(spark, sf_dir):
         rows, "dataset string, row_count long, files long, out_of_range long, elapsed_s double")
 
 
-@register("serve_sorted", served("""
+@register("serve_sorted", with_ctes("""
     SELECT category, count(*) AS row_count, CAST(0 AS BIGINT) AS unsorted_pairs
     FROM principals_s GROUP BY category""", "principals_s"),
     "O6 rows inside every serving file are in sort-key order")
@@ -452,7 +452,7 @@ def q_serve_sorted(spark, sf_dir):
                                      F.sum(F.col("bad").cast("long")).alias("unsorted_pairs")))
 
 
-@register("verify_counts", served(_counts_sql(
+@register("verify_counts", with_ctes(_counts_sql(
     [("titles", "titles_s"), ("people", "people_s"), ("principals", "principals_s"), ("akas", "akas_s")]),
     "titles_s", "people_s", "principals_s", "akas_s"),
     "C1/U1/P15 tagged row counts of all serving tables, UNION ALL")
@@ -578,7 +578,7 @@ def q_localized_title(spark, sf_dir):
     return marts.localized_title(wb(spark, sf_dir).lake("akas"), "SRC2")
 
 
-@register("role_of_rated_titles", served("""
+@register("role_of_rated_titles", with_ctes("""
     SELECT pr.tconst, pr.nconst, pr.ordering, t.averageRating
     FROM principals_s pr JOIN titles_s t ON t.tconst = pr.tconst
     WHERE pr.category = 'director' AND t.averageRating > 8.0""", "principals_s", "titles_s"),
@@ -588,7 +588,7 @@ def q_role_of_rated_titles(spark, sf_dir):
     return marts.role_of_rated_titles(w.serve("principals"), w.serve("titles"), "director", 8.0)
 
 
-@register("top_billed", served("""
+@register("top_billed", with_ctes("""
     SELECT pr.tconst, pr.nconst, p.primaryName, pr.category
     FROM principals_s pr LEFT JOIN people_s p ON p.nconst = pr.nconst WHERE pr.ordering = 1""",
     "principals_s", "people_s"), "F11 top-billed credit (ordering 1) of every title with the name")
@@ -617,7 +617,7 @@ def q_scan_tsv_gz(spark, sf_dir):
 
 
 # ====================================================== views, end to end
-@register("top_titles_view", served(f"""
+@register("top_titles_view", with_ctes(f"""
     SELECT tconst, primaryTitle, startYear, primaryGenre, averageRating, numVotes, decade
     FROM titles_s WHERE titleType = 'movie' AND numVotes >= {MIN_VOTES_TOP} AND averageRating IS NOT NULL""",
     "titles_s"), "V1 as a catalog view over the serving tables, queried in SQL")
@@ -627,7 +627,7 @@ def q_top_titles_view(spark, sf_dir):
     return spark.sql(f"SELECT * FROM `{db}`.top_titles")
 
 
-@register("filmography_view", served("""
+@register("filmography_view", with_ctes("""
     SELECT p.nconst, p.primaryName, t.tconst, t.primaryTitle, t.startYear, t.primaryGenre,
            t.averageRating, t.numVotes
     FROM principals_s pr JOIN titles_s t ON t.tconst = pr.tconst JOIN people_s p ON p.nconst = pr.nconst
@@ -639,7 +639,7 @@ def q_filmography_view(spark, sf_dir):
     return spark.sql(f"SELECT * FROM `{db}`.role_filmography")
 
 
-@register("tsv_end_to_end", served("""
+@register("tsv_end_to_end", with_ctes("""
     SELECT decade, round(avg(averageRating), 2) AS avg_rating, count(*) AS total_movies
     FROM titles_s WHERE titleType = 'movie' AND decade IS NOT NULL GROUP BY decade""", "titles_s"),
     "All five raw sources as TSV (ratings gzip) -> etl -> load -> Q1")
