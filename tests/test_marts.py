@@ -148,3 +148,23 @@ def test_enrichment_broadcasts_small_ratings_and_shuffles_when_large(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
+
+
+def test_benchmark_sql_equals_dataframe_marts(spark):
+    from mediamart.plans.workbench import Workbench
+    from tests.conftest import SF_SMALL
+    w = Workbench.get(spark, SF_SMALL)
+    db, _, _ = w.serving()
+    t, p, pr, a = (w.serve(n) for n in ("titles", "people", "principals", "akas"))
+    frames = {
+        "rating_by_decade": marts.rating_by_decade(t),
+        "top_genres": marts.top_genres(t, 100),
+        "credited_actors": marts.most_credited(pr, p, "actor", "title_count"),
+        "rating_trend": marts.rating_trend(t),
+        "alt_titles_per_region": marts.alt_titles_per_region(a),
+        "credited_directors": marts.most_credited(pr, p, "director", "film_count"),
+    }
+    for name, sql in marts.benchmark_sql(db, 100).items():
+        got = spark.sql(sql)
+        assert got.columns == frames[name].columns, name
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in frames[name].collect()], name
