@@ -40,6 +40,14 @@ from mediamart.sources.tsv import write_tsv  # noqa: E402
 RUNS = 3
 
 
+def _sf_value(sf_dir: str):
+    tag = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -105,7 +113,7 @@ def main() -> None:
         "value": round(total, 4),
         "unit": "sec",
         "queries": {k: round(v, 4) for k, v in q.items()},
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "cpus": cpus,
         "runs": RUNS,
     }))
