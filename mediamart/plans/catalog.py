@@ -330,8 +330,7 @@ def q_lake_slice_overwrite(spark, sf_dir):
 @register("lake_scan", with_ctes("SELECT * FROM principals", "principals"),
           "S5 discover and read a lake dataset with its declared schema")
 def q_lake_scan(spark, sf_dir):
-    w = wb(spark, sf_dir)
-    return read_lake(spark, f"{w.lake_root()}/principals", specs.PRINCIPALS)
+    return read_lake(spark, wb(spark, sf_dir).lake_path("principals"), specs.PRINCIPALS)
 
 
 @register("lake_partition_columns", with_ctes("""
