@@ -31,7 +31,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from mediamart import specs  # noqa: E402
 from mediamart.operators import rollup  # noqa: E402
-from mediamart.pipeline import lake_frame  # noqa: E402
+from mediamart.jobs import lake_frame  # noqa: E402
 from mediamart.plans import marts  # noqa: E402
 from mediamart.plans.workbench import Workbench  # noqa: E402
 from mediamart.session import build_session, scratch_path  # noqa: E402

@@ -10,6 +10,6 @@ Layout:
   operators/   cleaners, joins, rollup, data-quality checks
   plans/       marts (the benchmark questions and views), analog inputs,
                the query catalog with its DuckDB oracles
-  pipeline.py  etl() and load(): the two batch jobs
+  jobs.py      etl() and load(): the two batch jobs
   streaming/   empty on purpose (the pipeline is batch only)
 """

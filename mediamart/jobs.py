@@ -1,7 +1,7 @@
 """The two batch jobs as functions: ``etl`` (raw TSV -> Parquet lake) and
 ``load`` (lake -> serving tables + verification).
 
-    from mediamart.pipeline import etl, load
+    from mediamart.jobs import etl, load
     etl(spark, "/data/raw", "/data/lake")                       # all datasets
     etl(spark, "/data/raw", "/data/lake", ["titles"], title_type="movie")   # one slice
     stats = load(spark, "/data/lake", "/data/serve", db="media")

@@ -643,7 +643,7 @@ def q_filmography_view(spark, sf_dir):
     FROM titles_s WHERE titleType = 'movie' AND decade IS NOT NULL GROUP BY decade""", "titles_s"),
     "All five raw sources as TSV (ratings gzip) -> etl -> load -> Q1")
 def q_tsv_end_to_end(spark, sf_dir):
-    from mediamart.pipeline import etl, load
+    from mediamart.jobs import etl, load
     w = wb(spark, sf_dir)
     raw_dir = scratch_path(spark, "raw")
     for name, spec in specs.SOURCES.items():

@@ -5,5 +5,5 @@ input files and rewrites whole datasets or slices. It has no stream source,
 watermark, window or state, so there is nothing here to re-express with
 Structured Streaming. Incremental work is covered in batch form by the
 per-slice lake overwrite (``sinks.lake.overwrite_slice``) and by append
-loads into the serving tables (``pipeline.load(truncate=False)``).
+loads into the serving tables (``jobs.load(truncate=False)``).
 """

@@ -6,7 +6,7 @@ import uuid
 import pytest
 
 from mediamart import specs
-from mediamart.pipeline import etl, load
+from mediamart.jobs import etl, load
 from mediamart.plans import marts
 
 
