@@ -101,3 +101,28 @@ def test_rebalance_layout_sorted_files_and_same_rows(spark, tmp):
     assert sorted(tuple(r) for r in t.collect()) == sorted(rows)
     with pytest.raises(ValueError):
         load_serving(spark, {"principals": credits(spark, rows)}, specs.LAKE, db, tmp, layout="zorder")
+
+
+def test_range_layout_gives_files_disjoint_key_ranges(spark, tmp):
+    rows = [(f"tt{(i * 7919) % 1000:04d}", i % 5, f"nm{i}", ["actor", "director"][i % 2], None, None)
+            for i in range(6000)]
+    db = "t_" + uuid.uuid4().hex[:8]
+    # small input: keep AQE from merging the ranges into one file per directory
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        load_serving(spark, {"principals": credits(spark, rows).repartition(8)}, specs.LAKE, db, tmp)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    key = F.struct("tconst", "ordering")
+    per_file = (read_serving(spark, db, "principals")
+                .groupBy("category", F.col("_metadata.file_path").alias("f"))
+                .agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+                .collect())
+    by_dir = {}
+    for r in per_file:
+        by_dir.setdefault(r.category, []).append((tuple(r.lo), tuple(r.hi)))
+    assert any(len(v) > 1 for v in by_dir.values())       # several files to compare
+    for spans in by_dir.values():
+        spans.sort()
+        for (_, hi), (lo_next, _) in zip(spans, spans[1:]):
+            assert hi <= lo_next
