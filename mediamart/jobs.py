@@ -24,7 +24,8 @@ from mediamart.operators.clean import clean
 from mediamart.operators.enrich import titles_mart
 from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
 from mediamart.sinks.serve import load_serving, read_serving
-from mediamart.sources.tsv import _fs_exists, check_inputs, read_tsv
+from mediamart.sources.fs import exists, size_bytes
+from mediamart.sources.tsv import check_inputs, read_tsv
 
 log = logging.getLogger("mediamart")
 
@@ -74,16 +75,17 @@ def load(spark: SparkSession, lake_dir: str, serve_root: str, db: str, only: lis
     counts of the serving tables."""
     t0 = time.time()
     chosen = list(only or DATASETS)
-    lake = {}
+    lake, sizes = {}, {}
     for name in chosen:
         path = f"{lake_dir.rstrip('/')}/{name}"
-        if _fs_exists(spark, path):
+        if exists(spark, path):
             lake[name] = read_lake(spark, path, specs.LAKE[name])
+            sizes[name] = size_bytes(spark, path)
         else:
             log.warning("lake dataset not found, skipped: %s", path)
             lake[name] = None
     stats = load_serving(spark, lake, specs.LAKE, db, serve_root, chosen, buckets=buckets,
-                         mode="overwrite" if truncate else "append", layout=layout)
+                         mode="overwrite" if truncate else "append", layout=layout, input_bytes=sizes)
     result = {"stats": stats, "total_elapsed_s": time.time() - t0}
     if verify:
         present = {n: read_serving(spark, db, n) for n in chosen if lake[n] is not None}

@@ -17,6 +17,7 @@ from mediamart.operators.clean import clean
 from mediamart.operators.enrich import titles_mart
 from mediamart.plans.analogs import raw_frame
 from mediamart.session import scratch_path
+from mediamart.sources.fs import size_bytes
 from mediamart.sinks.lake import build_lake, read_lake, write_lake
 from mediamart.sinks.serve import ensure_database, load_serving, read_serving, write_serving
 
@@ -95,8 +96,9 @@ class Workbench:
         root = root or scratch_path(self.spark, "serve")
         db = db or "mm_" + root.rstrip("/").split("/")[-2][:12]
         lake = {n: self.lake(n) for n in LAKE_DATASETS}
+        sizes = {n: size_bytes(self.spark, self.lake_path(n)) for n in LAKE_DATASETS}
         stats = load_serving(self.spark, lake, specs.LAKE, db, root, list(LAKE_DATASETS),
-                             buckets=self.buckets, mode=mode)
+                             buckets=self.buckets, mode=mode, input_bytes=sizes)
         if adopt:
             with _LOCK:
                 self._serve_db, self._serve_root, self._serve_stats = db, root, dict(stats)
@@ -111,8 +113,9 @@ class Workbench:
                 ensure_database(self.spark, db, f"{root}/_db")
                 self._serve_db, self._serve_root = db, root
             if name not in self._serve_stats:
-                self._serve_stats[name] = write_serving(self.spark, self.lake(name), specs.LAKE[name],
-                                                        self._serve_db, self._serve_root, self.buckets)
+                self._serve_stats[name] = write_serving(
+                    self.spark, self.lake(name), specs.LAKE[name], self._serve_db, self._serve_root,
+                    self.buckets, input_bytes=size_bytes(self.spark, self.lake_path(name)))
             return self._serve_db
 
     def serving(self) -> tuple[str, str, dict]:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.sources.tsv import _fs_exists
+from mediamart.sources.fs import exists
 from mediamart.specs import DatasetSpec
 
 MAX_RECORDS_PER_FILE = 250_000
@@ -65,7 +65,7 @@ def read_lake(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
     stays a string) and lets an absent dataset read as an empty table
     instead of failing schema inference. Partition values are URL-decoded
     and ``__HIVE_DEFAULT_PARTITION__`` becomes NULL by partition discovery."""
-    if not _fs_exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], spec.lake_schema)
     return spark.read.schema(spec.lake_schema).option("basePath", path).parquet(path)
 

@@ -70,9 +70,26 @@ def ensure_database(spark: SparkSession, db: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
 
 
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+
+
+def range_count(input_bytes: int | None, target_bytes: int = TARGET_FILE_BYTES) -> int | None:
+    """Number of key ranges for the range layout: about one target-size file
+    per range. AQE can merge ranges but never split one, so at scale the
+    count must come from the data size, not from the session's default."""
+    if input_bytes is None:
+        return None
+    return max(1, -(-int(input_bytes) // target_bytes))
+
+
 def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db: str, root: str,
-                  buckets: int | None = None, mode: str = "overwrite", layout: str = "range") -> dict:
-    """Project, check and write one serving table; returns its load stats."""
+                  buckets: int | None = None, mode: str = "overwrite", layout: str = "range",
+                  input_bytes: int | None = None) -> dict:
+    """Project, check and write one serving table; returns its load stats.
+
+    ``input_bytes`` (the lake dataset's size on disk) sizes the range layout;
+    without it the session's shuffle partition count is used and AQE merges
+    small ranges."""
     t0 = time.time()
     out = serve_projection(lake_df, spec)
     parts = list(spec.serve_partition_by)
@@ -81,8 +98,10 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
         # same hash as bucketBy: one file per bucket per partition directory
         laid_out = out.repartition(buckets, *spec.bucket_by)
     elif layout == "range":
-        # no explicit count: AQE may coalesce the ranges to the advisory size
-        laid_out = out.repartitionByRange(*parts, *sort_cols).sortWithinPartitions(*parts, *sort_cols)
+        n = range_count(input_bytes)
+        ranged = (out.repartitionByRange(n, *parts, *sort_cols) if n
+                  else out.repartitionByRange(*parts, *sort_cols))
+        laid_out = ranged.sortWithinPartitions(*parts, *sort_cols)
     elif layout == "rebalance":
         shuffled = out.hint("rebalance", *parts) if parts else out.hint("rebalance")
         laid_out = shuffled.sortWithinPartitions(*parts, *sort_cols)
@@ -109,7 +128,8 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
 
 def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[str, DatasetSpec],
                  db: str, root: str, datasets: list[str] | None = None, buckets: int | None = None,
-                 mode: str = "overwrite", layout: str = "range") -> dict[str, dict]:
+                 mode: str = "overwrite", layout: str = "range",
+                 input_bytes: dict[str, int] | None = None) -> dict[str, dict]:
     """K5/K6/K7: load the chosen datasets (default all). ``mode='overwrite'``
     replaces the table (idempotent re-run); ``'append'`` adds rows. A
     dataset whose lake input is missing is skipped with zero stats."""
@@ -119,7 +139,8 @@ def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[st
         if lake.get(name) is None:
             stats[name] = {"rows": 0, "files": 0, "elapsed_s": 0.0}
             continue
-        stats[name] = write_serving(spark, lake[name], specs[name], db, root, buckets, mode, layout)
+        stats[name] = write_serving(spark, lake[name], specs[name], db, root, buckets, mode, layout,
+                                    (input_bytes or {}).get(name))
         loaded.append(name)
     require_tables(spark, db, loaded)
     return stats

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mediamart.sources.fs import exists, size_bytes
 from mediamart.specs import NULL_SENTINEL, DatasetSpec
 
 TSV_OPTIONS = {
@@ -27,26 +28,12 @@ TSV_OPTIONS = {
 }
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
-def _fs_size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
 def resolve_path(spark: SparkSession, base: str) -> str:
     """``base`` if it exists, else ``base.gz``; else FileNotFoundError naming
     both. Never a glob: when both exist only the plain one is read."""
-    if _fs_exists(spark, base):
+    if exists(spark, base):
         return base
-    if _fs_exists(spark, base + ".gz"):
+    if exists(spark, base + ".gz"):
         return base + ".gz"
     raise FileNotFoundError(f"neither '{base}' nor '{base}.gz' exists")
 
@@ -79,7 +66,7 @@ def read_tsv(spark: SparkSession, path: str, spec: DatasetSpec, check_header: bo
     if actual.endswith(".gz"):
         # one task per gzip file: spread rows before the cleaners and writers.
         # The size only decides the partition count; no data is read here.
-        size = _fs_size(spark, actual)
+        size = size_bytes(spark, actual)
         parts = max(spark.sparkContext.defaultParallelism, -(-size * 4 // target_partition_bytes))
         df = df.repartition(int(parts))
     return df

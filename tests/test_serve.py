@@ -126,3 +126,10 @@ def test_range_layout_gives_files_disjoint_key_ranges(spark, tmp):
         spans.sort()
         for (_, hi), (lo_next, _) in zip(spans, spans[1:]):
             assert hi <= lo_next
+
+
+def test_range_count_from_size():
+    from mediamart.sinks.serve import range_count
+    assert range_count(None) is None
+    assert range_count(0) == 1 and range_count(1) == 1
+    assert range_count(100 * 1024 ** 4) == 100 * 1024 ** 4 // (128 * 1024 ** 2)   # 100 TiB -> 819200 files
