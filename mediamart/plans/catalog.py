@@ -407,7 +407,7 @@ def q_serve_project(spark, sf_dir):
 
 
 @register("serve_load", with_ctes("SELECT * FROM titles_s", "titles_s"),
-          "K5/C2 load all serving tables (range-partitioned, sorted), read titles back")
+          "K5/C2 titles serving table loaded from the lake (projected, range-partitioned, sorted), read back")
 def q_serve_load(spark, sf_dir):
     return wb(spark, sf_dir).serve("titles")
 
