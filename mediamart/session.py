@@ -60,14 +60,20 @@ def apply_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written tables: ``spark.checkpoint.dir``.
 
-    When the session has none (tests, ad-hoc local runs) a fresh local
-    folder is created and registered as the checkpoint dir, so later calls
-    and ``DataFrame.checkpoint()`` agree on it.
+    When the session has none and runs in local mode (tests, ad-hoc local
+    runs) a fresh local folder is created and registered as the checkpoint
+    dir, so later calls and ``DataFrame.checkpoint()`` agree on it. On a
+    cluster a machine-local folder would be invisible to the executors and
+    lost with the driver, so there the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(HDFS or object store) for the lake, serving tables and checkpoints")
         base = tempfile.mkdtemp(prefix="mediamart-ckpt-")
         # spark.checkpoint.dir is a core conf and cannot be set at runtime;
         # the context keeps the folder, so later calls find it again.
