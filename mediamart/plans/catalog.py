@@ -82,7 +82,7 @@ def _counts_sql(pairs: list[tuple[str, str]]) -> str:
 @register("rating_by_decade", with_ctes("""
     SELECT decade, round(avg(averageRating), 2) AS avg_rating, count(*) AS total_movies
     FROM titles_s WHERE titleType = 'movie' AND decade IS NOT NULL GROUP BY decade ORDER BY decade""",
-    "titles_s"), "Q1 average rating and count by decade for one kind, on the serving table")
+    "titles_s"), "Q1 (F6/A1/O1) average rating and count by decade for one kind, on the serving table")
 def q_rating_by_decade(spark, sf_dir):
     return marts.rating_by_decade(wb(spark, sf_dir).serve("titles"))
 
@@ -92,27 +92,27 @@ def q_rating_by_decade(spark, sf_dir):
            CAST(sum(numVotes) AS BIGINT) AS total_votes, count(*) AS title_count
     FROM titles_s WHERE numVotes >= {MIN_VOTES_GENRES} AND primaryGenre <> ''
     GROUP BY primaryGenre ORDER BY avg_rating DESC, primaryGenre LIMIT 20""", "titles_s"),
-    "Q2 top genres by average rating above a vote threshold")
+    "Q2 (F5/F7/A2/O2) top genres by average rating above a vote threshold")
 def q_top_genres(spark, sf_dir):
     return marts.top_genres(wb(spark, sf_dir).serve("titles"), MIN_VOTES_GENRES)
 
 
 @register("credited_actors", _top_credited_sql("actor", "title_count"),
-          "Q3 most-credited actors: aggregate, top 20, then name lookup")
+          "Q3 (A4/O2/O4) most-credited actors: aggregate, top 20, then name lookup")
 def q_credited_actors(spark, sf_dir):
     w = wb(spark, sf_dir)
     return marts.most_credited(w.serve("principals"), w.serve("people"), "actor", "title_count")
 
 
 @register("credited_directors", _top_credited_sql("director", "film_count"),
-          "Q6 most-credited directors with names")
+          "Q6 (A4/O2/O4) most-credited directors with names")
 def q_credited_directors(spark, sf_dir):
     w = wb(spark, sf_dir)
     return marts.most_credited(w.serve("principals"), w.serve("people"), "director", "film_count")
 
 
 @register("credited_semi", _top_credited_sql("actor", "title_count"),
-          "Q3 as SQL with a derived table and a nested IN-subquery (semi join)")
+          "Q3/F9 as SQL with a derived table and a nested IN-subquery (semi join)")
 def q_credited_semi(spark, sf_dir):
     w = wb(spark, sf_dir)
     return marts.most_credited_sql(spark, w.serve("principals"), w.serve("people"), "actor", "title_count")
@@ -122,14 +122,14 @@ def q_credited_semi(spark, sf_dir):
     SELECT decade, count(*) AS movies_released, round(avg(averageRating), 2) AS avg_rating,
            round(avg(numVotes), 0) AS avg_votes
     FROM titles_s WHERE titleType = 'movie' AND decade BETWEEN 1950 AND 2020
-    GROUP BY decade ORDER BY decade""", "titles_s"), "Q4 rating trend by decade")
+    GROUP BY decade ORDER BY decade""", "titles_s"), "Q4 (A3/O1) rating trend by decade")
 def q_rating_trend(spark, sf_dir):
     return marts.rating_trend(wb(spark, sf_dir).serve("titles"))
 
 
 @register("alt_titles_per_region", with_ctes("""
     SELECT region, count(*) AS aka_count FROM akas_s GROUP BY region
-    ORDER BY aka_count DESC, region LIMIT 10""", "akas_s"), "Q5 alternate titles per region, top 10")
+    ORDER BY aka_count DESC, region LIMIT 10""", "akas_s"), "Q5 (A4/O2) alternate titles per region, top 10")
 def q_alt_titles_per_region(spark, sf_dir):
     return marts.alt_titles_per_region(wb(spark, sf_dir).serve("akas"))
 
@@ -137,7 +137,7 @@ def q_alt_titles_per_region(spark, sf_dir):
 @register("top_titles", with_ctes(f"""
     SELECT tconst, primaryTitle, startYear, primaryGenre, averageRating, numVotes, decade
     FROM titles_s WHERE titleType = 'movie' AND numVotes >= {MIN_VOTES_TOP} AND averageRating IS NOT NULL
-    ORDER BY averageRating DESC, numVotes DESC""", "titles_s"), "V1 view of top rated titles of a kind")
+    ORDER BY averageRating DESC, numVotes DESC""", "titles_s"), "V1 (F5/F6/O3) view of top rated titles of a kind")
 def q_top_titles(spark, sf_dir):
     return marts.top_titles(wb(spark, sf_dir).serve("titles"), "movie", MIN_VOTES_TOP)
 
@@ -154,7 +154,7 @@ def q_role_filmography(spark, sf_dir):
 
 
 # ===================================================== cleaners
-@register("clean_titles", with_ctes("SELECT * FROM basics", "basics"), "T1 clean titles (basics)")
+@register("clean_titles", with_ctes("SELECT * FROM basics", "basics"), "T1/P13 clean titles (basics)")
 def q_clean_titles(spark, sf_dir):
     return wb(spark, sf_dir).clean("basics")
 
@@ -208,7 +208,7 @@ def q_cast_columns(spark, sf_dir):
 @register("fill_blank", with_ctes("""
     SELECT tconst, titleType AS raw_titleType,
            CASE WHEN titleType IS NULL OR trim(titleType) = '' THEN 'unknown' ELSE titleType END AS titleType
-    FROM basics_raw""", "basics_raw"), "P3 NULL or blank-after-trim to a default")
+    FROM basics_raw""", "basics_raw"), "P3/F10 NULL or blank-after-trim to a default")
 def q_fill_blank(spark, sf_dir):
     raw = wb(spark, sf_dir).raw("basics")
     return raw.select("tconst", F.col("titleType").alias("raw_titleType"),
@@ -227,7 +227,7 @@ def q_fill_null(spark, sf_dir):
 @register("fill_empty", with_ctes("""
     SELECT titleId, region AS raw_region, coalesce(nullif(region, ''), 'XX') AS region,
            language AS raw_language, coalesce(nullif(language, ''), '') AS language
-    FROM akas_raw""", "akas_raw"), "P5 NULL or exactly empty to a default, no trim")
+    FROM akas_raw""", "akas_raw"), "P5/F10 NULL or exactly empty to a default, no trim")
 def q_fill_empty(spark, sf_dir):
     raw = wb(spark, sf_dir).raw("akas")
     return raw.select("titleId", F.col("region").alias("raw_region"),
