@@ -64,6 +64,18 @@ def test_one_file_per_partition_after_rebalance(spark, tmp):
     assert len(leaves) == 4 and len(files) == len(leaves)
 
 
+def test_narrow_rows_are_not_split_by_row_count(spark, tmp):
+    # 600k narrow rows are a few MB: one advisory-size task, so one file per
+    # directory. File size follows bytes, not a low row cap.
+    df = spark.range(600_000).select(F.concat(F.lit("tt"), F.col("id").cast("string")).alias("tconst"),
+                                     F.lit("actor").alias("category"))
+    path = os.path.join(tmp, "narrow")
+    write_lake(df, path, ["category"])
+    files = glob.glob(os.path.join(path, "category=actor", "*.parquet"))
+    assert len(files) == 1
+    assert spark.read.parquet(path).count() == 600_000
+
+
 def test_slice_overwrite_idempotent_and_drops_vanished(spark, tmp):
     path = os.path.join(tmp, "titles")
     full = titles_rows(spark, [title("m1", "movie", 1994), title("m2", "movie", 2005), title("s1", "short", 1994)])
