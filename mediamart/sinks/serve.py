@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from mediamart.functions import out_of_range
 from mediamart.sinks.lake import MAX_RECORDS_PER_FILE
+from mediamart.sources.fs import data_file_count
 from mediamart.specs import DatasetSpec
 
 
@@ -111,9 +112,10 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     # input must not be counted.
     obs = Observation(f"serve_{spec.name}_{int(t0 * 1000)}")
     laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *range_violations(out, spec))
+    table_path = f"{root.rstrip('/')}/{spec.name}"
     writer = (laid_out.write.mode(mode).format("parquet").option("compression", "snappy")
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-              .option("path", f"{root.rstrip('/')}/{spec.name}"))
+              .option("path", table_path))
     if parts:
         writer = writer.partitionBy(*parts)
     if buckets:
@@ -121,8 +123,9 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     writer.saveAsTable(f"`{db}`.`{spec.name}`")
     stats = dict(obs.get)
     stats["elapsed_s"] = time.time() - t0
-    # file count from Spark's file index (a listing, no data read)
-    stats["files"] = len(spark.table(f"`{db}`.`{spec.name}`").inputFiles())
+    # file count from one file-system metadata call (no data read, no listing
+    # shipped to Python)
+    stats["files"] = data_file_count(spark, table_path)
     return stats
 
 

@@ -39,6 +39,7 @@ def test_load_stats_count_out_of_range_without_wrapping(spark, tmp):
     assert stats["principals"]["rows"] == 3 and stats["principals"]["out_of_range_ordering"] == 1
     assert stats["principals"]["files"] >= 2          # one directory per category at least
     back = read_serving(spark, db, "principals")
+    assert stats["principals"]["files"] == len(back.inputFiles())     # metadata count = file index
     assert sorted(r.ordering for r in back.collect()) == [1, 1, 300]      # kept, not wrapped to 44
     # idempotent re-run with overwrite, and append adds
     load_serving(spark, {"principals": credits(spark, rows)}, specs.LAKE, db, tmp)
