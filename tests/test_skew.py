@@ -1,9 +1,14 @@
 """A key holding a third of all rows: aggregation stays partial map-side,
-and AQE splits the hot join partition across several tasks."""
+AQE splits the hot join partition across several tasks, and the lake
+rebalance splits a hot directory."""
+
+import glob
+import os
 
 from pyspark.sql import functions as F
 
 from mediamart.plans import marts
+from mediamart.sinks.lake import write_lake
 
 
 def test_hot_key_join_is_split(spark):
@@ -45,3 +50,32 @@ def test_hot_key_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_partition_directory_is_written_by_several_tasks(spark, tmp):
+    """A lake directory holding a third of all rows is split by the
+    rebalance into advisory-size tasks (several files), not one straggler."""
+    n = 30000
+    df = spark.range(n).select(
+        F.concat(F.lit("tt"), F.col("id").cast("string")).alias("tconst"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("c"), (F.col("id") % 50).cast("string"))).alias("category")).repartition(8)
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        path = os.path.join(tmp, "hot")
+        write_lake(df, path, ["category"])
+        hot_files = glob.glob(os.path.join(path, "category=hot", "*.parquet"))
+        assert len(hot_files) > 1                        # split across tasks
+        back = spark.read.parquet(path)
+        assert back.count() == n                         # nothing dropped
+        assert back.filter(F.col("category") == "hot").count() == n // 3
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
