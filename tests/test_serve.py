@@ -129,6 +129,24 @@ def test_range_layout_gives_files_disjoint_key_ranges(spark, tmp):
             assert hi <= lo_next
 
 
+def test_range_layout_splits_a_hot_category(spark, tmp):
+    # a third of all credits in one category: the range key continues past
+    # the category (tconst, ordering), so that directory gets several files
+    rows = [(f"tt{i:05d}", 1, f"nm{i}", "actor" if i % 3 == 0 else f"cat{i % 20}", None, None)
+            for i in range(6000)]
+    db = "t_" + uuid.uuid4().hex[:8]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stats = load_serving(spark, {"principals": credits(spark, rows).repartition(8)}, specs.LAKE, db, tmp)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert stats["principals"]["rows"] == 6000
+    back = read_serving(spark, db, "principals")
+    hot = back.filter(F.col("category") == "actor")
+    assert hot.count() == 2000
+    assert len(hot.inputFiles()) > 1
+
+
 def test_range_count_from_size():
     from mediamart.sinks.serve import range_count
     assert range_count(None) is None
