@@ -1,5 +1,7 @@
 """The shared working folder comes from the session's checkpoint dir."""
 
+import pytest
+
 from mediamart.session import scratch_path, shared_dir
 
 
@@ -17,3 +19,24 @@ def test_scratch_paths_are_fresh_and_below_the_shared_dir(spark):
     a, b = scratch_path(spark, "lake"), scratch_path(spark, "lake")
     assert a != b
     assert a.startswith(shared_dir(spark) + "/") and a.endswith("/lake")
+
+
+class _Conf:
+    def get(self, key, default=None):
+        return default
+
+
+class _Context:
+    master = "yarn"
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _ClusterSession:
+    conf, sparkContext = _Conf(), _Context()
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_ClusterSession())
