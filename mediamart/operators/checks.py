@@ -90,3 +90,29 @@ def storage_report(files: dict[tuple[str, str], DataFrame]) -> DataFrame:
             .agg(F.sum("file_size").alias("bytes"), F.count(F.lit(1)).alias("files"),
                  F.sum("rows").alias("rows"))
             .withColumn("disk_size", readable_size("bytes")))
+
+
+def unsorted_pairs(files_df: DataFrame, key: list[str], group_by: list[str]) -> DataFrame:
+    """Per group, rows and adjacent row pairs inside one data file that
+    break ascending ``key`` order (0 when every file is sorted).
+
+    ``files_df`` must come straight from a file scan, so the hidden
+    ``_metadata`` column gives each row's file and position. Each row meets
+    its predecessor in the same file through an equi-join on (file, row
+    index + 1). The keys are unique, so the shuffle spreads evenly however
+    large one file is; a window over the file would put a whole file (e.g. a
+    hot bucket) into one task."""
+    t = files_df.select(*group_by, *key, F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.row_index").alias("_pos"))
+    prev = t.select("_file", (F.col("_pos") + 1).alias("_pos"),
+                    *[F.col(k).alias(f"_prev_{k}") for k in key])
+    pairs = t.join(prev, on=["_file", "_pos"], how="left")
+    # lexicographic "previous key > this key"; NULL (first row of a file) is fine
+    bad, equal_so_far = F.lit(False), F.lit(True)
+    for k in key:
+        p, c = F.col(f"_prev_{k}"), F.col(k)
+        bad = bad | (equal_so_far & (p > c))
+        equal_so_far = equal_so_far & (p == c)
+    return (pairs.withColumn("_bad", F.coalesce(bad, F.lit(False)))
+            .groupBy(*group_by).agg(F.count(F.lit(1)).alias("row_count"),
+                                    F.sum(F.col("_bad").cast("long")).alias("unsorted_pairs")))

@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from mediamart import functions as mf
 from mediamart import specs
@@ -440,15 +439,7 @@ def q_serve_load_stats(spark, sf_dir):
     FROM principals_s GROUP BY category""", "principals_s"),
     "O6 rows inside every serving file are in sort-key order")
 def q_serve_sorted(spark, sf_dir):
-    t = wb(spark, sf_dir).serve("principals").select(
-        "category", "tconst", "ordering",
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
-    w = Window.partitionBy("file").orderBy("pos")
-    prev_t, prev_o = F.lag("tconst").over(w), F.lag("ordering").over(w)
-    bad = (prev_t > F.col("tconst")) | ((prev_t == F.col("tconst")) & (prev_o > F.col("ordering")))
-    return (t.withColumn("bad", F.coalesce(bad, F.lit(False)))
-            .groupBy("category").agg(F.count(F.lit(1)).alias("row_count"),
-                                     F.sum(F.col("bad").cast("long")).alias("unsorted_pairs")))
+    return checks.unsorted_pairs(wb(spark, sf_dir).serve("principals"), ["tconst", "ordering"], ["category"])
 
 
 @register("verify_counts", with_ctes(_counts_sql(

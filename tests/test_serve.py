@@ -152,3 +152,16 @@ def test_range_count_from_size():
     assert range_count(None) is None
     assert range_count(0) == 1 and range_count(1) == 1
     assert range_count(100 * 1024 ** 4) == 100 * 1024 ** 4 // (128 * 1024 ** 2)   # 100 TiB -> 819200 files
+
+
+def test_unsorted_pairs_counts_breaks_inside_each_file(spark, tmp):
+    schema = "grp string, tconst string, ordering int"
+    ok = spark.createDataFrame([("a", "tt1", 1), ("a", "tt1", 2), ("a", "tt2", 1)], schema)
+    bad = spark.createDataFrame([("b", "tt2", 1), ("b", "tt1", 2), ("b", "tt1", 1), ("b", "tt1", 3)], schema)
+    for name, df in (("ok", ok), ("bad", bad)):
+        df.coalesce(1).write.parquet(os.path.join(tmp, name))
+    files = spark.read.parquet(os.path.join(tmp, "ok"), os.path.join(tmp, "bad"))
+    out = {r.grp: (r.row_count, r.unsorted_pairs)
+           for r in checks.unsorted_pairs(files, ["tconst", "ordering"], ["grp"]).collect()}
+    # b: tt2 > tt1, then (tt1, 2) > (tt1, 1); (tt1, 1) < (tt1, 3) is fine
+    assert out == {"a": (3, 0), "b": (4, 2)}
