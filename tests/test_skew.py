@@ -79,3 +79,24 @@ def test_hot_partition_directory_is_written_by_several_tasks(spark, tmp):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_tie_group_of_a_global_sort_is_split(spark):
+    """A (rating, votes) pair shared by a third of the rows: the sort's unique
+    last key lets the range partitioner spread that group over several tasks."""
+    n = 30000
+    titles = spark.range(n).select(
+        F.concat(F.lit("tt"), F.col("id").cast("string")).alias("tconst"),
+        F.lit("movie").alias("titleType"), F.lit("T").alias("primaryTitle"),
+        F.lit(2000).alias("startYear"), F.lit("Drama").alias("primaryGenre"), F.lit(2000).alias("decade"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.5)).otherwise((F.col("id") % 90) / 10).cast("float")
+        .alias("averageRating"),
+        F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.col("id")).cast("int").alias("numVotes"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = marts.top_titles(titles, "movie", 0).withColumn("part", F.spark_partition_id())
+        hot = out.filter((F.col("averageRating") == 7.5) & (F.col("numVotes") == 500))
+        assert hot.count() == n // 3
+        assert hot.select("part").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
