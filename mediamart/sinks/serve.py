@@ -72,15 +72,24 @@ def ensure_database(spark: SparkSession, db: str, location: str) -> None:
 
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+# Spark's range partitioner draws at most about a million sample keys (three
+# times that with its per-partition oversampling) to place the bounds. Past
+# ~100 k ranges each range rests on only a few samples and comes out uneven,
+# and every task carries the whole bounds array. Beyond this a range holds
+# more than the target size and its task writes several sorted files, still
+# disjoint from every other range's.
+MAX_RANGES = 100_000
 
 
-def range_count(input_bytes: int | None, target_bytes: int = TARGET_FILE_BYTES) -> int | None:
+def range_count(input_bytes: int | None, target_bytes: int = TARGET_FILE_BYTES,
+                max_ranges: int = MAX_RANGES) -> int | None:
     """Number of key ranges for the range layout: about one target-size file
-    per range. AQE can merge ranges but never split one, so at scale the
-    count must come from the data size, not from the session's default."""
+    per range, at most ``max_ranges``. AQE can merge ranges but never split
+    one, so at scale the count must come from the data size, not from the
+    session's default."""
     if input_bytes is None:
         return None
-    return max(1, -(-int(input_bytes) // target_bytes))
+    return min(max_ranges, max(1, -(-int(input_bytes) // target_bytes)))
 
 
 def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db: str, root: str,

@@ -151,7 +151,8 @@ def test_range_count_from_size():
     from mediamart.sinks.serve import range_count
     assert range_count(None) is None
     assert range_count(0) == 1 and range_count(1) == 1
-    assert range_count(100 * 1024 ** 4) == 100 * 1024 ** 4 // (128 * 1024 ** 2)   # 100 TiB -> 819200 files
+    assert range_count(10 * 1024 ** 4) == 10 * 1024 ** 4 // (128 * 1024 ** 2)     # 10 TiB -> 81920 ranges
+    assert range_count(100 * 1024 ** 4) == 100_000     # capped: each range keeps ~30 bound samples
 
 
 def test_unsorted_pairs_counts_breaks_inside_each_file(spark, tmp):
