@@ -79,17 +79,25 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 # more than the target size and its task writes several sorted files, still
 # disjoint from every other range's.
 MAX_RANGES = 100_000
+# Floor for mid-size tables: at least one range per task slot, so the sort,
+# the write and later scans use the whole cluster, unless that would make
+# files smaller than this.
+MIN_FILE_BYTES = 4 * 1024 * 1024
 
 
 def range_count(input_bytes: int | None, target_bytes: int = TARGET_FILE_BYTES,
-                max_ranges: int = MAX_RANGES) -> int | None:
+                max_ranges: int = MAX_RANGES, parallelism: int = 1) -> int | None:
     """Number of key ranges for the range layout: about one target-size file
-    per range, at most ``max_ranges``. AQE can merge ranges but never split
-    one, so at scale the count must come from the data size, not from the
-    session's default."""
+    per range, at least ``parallelism`` ranges while files stay above
+    ``MIN_FILE_BYTES``, at most ``max_ranges``. AQE can merge ranges but
+    never split one, so at scale the count must come from the data size, not
+    from the session's default."""
     if input_bytes is None:
         return None
-    return min(max_ranges, max(1, -(-int(input_bytes) // target_bytes)))
+    size = int(input_bytes)
+    by_size = -(-size // target_bytes)
+    floor = min(parallelism, -(-size // MIN_FILE_BYTES))
+    return min(max_ranges, max(1, by_size, floor))
 
 
 def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db: str, root: str,
@@ -108,7 +116,7 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
         # same hash as bucketBy: one file per bucket per partition directory
         laid_out = out.repartition(buckets, *spec.bucket_by)
     elif layout == "range":
-        n = range_count(input_bytes)
+        n = range_count(input_bytes, parallelism=spark.sparkContext.defaultParallelism)
         ranged = (out.repartitionByRange(n, *parts, *sort_cols) if n
                   else out.repartitionByRange(*parts, *sort_cols))
         laid_out = ranged.sortWithinPartitions(*parts, *sort_cols)

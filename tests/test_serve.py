@@ -153,6 +153,11 @@ def test_range_count_from_size():
     assert range_count(0) == 1 and range_count(1) == 1
     assert range_count(10 * 1024 ** 4) == 10 * 1024 ** 4 // (128 * 1024 ** 2)     # 10 TiB -> 81920 ranges
     assert range_count(100 * 1024 ** 4) == 100_000     # capped: each range keeps ~30 bound samples
+    mb = 1024 ** 2
+    assert range_count(45 * mb, parallelism=8) == 8     # mid-size: one range per slot
+    assert range_count(10 * mb, parallelism=8) == 3     # but no file under 4 MB
+    assert range_count(18 * 1024, parallelism=8) == 1
+    assert range_count(100 * 1024 ** 4, parallelism=8000) == 100_000
 
 
 def test_unsorted_pairs_counts_breaks_inside_each_file(spark, tmp):
