@@ -37,13 +37,14 @@ them; the count is collected in the same pass as the write (Observation).
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mediamart.functions import out_of_range
 from mediamart.sinks.lake import MAX_RECORDS_PER_FILE
-from mediamart.sources.fs import data_file_count
+from mediamart.sources.fs import data_file_count, delete, qualify
 from mediamart.specs import DatasetSpec
 
 
@@ -129,15 +130,34 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     # input must not be counted.
     obs = Observation(f"serve_{spec.name}_{int(t0 * 1000)}")
     laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *range_violations(out, spec))
-    table_path = f"{root.rstrip('/')}/{spec.name}"
-    writer = (laid_out.write.mode(mode).format("parquet").option("compression", "snappy")
-              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-              .option("path", table_path))
+    target = f"`{db}`.`{spec.name}`"
+    current = table_location(spark, db, spec.name)
+    writer = (laid_out.write.format("parquet").option("compression", "snappy")
+              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
     if parts:
         writer = writer.partitionBy(*parts)
     if buckets:
         writer = writer.bucketBy(buckets, *spec.bucket_by).sortBy(*sort_cols)
-    writer.saveAsTable(f"`{db}`.`{spec.name}`")
+    if mode == "append" and current is not None:
+        table_path = current
+        writer.mode("append").saveAsTable(target)
+    elif mode in ("overwrite", "append"):
+        # Write-then-swap: the new version is written as a staging table in
+        # its own folder; only after that job succeeded does it replace the
+        # table (two catalog operations). A load that fails midway leaves
+        # the previous version readable and untouched.
+        version = uuid.uuid4().hex[:12]
+        table_path = f"{root.rstrip('/')}/{spec.name}/v{version}"
+        staging = f"`{db}`.`{spec.name}_staging_{version}`"
+        writer.mode("overwrite").option("path", table_path).saveAsTable(staging)
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+        if current is not None:
+            old_q, new_q = qualify(spark, current), qualify(spark, table_path)
+            if not (new_q + "/").startswith(old_q + "/"):   # never a folder holding the new one
+                delete(spark, current)                       # the superseded version's files
+    else:
+        raise ValueError(f"unknown mode {mode!r}: use 'overwrite' or 'append'")
     stats = dict(obs.get)
     stats["elapsed_s"] = time.time() - t0
     # file count from one file-system metadata call (no data read, no listing
@@ -166,6 +186,15 @@ def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[st
     return stats
 
 
+def table_location(spark: SparkSession, db: str, name: str) -> str | None:
+    """Storage folder of an existing table (catalog metadata only), else None."""
+    if not spark.catalog.tableExists(f"{db}.{name}"):
+        return None
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{name}`")
+            .where(F.col("col_name") == "Location").collect())
+    return rows[0]["data_type"] if rows else None
+
+
 def require_tables(spark: SparkSession, db: str, names: list[str]) -> None:
     """Fail with one message naming every missing table."""
     missing = [n for n in names if not spark.catalog.tableExists(f"{db}.{n}")]

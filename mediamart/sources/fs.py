@@ -35,3 +35,15 @@ def data_file_count(spark: SparkSession, path: str) -> int:
     files = int(fs.getContentSummary(hpath).getFileCount())
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hpath, "_SUCCESS")
     return files - (1 if fs.exists(marker) else 0)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and everything below it (a superseded table version)."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.delete(hpath, True)
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of a path (scheme and authority), for comparing."""
+    fs, hpath = _fs_and_path(spark, path)
+    return str(fs.makeQualified(hpath).toString()).rstrip("/")

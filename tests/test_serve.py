@@ -171,3 +171,23 @@ def test_unsorted_pairs_counts_breaks_inside_each_file(spark, tmp):
            for r in checks.unsorted_pairs(files, ["tconst", "ordering"], ["grp"]).collect()}
     # b: tt2 > tt1, then (tt1, 2) > (tt1, 1); (tt1, 1) < (tt1, 3) is fine
     assert out == {"a": (3, 0), "b": (4, 2)}
+
+
+def test_reload_swaps_versions_and_a_failed_load_keeps_the_old_one(spark, tmp):
+    from mediamart.sinks.serve import table_location
+    rows = [("tt1", 1, "nm1", "actor", None, None), ("tt2", 1, "nm2", "director", None, None)]
+    db = "t_" + uuid.uuid4().hex[:8]
+    load_serving(spark, {"principals": credits(spark, rows)}, specs.LAKE, db, tmp)
+    first = table_location(spark, db, "principals")
+    load_serving(spark, {"principals": credits(spark, rows[:1])}, specs.LAKE, db, tmp)
+    second = table_location(spark, db, "principals")
+    assert second != first and not os.path.exists(first.replace("file:", ""))   # old version removed
+    assert read_serving(spark, db, "principals").count() == 1
+    failing = credits(spark, rows).withColumn(
+        "nconst", F.when(F.col("ordering") >= 0, F.raise_error(F.lit("load fails midway")))
+        .otherwise(F.col("nconst")))
+    with pytest.raises(Exception):
+        load_serving(spark, {"principals": failing}, specs.LAKE, db, tmp)
+    assert table_location(spark, db, "principals") == second                   # previous version kept
+    assert [r.tconst for r in read_serving(spark, db, "principals").collect()] == ["tt1"]
+    assert not [t for t in spark.catalog.listTables(db) if "staging" in t.name]
