@@ -29,6 +29,10 @@ row of a key must then sit in one bucket: a key with a third of the rows
 becomes one unsplittable write and read task. It is therefore opt-in, for
 keys known to be evenly spread.
 
+A reload (``mode="overwrite"``) writes the new version as a staging table in
+its own folder and swaps it in only after that write succeeded, so a failed
+load never leaves readers without the previous version.
+
 Spark has no unsigned integers: serving keeps the lake's signed type and
 *counts* values outside the declared unsigned range instead of wrapping
 them; the count is collected in the same pass as the write (Observation).
