@@ -35,7 +35,7 @@ from mediamart.llm.common import matrix, ship, valid_vectors, written
 FIT_ROWS, CALIBRATION_QUERIES = 20_000, 256
 BRANCH, LEAF_SAMPLE, MAX_LEAVES = 8, 24, 1024
 LEAF_BLOCK, QUERY_BLOCK = 4096, 4096
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.95
 
 
 class Tree:

@@ -6,15 +6,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import ann_tree, chat_format, exact_topk
+from mediamart.llm import ann_tree, bpe, chat_format, exact_topk
 from mediamart.llm.common import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
+    return coded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op7_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
@@ -33,6 +43,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bpe_segment_tree": op1_bpe_segment_tree,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,
