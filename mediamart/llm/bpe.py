@@ -384,7 +384,7 @@ def _run(docs: DataFrame, path: str, id_col: str, text_col: str, decoded: bool)
     def run(batches):
         bpe = tokenizer(source)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, 1):
                 ids, size = bpe.encode(texts(part.column(1)))
                 ends = np.cumsum(size)
                 each = [ids[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]

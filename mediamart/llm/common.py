@@ -70,12 +70,12 @@ def texts(column: pa.Array) -> list[str]:
     return ["" if v is None else v for v in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
-    """Cut a batch into consecutive runs of rows whose ``column`` holds about
+def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
+    """Cut a batch into consecutive runs of rows whose text ``column`` holds about
     ``limit`` bytes (a single longer value makes a run of its own)."""
     if batch.num_rows == 0:
         return
-    col = batch.column(batch.schema.get_field_index(column))
+    col = batch.column(column)
     size = np.asarray([0 if n is None else n for n in pa.compute.binary_length(col).to_pylist()], np.int64)
     start, held = 0, 0
     for i, n in enumerate(size):
@@ -108,3 +108,27 @@ def matrix(column: pa.Array) -> np.ndarray:
     """Rows of a non-null list<double> column of one length as a matrix."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def appended(df: DataFrame, column: str, kind: str, text_col: str, compute) -> DataFrame:
+    """``df`` with one more column that ``compute(values: list[bytes]) ->
+    pa.Array`` makes from the whole texts, run by run of a few megabytes."""
+    ship(df.sparkSession)
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, at):
+                new = compute(text_bytes(part.column(at)))
+                yield pa.RecordBatch.from_arrays([*part.columns, new], names=[*part.schema.names, column])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInArrow(run, f"{fields}, `{column}` {kind}")

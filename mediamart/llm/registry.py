@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import ann_tree, bpe, chat_format, exact_topk
-from mediamart.llm.common import table
+from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, quality_rules
+from mediamart.llm.common import id_remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,6 +25,14 @@ def op1_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.score(docs, model, "score").select(
+        "doc_id", (id_remainder("doc_id", quality_rules.LABEL_FOLDS) == quality_rules.HELD_OUT_FOLD).alias("held_out"), "score",
+        (F.col("score") >= quality_rules.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
@@ -44,6 +52,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe_segment_tree": op1_bpe_segment_tree,
+    "op2_quality_rules": op2_quality_rules,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,
