@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, quality_rules
+from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, language_mixture, quality_rules
 from mediamart.llm.common import id_remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality_rules.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_mixture.fit(docs)
+    found = language_mixture.predict(docs.select("doc_id", "text"), model, "found")
+    return found.select(
+        "doc_id", (id_remainder("doc_id", language_mixture.FOLDS) == language_mixture.HELD_OUT_FOLD).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
 def op7_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
@@ -53,6 +62,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe_segment_tree": op1_bpe_segment_tree,
     "op2_quality_rules": op2_quality_rules,
+    "op5_language_mixture": op5_language_mixture,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,
