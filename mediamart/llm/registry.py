@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, language_mixture, quality_rules
+from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, language_mixture, quality_rules, simhash_tiles
 from mediamart.llm.common import id_remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,11 @@ def op7_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
 
+def op8_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     # the fixed conversation of the contract
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_language_mixture": op5_language_mixture,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
+    "op8_simhash_tiles": op8_simhash_tiles,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,
 }
