@@ -46,7 +46,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     not recompute it and survive the loss of an executor."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

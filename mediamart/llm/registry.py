@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, language_mixture, quality_rules, simhash_tiles
+from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, language_mixture, packing, quality_rules, simhash_tiles
 from mediamart.llm.common import id_remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -42,6 +42,11 @@ def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, placed = packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+    return placed
+
+
 def op7_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(table(spark, sf_dir, "embeddings"), k=5, query_mod=50)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe_segment_tree": op1_bpe_segment_tree,
     "op2_quality_rules": op2_quality_rules,
     "op5_language_mixture": op5_language_mixture,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
     "op8_simhash_tiles": op8_simhash_tiles,
     "op9_chat_formatting": op9_chat_formatting,
