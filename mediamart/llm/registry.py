@@ -10,7 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import ann_tree, bpe, chat_format, exact_topk, language_mixture, packing, quality_rules, simhash_tiles
+from mediamart.llm import (
+    ann_tree,
+    bpe,
+    chat_format,
+    context_tree,
+    exact_topk,
+    language_mixture,
+    packing,
+    quality_rules,
+    simhash_tiles,
+)
 from mediamart.llm.common import id_remainder, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +43,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality_rules.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_mixture.fit(docs)
@@ -72,6 +86,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe_segment_tree": op1_bpe_segment_tree,
     "op2_quality_rules": op2_quality_rules,
+    "op3_context_tree": op3_context_tree,
     "op5_language_mixture": op5_language_mixture,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
