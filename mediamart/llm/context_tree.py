@@ -33,15 +33,14 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.llm.common import id_remainder, ship, slices, text_bytes, written
+from mediamart.llm.blocks import chunks, gather, packed, ranges, rest_columns, text_values, unpacked, unzipped, zipped
+from mediamart.llm.common import id_remainder, ship, written
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 DEPTH, JOINT = 5, 3            # contexts of JOINT bytes and more are weighted together
-BLOCK_BYTES, CHUNK_BYTES = 24 << 20, 2 << 20
 MARK = 0xFF                    # not in UTF-8: end of a text, and what stands before its start
 LOG_HALF = float(np.log(0.5))
 
@@ -156,77 +155,7 @@ class Subtree:
         return np.log10(np.where(self.bit == 1, one, 1 - one)).sum(1)
 
 
-# -- blocks of documents -----------------------------------------------------
-def _zip(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _unzip(packed: bytes) -> bytes:
-    return pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-
-
-def _ints(values: np.ndarray) -> bytes:
-    return _zip(np.ascontiguousarray(values, np.int64).tobytes())
-
-
-def _read(packed: bytes, kind=np.int64) -> np.ndarray:
-    return np.frombuffer(_unzip(packed), kind)
-
-
-_BLOCK = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
-                    ("size", pa.list_(pa.int64())), ("texts", pa.binary())])
-
-
-def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents gathered where they are read: a row holds about BLOCK_BYTES
-    of lower-cased text (a longer document is a row of its own)."""
-    rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text")
-    rows = rows.withColumn("held", id_remainder("doc_id", FOLDS) == HELD_OUT_FOLD)
-
-    def run(batches):
-        number = TaskContext.get().partitionId() << 32
-        ids, held, values, size = [], [], [], 0
-
-        def row():
-            nonlocal number
-            number += 1
-            return pa.RecordBatch.from_pydict({
-                "block": [number], "doc_id": [ids], "held": [held], "size": [[len(v) for v in values]],
-                "texts": [_zip(b"".join(values))]}, schema=_BLOCK)
-
-        for batch in batches:
-            for part in slices(batch, 1):
-                for i, v, h in zip(part.column(0).to_pylist(), text_bytes(part.column(1)), part.column(2).to_pylist()):
-                    if values and size + len(v) > BLOCK_BYTES:
-                        yield row()
-                        ids, held, values, size = [], [], [], 0
-                    ids.append(i)
-                    held.append(h)
-                    values.append(v.lower())
-                    size += len(v)
-        if ids:
-            yield row()
-
-    return rows.mapInArrow(run, "block long, doc_id array<long>, held array<boolean>, size array<long>, texts binary")
-
-
-def _values(row: dict) -> list[bytes]:
-    flat, ends = _unzip(row["texts"]), np.cumsum([0, *row["size"]]).tolist()
-    return [flat[a:b] for a, b in zip(ends, ends[1:])]
-
-
-def _chunks(values: list[bytes]):
-    """Index ranges of about CHUNK_BYTES."""
-    start, size = 0, 0
-    for i, v in enumerate(values):
-        if size and size + len(v) > CHUNK_BYTES:
-            yield start, i
-            start, size = i, 0
-        size += len(v)
-    if len(values) > start:
-        yield start, len(values)
-
-
+# -- what a block asks and is answered ----------------------------------------
 class _Index(dict):
     def __missing__(self, key):
         n = self[key] = len(self)
@@ -246,12 +175,6 @@ def _pair_group(key: np.ndarray, groups: int) -> np.ndarray:
     return ((mixed >> np.uint64(33)) % np.uint64(groups)).astype(np.int64)
 
 
-def _groups(group: np.ndarray):
-    """Ranges of equal values in a sorted array."""
-    cut = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, int)
-    return zip(group[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(group)])
-
-
 def _block_words(values: list[bytes], index: _Index) -> tuple[np.ndarray, np.ndarray]:
     """Number of every word in ``index``, and each text's word count."""
     parts, count, get = [], np.zeros(len(values), np.int64), index.__getitem__
@@ -265,7 +188,7 @@ def _block_words(values: list[bytes], index: _Index) -> tuple[np.ndarray, np.nda
 def _block_pairs(values: list[bytes], held: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of a block sorted by (group, key), training counts, groups."""
     parts = []
-    for a, b in _chunks(values):
+    for a, b in chunks([len(v) for v in values]):
         for part, counts in (([v for v, h in zip(values[a:b], held[a:b]) if not h], True),
                              ([v for v, h in zip(values[a:b], held[a:b]) if h], False)):
             if part:
@@ -277,26 +200,31 @@ def _block_pairs(values: list[bytes], held: np.ndarray, groups: int) -> tuple[np
     return key[order], n[order], group[order]
 
 
+def _held(row: dict) -> np.ndarray:
+    """Which documents of a block training leaves out."""
+    return np.asarray(rest_columns(row)[1].to_pylist(), bool)
+
+
 def _ask(word_groups: int, pair_groups: int):
     """A block's distinct words and pairs with training counts, by group."""
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                values, held, index = _values(row), np.array(row["held"], bool), _Index()
+                values, held, index = text_values(row), _held(row), _Index()
                 out = []
                 word, count = _block_words(values, index)
                 n = np.bincount(word, weights=np.repeat(~held, count), minlength=len(index)).astype(np.int64)
                 words = list(index)
                 index.clear()
                 group, order = _word_order(words, word_groups)
-                for g, a, b in _groups(group[order]):
+                for g, a, b in ranges(group[order]):
                     part = order[a:b]
-                    out.append({"block": row["block"], "kind": "w", "grp": g, "n": _ints(n[part]),
-                                "keys": _zip(b"\n".join(words[i] for i in part.tolist()))})
+                    out.append({"block": row["block"], "kind": "w", "grp": g, "n": packed(n[part]),
+                                "keys": zipped(b"\n".join(words[i] for i in part.tolist()))})
                 key, n, group = _block_pairs(values, held, pair_groups)
-                for g, a, b in _groups(group):
-                    out.append({"block": row["block"], "kind": "p", "grp": g, "n": _ints(n[a:b]),
-                                "keys": _ints(np.diff(key[a:b], prepend=0))})
+                for g, a, b in ranges(group):
+                    out.append({"block": row["block"], "kind": "p", "grp": g, "n": packed(n[a:b]),
+                                "keys": packed(np.diff(key[a:b], prepend=0))})
                 yield pa.RecordBatch.from_pylist(out, _ASKED)
     return run
 
@@ -311,21 +239,21 @@ def _count_words(t: pa.Table) -> pa.Table:
     index, asked, total = _Index(), [], np.zeros(0, np.int64)
     rows = t.to_pylist()
     for row in rows:
-        words = _unzip(row["keys"]).split(b"\n")
+        words = unzipped(row["keys"]).split(b"\n")
         at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
         if len(index) > len(total):
             total = np.concatenate([total, np.zeros(len(index) - len(total), np.int64)])
-        total[at] += _read(row["n"])          # a block names a word once
+        total[at] += unpacked(row["n"])          # a block names a word once
         asked.append(at)
     return pa.Table.from_pylist(
-        [{"block": r["block"], "kind": "w", "grp": r["grp"], "found": _ints(total[at]),
+        [{"block": r["block"], "kind": "w", "grp": r["grp"], "found": packed(total[at]),
           "tokens": int(total.sum()) if i == 0 else 0, "known": int((total > 0).sum()) if i == 0 else 0}
          for i, (r, at) in enumerate(zip(rows, asked))],
         pa.schema([*_ANSWER, ("tokens", pa.int64()), ("known", pa.int64())]))
 
 
 def _group_pairs(t: pa.Table) -> tuple[Subtree, np.ndarray, list]:
-    rows = [(b, g, np.cumsum(_read(k)), _read(n)) for b, g, k, n in zip(*(t.column(c).to_pylist() for c in ("block", "grp", "keys", "n")))]
+    rows = [(b, g, np.cumsum(unpacked(k)), unpacked(n)) for b, g, k, n in zip(*(t.column(c).to_pylist() for c in ("block", "grp", "keys", "n")))]
     key, n = summed([(k, n) for _, _, k, n in rows])
     return Subtree(key, n), key, rows
 
@@ -343,7 +271,7 @@ def _answer_pairs(asked: pa.Table, above: pa.Table) -> pa.Table:
     node = np.asarray(above.column("node"))
     order = np.argsort(node)
     log_p = tree.log10(node[order], np.asarray(above.column("add"))[order], np.asarray(above.column("times"))[order])
-    return pa.Table.from_pylist([{"block": b, "kind": "p", "grp": g, "found": _zip(log_p[np.searchsorted(key, k)].tobytes())}
+    return pa.Table.from_pylist([{"block": b, "kind": "p", "grp": g, "found": zipped(log_p[np.searchsorted(key, k)].tobytes())}
                                  for b, g, k, _ in rows], _ANSWER)
 
 
@@ -407,23 +335,23 @@ def _score(word_groups: int, pair_groups: int):
         for kind, g, blob in zip(*(answers.column(c).to_pylist() for c in ("kind", "grp", "found"))):
             found[kind][g] = blob
         for row in block.to_pylist():
-            values, held, index = _values(row), np.array(row["held"], bool), _Index()
+            values, held, index = text_values(row), _held(row), _Index()
             word, count = _block_words(values, index)
             words = list(index)
             index.clear()
             c = np.zeros(len(words), np.int64)
             if words:
                 _, order = _word_order(words, word_groups)
-                c[order] = np.concatenate([_read(found["w"][g]) for g in sorted(found["w"])])
+                c[order] = np.concatenate([unpacked(found["w"][g]) for g in sorted(found["w"])])
             del words
             known, logs = _sums((c > 0)[word].astype(float), count), _sums(np.log10(c + 1.0)[word], count)
             key, _, _ = _block_pairs(values, held, pair_groups)
-            log_p = np.concatenate([_read(found["p"][g], np.float64) for g in sorted(found["p"])])
+            log_p = np.concatenate([unpacked(found["p"][g], np.float64) for g in sorted(found["p"])])
             place, score = pd.Index(key), np.zeros(len(values))
-            for a, b in _chunks(values):
+            for a, b in chunks(row["size"]):
                 keys, size = pair_keys(values[a:b])
                 score[a:b] = _sums(log_p[place.get_indexer(keys)], size)
-            out.append(pa.table([pa.array(row["doc_id"], pa.int64()), pa.array(held), pa.array(count),
+            out.append(pa.table([rest_columns(row)[0], pa.array(held), pa.array(count),
                                  pa.array(known.astype(np.int64)), pa.array(logs), pa.array(score)], schema=_SCORED))
         return pa.concat_tables(out) if out else _SCORED.empty_table()
     return run
@@ -432,14 +360,14 @@ def _score(word_groups: int, pair_groups: int):
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     ship(docs.sparkSession)
-    packed = written(blocks(docs, id_col, text_col), "context_blocks")
-    total, train = packed.select(
-        F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b)),
-        F.sum(F.size(F.filter("held", lambda h: ~h)))).first()
-    train = int(train or 0)
+    rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text")
+    rows = rows.withColumn("held", id_remainder("doc_id", FOLDS) == HELD_OUT_FOLD)
+    train = rows.where(~F.col("held")).count()
+    held = written(gather(rows, "text", lower=True), "context_blocks")
+    total = held.select(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0]
     word_groups = max(8, -(-int(total or 0) // (12 << 20)))
     pair_groups = max(8, -(-int(total or 0) // (16 << 20)))
-    asked = written(packed.mapInArrow(_ask(word_groups, pair_groups), "block long, kind string, grp long, keys binary, n binary"),
+    asked = written(held.mapInArrow(_ask(word_groups, pair_groups), "block long, kind string, grp long, keys binary, n binary"),
                     "context_asked")
     words, pairs = asked.where("kind = 'w'"), asked.where("kind = 'p'")
     counted = written(words.groupBy("grp").applyInArrow(
@@ -451,7 +379,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     answered = pairs.groupBy("grp").cogroup(_above(joint).groupBy("grp")).applyInArrow(
         _answer_pairs, "block long, kind string, grp long, found binary")
     answers = counted.select("block", "kind", "grp", "found").union(answered)
-    scored = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    scored = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(word_groups, pair_groups), "doc_id long, held_out boolean, n_words long, known long, log_counts double, score double")
     count = F.col("n_words") + 1          # the words and the end
     return scored.select(
