@@ -20,6 +20,7 @@ from mediamart.llm import (
     packing,
     quality_rules,
     simhash_tiles,
+    suffix_dedup,
 )
 from mediamart.llm.common import id_remainder, table
 
@@ -47,6 +48,13 @@ def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut, (kept, n_bytes, spans) = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", n_bytes, (F.col(n_bytes) - F.octet_length(kept)).alias("n_removed"),
+        F.size(spans).cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_mixture.fit(docs)
@@ -87,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe_segment_tree": op1_bpe_segment_tree,
     "op2_quality_rules": op2_quality_rules,
     "op3_context_tree": op3_context_tree,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_language_mixture": op5_language_mixture,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ann_kmeans_tree": op7_ann_kmeans_tree,
