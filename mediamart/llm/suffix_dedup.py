@@ -23,7 +23,8 @@ Defined cases: a null text counts as empty; texts shorter than LENGTH lose
 nothing; matches never cross documents; rows that share an id do not remove
 from each other; a row with a null id counts as larger than every id; a match
 within one document removes nothing; an empty table gives an empty result;
-other columns pass through untouched.
+other columns pass through untouched; ``clean_text`` drops a character of which
+a byte was removed.
 """
 
 from __future__ import annotations
@@ -445,3 +446,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = to_arrow_schema(StructType.fromDDL(shape))
     cut = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(groups, id_at, hot, schema), shape)
     return cut, made
+
+
+def clean_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with its columns, the repeated strings cut out of the text."""
+    cut, (kept, _, _) = remove_repeats(docs, id_col, text_col)
+    names, at, kept_at = docs.columns, docs.columns.index(text_col), cut.columns.index(kept)
+
+    def run(batches):
+        for batch in batches:
+            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(kept_at).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], text, *batch.columns[at:kept_at]], names=names)
+
+    fields = ", ".join(f"`{f.name}` {'string' if f.name == text_col else f.dataType.simpleString()}" for f in docs.schema.fields)
+    return cut.mapInArrow(run, fields)
