@@ -7,8 +7,8 @@ they agree in one of RADIUS + 1 bit ranges, as any two within RADIUS bits do
 sorted by population count and compared tile by tile with numpy exclusive-or
 and bit counts; a pair of tiles whose population counts differ by more than
 the radius is skipped. A bucket of more than PART nodes is cut into parts, and
-each pair of parts is a group of its own. A group sends a spanning forest of
-its links, never all pairs. Components come from rounds of star contraction,
+each pair of parts is a group of its own. A group sends its components as stars,
+never all pairs. Components come from rounds of star contraction,
 each written to the shared folder.
 
 Defined cases: a null text counts as empty; a text without words has
@@ -69,8 +69,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def tile_links(fp: np.ndarray, radius: int, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links within ``fp`` (or between ``fp`` and
-    ``other``): every link's ends are connected in it."""
+    """The links within ``fp`` (or between ``fp`` and ``other``) as stars: each
+    connected node with the smallest node (as a signed number) it is connected
+    to, so that later rounds start from short paths."""
     both = fp if other is None else np.concatenate([fp, other])
     side = np.zeros(len(both), bool)
     if other is not None:
@@ -79,7 +80,6 @@ def tile_links(fp: np.ndarray, radius: int, other: np.ndarray | None = None) ->
     order = np.argsort(bits, kind="stable")
     both, bits, side = both[order], bits[order].astype(int), side[order]
     label = np.arange(len(both))
-    out_a, out_b = [], []
     for i in range(0, len(both), TILE):
         a = both[i:i + TILE]
         for j in range(i, len(both), TILE):
@@ -91,29 +91,27 @@ def tile_links(fp: np.ndarray, radius: int, other: np.ndarray | None = None) ->
             ok = x < y
             if other is not None:
                 ok &= side[x] != side[y]
-            x, y = _forest(label, x[ok], y[ok])
-            out_a.append(both[x])
-            out_b.append(both[y])
-    if not out_a:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return np.concatenate(out_a), np.concatenate(out_b)
-
-
-def _forest(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the links (x, y) that join two parts; updates the parts' labels."""
-    kept = np.zeros(len(x), bool)
+            _join(label, x[ok], y[ok])
+    signed = both.view(np.int64)
+    order = np.lexsort((signed, label))
+    first = np.flatnonzero(np.r_[True, label[order][1:] != label[order][:-1]]) if len(order) else order
+    root = np.repeat(order[first], np.diff(np.r_[first, len(order)]))
+    far = signed[order] != signed[root]
+    return both[order[far]], both[root[far]]
+
+
+def _join(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Give the ends of each link (x, y), and all nodes that share a label
+    with them, one label."""
     while True:
         lx, ly = label[x], label[y]
-        open_ = np.flatnonzero(lx != ly)
-        if not len(open_):
-            return x[kept], y[kept]
-        low, high = np.minimum(lx[open_], ly[open_]), np.maximum(lx[open_], ly[open_])
-        # one link for each part that still has a smaller neighbour
-        order = np.lexsort((low, high))
-        first = order[np.r_[True, high[order][1:] != high[order][:-1]]]
-        kept[open_[first]] = True
+        open_ = lx != ly
+        if not open_.any():
+            return
+        x, y, lx, ly = x[open_], y[open_], lx[open_], ly[open_]
+        low, high = np.minimum(lx, ly), np.maximum(lx, ly)
         parent = np.arange(len(label))
-        parent[high[first]] = low[first]
+        np.minimum.at(parent, high, low)
         while True:
             jumped = parent[parent]
             if (jumped == parent).all():
@@ -123,8 +121,8 @@ def _forest(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray
 
 
 def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """a, b: links between the distinct fingerprints of ``nodes`` (column fp),
-    enough of them to connect whatever is connected."""
+    """a, b: pairs of distinct fingerprints of ``nodes`` (column fp) that are
+    connected, enough of them to connect whatever is."""
     spark = nodes.sparkSession
     ship(spark)
     ranges = radius + 1
