@@ -13,12 +13,17 @@ partition size); ``maxRecordsPerFile`` is only a loose safety bound.
 
 from __future__ import annotations
 
+import logging
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.sources.fs import exists
+from mediamart.sources.fs import child_folders, delete, exists, replace_folder
 from mediamart.specs import DatasetSpec
 
+log = logging.getLogger("mediamart")
+
 # Safety bound only: files are sized by bytes (rebalance advisory size here,
 # range count in the serving layout), so a task rarely reaches it. Narrow
 # datasets store under 10 bytes a row; a low row cap would split every
@@ -26,41 +31,65 @@ from mediamart.specs import DatasetSpec
 MAX_RECORDS_PER_FILE = 10_000_000
 
 
-def write_lake(df: DataFrame, path: str, partition_by: tuple[str, ...] | list[str],
-               mode: str = "overwrite") -> None:
-    """K1/K2: one job, Snappy Parquet, static overwrite of the whole dataset
-    (an idempotent full rebuild) or append."""
+def _beside(path: str) -> str:
+    """A fresh hidden folder next to ``path`` (same file system, so a rename
+    moves it into place)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}_new_{uuid.uuid4().hex[:12]}"
+
+
+def _write(df: DataFrame, path: str, partition_by, mode: str, max_records: int) -> None:
     out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     (out.write.mode(mode)
-     .option("partitionOverwriteMode", "static")   # whatever the session default is
      .option("compression", "snappy")
-     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .option("maxRecordsPerFile", max_records)
      .partitionBy(*partition_by)
      .parquet(path))
 
 
-# Characters Spark escapes as %XX in partition directory names (Hive rule):
-# control characters, DEL and the ones below. Others, non-ASCII included,
-# are kept. They must match the writer's own escaping.
-_ESCAPED = set(chr(i) for i in range(1, 32)) | {'"', "#", "%", "'", "*", "/", ":", "=", "?",
-                                                 "\\", "\x7f", "{", "[", "]", "^"}
-
-
-def _escape(value: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+def write_lake(df: DataFrame, path: str, partition_by: tuple[str, ...] | list[str],
+               mode: str = "overwrite", max_records: int = MAX_RECORDS_PER_FILE) -> None:
+    """K1/K2: one job, Snappy Parquet, an idempotent full rebuild
+    (``overwrite``) or ``append``. A rebuild is written next to the dataset
+    and swapped in when it succeeded, so a failed one leaves the old rows."""
+    if mode != "overwrite":
+        _write(df, path, partition_by, mode, max_records)
+        return
+    fresh = _beside(path)
+    try:
+        _write(df, fresh, partition_by, "error", max_records)
+        replace_folder(df.sparkSession, fresh, path)
+    except BaseException:
+        delete(df.sparkSession, fresh)
+        raise
 
 
 def overwrite_slice(df: DataFrame, path: str, column: str, value: str,
-                    sub_partition_by: tuple[str, ...] = ()) -> None:
+                    sub_partition_by: tuple[str, ...] = (), max_records: int = MAX_RECORDS_PER_FILE) -> int:
     """K3: rewrite one value of the first partition column, e.g. one
-    titleType, leaving every other slice untouched.
-
-    The slice directory itself is overwritten (static overwrite below it),
-    so a re-run is idempotent and sub-partitions that vanished from the
-    source disappear too (dynamic partition overwrite on the root would
-    leave them behind)."""
-    slice_df = df.filter(F.col(column) == value).drop(column)
-    write_lake(slice_df, f"{path}/{column}={_escape(value)}", sub_partition_by, mode="overwrite")
+    titleType, leaving every other slice untouched; returns the rows written.
+
+    The slice is written next to the dataset by Spark's own partitioning (so
+    the directory name is the writer's) and its directory is swapped in whole:
+    a re-run is idempotent and sub-partitions that vanished from the source
+    disappear too. An empty value has no directory of its own and is refused;
+    a value without rows (a typo, say) is logged and changes nothing."""
+    if not value:
+        raise ValueError(f"{column}: a slice needs a non-empty value")
+    spark, fresh = df.sparkSession, _beside(path)
+    part = df.filter(F.col(column) == value)
+    try:
+        _write(part, fresh, (column, *sub_partition_by), "error", max_records)
+        made = [d for d in child_folders(spark, fresh) if d.startswith(f"{column}=")]
+        rows = spark.read.schema(part.schema).parquet(fresh).count() if made else 0   # from the footers
+        if rows:
+            (name,) = made
+            replace_folder(spark, f"{fresh}/{name}", f"{path.rstrip('/')}/{name}")
+        else:
+            log.warning("%s = %r has no rows; %s is left as it was", column, value, path)
+    finally:
+        delete(spark, fresh)
+    return rows
 
 
 def read_lake(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
@@ -71,16 +100,18 @@ def read_lake(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
     instead of failing schema inference. Partition values are URL-decoded
     and ``__HIVE_DEFAULT_PARTITION__`` becomes NULL by partition discovery."""
     if not exists(spark, path):
+        log.warning("lake dataset not found, read as empty: %s", path)
         return spark.createDataFrame([], spec.lake_schema)
     return spark.read.schema(spec.lake_schema).option("basePath", path).parquet(path)
 
 
 def build_lake(spark: SparkSession, root: str, frames: dict[str, DataFrame],
-               specs: dict[str, DatasetSpec], datasets: list[str] | None = None) -> dict[str, str]:
+               specs: dict[str, DatasetSpec], datasets: list[str] | None = None,
+               max_records: int = MAX_RECORDS_PER_FILE) -> dict[str, str]:
     """K4: write the chosen datasets (default: all), one job each."""
     written = {}
     for name in datasets or list(frames):
         path = f"{root.rstrip('/')}/{name}"
-        write_lake(frames[name], path, specs[name].partition_by)
+        write_lake(frames[name], path, specs[name].partition_by, max_records=max_records)
         written[name] = path
     return written

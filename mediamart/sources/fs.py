@@ -4,6 +4,8 @@ is read and nothing but a flag or a number comes back to the driver."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -37,6 +39,44 @@ def data_file_count(spark: SparkSession, path: str) -> int:
     return files - (1 if fs.exists(marker) else 0)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet file lies below ``path``; stops at the first one."""
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return False
+    files = fs.listFiles(hpath, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` (none if it is missing)."""
+    fs, hpath = _fs_and_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
+
+
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put folder ``new`` in the place of ``target``. The old folder is moved
+    aside first and deleted last, and moved back if the new one cannot be put
+    in its place, so a failure leaves one of the two readable. Between the two
+    renames (two metadata calls) the target is absent."""
+    fs, target_path = _fs_and_path(spark, target)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    aside = path(target_path.getParent(), f"_{target_path.getName()}_old_{uuid.uuid4().hex[:12]}")
+    had_old = bool(fs.exists(target_path))
+    if had_old and not fs.rename(target_path, aside):
+        raise OSError(f"cannot move {target} aside")
+    fs.mkdirs(target_path.getParent())
+    if not fs.rename(path(new), target_path):
+        if had_old:
+            fs.rename(aside, target_path)
+        raise OSError(f"cannot put {new} in the place of {target}")
+    if had_old:
+        fs.delete(aside, True)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder and everything below it (a superseded table version)."""
     fs, hpath = _fs_and_path(spark, path)

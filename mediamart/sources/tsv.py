@@ -52,24 +52,18 @@ def check_inputs(spark: SparkSession, input_dir: str, specs: list[DatasetSpec])
     return found
 
 
-def read_tsv(spark: SparkSession, path: str, spec: DatasetSpec, check_header: bool = False,
-             target_partition_bytes: int = 128 * 1024 * 1024) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, spec: DatasetSpec, check_header: bool = False) -> DataFrame:
     """Read one raw source with its declared all-string schema.
 
     ``check_header=True`` makes Spark compare the header line with the
-    schema's names and fail on a mismatch."""
+    schema's names and fail on a mismatch. A gzip file cannot be split, so
+    each is one task; nothing is shuffled here, as the joins and writers that
+    follow deal the rows out anyway. Ship large inputs as several files."""
     actual = resolve_path(spark, path)
     reader = spark.read.schema(spec.raw_schema).options(**TSV_OPTIONS)
     if check_header:
         reader = reader.option("enforceSchema", "false")
-    df = reader.csv(actual)
-    if actual.endswith(".gz"):
-        # one task per gzip file: spread rows before the cleaners and writers.
-        # The size only decides the partition count; no data is read here.
-        size = size_bytes(spark, actual)
-        parts = max(spark.sparkContext.defaultParallelism, -(-size * 4 // target_partition_bytes))
-        df = df.repartition(int(parts))
-    return df
+    return reader.csv(actual)
 
 
 def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:

@@ -3,6 +3,8 @@
 import glob
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,3 +105,43 @@ def test_partition_filters_reach_the_scan(spark, tmp):
     text = plan_text(pushed)
     assert "PushedFilters: [IsNotNull(numVotes), GreaterThanOrEqual(numVotes,10)]" in text
     assert "ReadSchema: struct<tconst:string,numVotes:int>" in text
+
+
+def test_slice_refuses_empty_and_reports_rows(spark, tmp):
+    path = os.path.join(tmp, "titles")
+    full = titles_rows(spark, [title("m1", "movie", 1994), title("s1", "a/b=c", 1994)])
+    write_lake(full, path, specs.TITLES.partition_by)
+    for empty in ("", None):
+        with pytest.raises(ValueError):
+            overwrite_slice(full, path, "titleType", empty, ("decade",))
+    assert overwrite_slice(full, path, "titleType", "moive", ("decade",)) == 0      # a typo
+    assert overwrite_slice(full, path, "titleType", "a/b=c", ("decade",)) == 1
+    assert overwrite_slice(full, path, "titleType", "movie", ("decade",)) == 1
+    back = {(r.tconst, r.titleType) for r in read_lake(spark, path, specs.TITLES).collect()}
+    assert back == {("m1", "movie"), ("s1", "a/b=c")}
+    assert sorted(os.listdir(path)) == sorted(x for x in os.listdir(path) if not x.startswith("_") or x == "_SUCCESS")
+    assert len([x for x in os.listdir(path) if x.startswith("titleType=")]) == 2
+
+
+def test_a_failed_rebuild_keeps_the_old_rows(spark, tmp):
+    path = os.path.join(tmp, "titles")
+    write_lake(titles_rows(spark, [title("m1", "movie", 1994)]), path, specs.TITLES.partition_by)
+    failing = titles_rows(spark, [title("m2", "movie", 1994)]).withColumn(
+        "tconst", F.when(F.col("tconst") == "m2", F.raise_error(F.lit("midway"))).otherwise(F.col("tconst")))
+    with pytest.raises(Exception):
+        write_lake(failing, path, specs.TITLES.partition_by)
+    assert [r.tconst for r in read_lake(spark, path, specs.TITLES).collect()] == ["m1"]
+    assert [x for x in os.listdir(tmp) if "_new_" in x or "_old_" in x] == []
+
+
+def test_record_bound_is_an_option(spark, tmp):
+    path = os.path.join(tmp, "titles")
+    rows = titles_rows(spark, [title(f"m{i}", "movie", 1994) for i in range(100)]).coalesce(1)
+    write_lake(rows, path, specs.TITLES.partition_by, max_records=10)
+    assert len(read_lake(spark, path, specs.TITLES).inputFiles()) >= 10
+
+
+def test_missing_dataset_is_named(spark, tmp, caplog):
+    with caplog.at_level("WARNING", "mediamart"):
+        assert read_lake(spark, os.path.join(tmp, "titels"), specs.TITLES).count() == 0
+    assert "titels" in caplog.text
