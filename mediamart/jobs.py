@@ -7,8 +7,8 @@
     stats = load(spark, "/data/lake", "/data/serve", db="media")
 
 Each dataset is one Spark job. Inputs are checked up front (every missing
-file reported at once); a missing lake dataset is skipped at load time with
-zero statistics.
+file reported at once); a lake dataset without data files is skipped at load time
+with zero statistics, its serving table staying as it was.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ from mediamart import specs
 from mediamart.operators import checks
 from mediamart.operators.clean import clean
 from mediamart.operators.enrich import titles_mart
-from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
-from mediamart.sinks.serve import load_serving, read_serving
-from mediamart.sources.fs import exists, size_bytes
+from mediamart.sinks.lake import MAX_RECORDS_PER_FILE, overwrite_slice, read_lake, write_lake
+from mediamart.sinks.serve import MAX_RANGES, load_serving, read_serving
+from mediamart.session import apply_conf, size_shuffles
+from mediamart.sources.fs import data_file_count, has_data, size_bytes
 from mediamart.sources.tsv import check_inputs, read_tsv
 
 log = logging.getLogger("mediamart")
@@ -46,46 +47,53 @@ def lake_frame(spark: SparkSession, input_dir: str, dataset: str, check_header:
 
 
 def etl(spark: SparkSession, input_dir: str, output_dir: str, datasets: list[str] | None = None,
-        title_type: str | None = None, check_header: bool = False) -> dict[str, str]:
+        title_type: str | None = None, check_header: bool = False,
+        max_records: int = MAX_RECORDS_PER_FILE) -> dict[str, str]:
     """Build the lake. ``datasets`` defaults to all four. With ``title_type``
-    only that titleType slice of titles is rewritten (idempotent)."""
+    only that titleType slice of titles is rewritten (idempotent).
+    ``max_records`` bounds the rows of a file."""
     chosen = list(datasets or DATASETS)
     unknown = set(chosen) - set(DATASETS)
     if unknown:
         raise ValueError(f"unknown datasets {sorted(unknown)}; choose from {DATASETS}")
-    check_inputs(spark, input_dir, [specs.SOURCES[s] for d in chosen for s in INPUTS[d]])
+    found = check_inputs(spark, input_dir, [specs.SOURCES[s] for d in chosen for s in INPUTS[d]])
+    apply_conf(spark)
     written = {}
     for name in chosen:
         path = f"{output_dir.rstrip('/')}/{name}"
+        size_shuffles(spark, sum(size_bytes(spark, found[s]) for s in INPUTS[name]))
         df = lake_frame(spark, input_dir, name, check_header)
         if name == "titles" and title_type is not None:
-            overwrite_slice(df, path, "titleType", title_type, ("decade",))
+            overwrite_slice(df, path, "titleType", title_type, ("decade",), max_records)
         else:
-            write_lake(df, path, specs.LAKE[name].partition_by)
+            write_lake(df, path, specs.LAKE[name].partition_by, max_records=max_records)
         written[name] = path
     return written
 
 
 def load(spark: SparkSession, lake_dir: str, serve_root: str, db: str, only: list[str] | None = None,
          truncate: bool = True, buckets: int | None = None, verify: bool = True,
-         layout: str = "range") -> dict:
+         layout: str = "range", max_ranges: int = MAX_RANGES, max_records: int = MAX_RECORDS_PER_FILE) -> dict:
     """Load serving tables from the lake. ``truncate`` (default) replaces
     the tables, so a re-run never duplicates; ``truncate=False`` appends.
-    Returns per-dataset statistics and, with ``verify``, the tagged row
-    counts of the serving tables."""
+    The genre rollup is stored beside titles and rebuilt whenever titles is
+    loaded. Returns per-dataset statistics (``files``: lake files read) and,
+    with ``verify``, the tagged row counts of the serving tables."""
     t0 = time.time()
+    apply_conf(spark)
     chosen = list(only or DATASETS)
-    lake, sizes = {}, {}
+    lake, sizes, files = {}, {}, {}
     for name in chosen:
         path = f"{lake_dir.rstrip('/')}/{name}"
-        if exists(spark, path):
+        if has_data(spark, path):
             lake[name] = read_lake(spark, path, specs.LAKE[name])
-            sizes[name] = size_bytes(spark, path)
+            sizes[name], files[name] = size_bytes(spark, path), data_file_count(spark, path)
         else:
-            log.warning("lake dataset not found, skipped: %s", path)
+            log.warning("lake dataset without data files, skipped: %s", path)
             lake[name] = None
     stats = load_serving(spark, lake, specs.LAKE, db, serve_root, chosen, buckets=buckets,
-                         mode="overwrite" if truncate else "append", layout=layout, input_bytes=sizes)
+                         mode="overwrite" if truncate else "append", layout=layout, input_bytes=sizes,
+                         max_ranges=max_ranges, max_records=max_records, input_files=files)
     result = {"stats": stats, "total_elapsed_s": time.time() - t0}
     if verify:
         present = {n: read_serving(spark, db, n) for n in chosen if lake[n] is not None}

@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from mediamart.sources.fs import delete
+
 # Session settings the pipeline relies on. AQE is what turns the static plan
 # into a scale-safe one: it coalesces small shuffle partitions, converts a
 # sort-merge join to a broadcast join only when the *measured* build side is
@@ -82,6 +84,48 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 64 << 20) -> int:
+    """Start shuffles with enough partitions for ``input_bytes`` (compressed
+    input of ``per_partition`` bytes each, never fewer than the session's
+    count). AQE merges small ones afterwards but does not split uniformly
+    large ones, so the start has to come from the data."""
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(input_bytes) // per_partition))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
+# (application, slot) -> folder and database of the slot's latest use
+_SLOTS: dict[tuple[str, str], tuple[str, str | None]] = {}
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, never-reused location below the shared folder."""
-    return "/".join([shared_dir(spark), "mediamart", uuid.uuid4().hex, *parts])
+    return "/".join([shared_dir(spark), "mediamart", spark.sparkContext.applicationId, uuid.uuid4().hex, *parts])
+
+
+def scratch_slot(spark: SparkSession, slot: str, database: str | None = None) -> str:
+    """A fresh location that replaces the slot's previous one, whose folder
+    (and database) is removed now. Results are lazy, so a location stays until
+    the slot's next use; ``clear_scratch`` removes all at the session's end."""
+    key = (spark.sparkContext.applicationId, slot)
+    old = _SLOTS.pop(key, None)
+    if old:
+        _remove(spark, *old)
+    path = scratch_path(spark, slot)
+    _SLOTS[key] = (path, database)
+    return path
+
+
+def _remove(spark: SparkSession, path: str, database: str | None) -> None:
+    if database:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    delete(spark, path.rsplit("/", 1)[0])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote below the shared folder, and
+    the databases of its slots. Call it when no result is read any more."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _SLOTS if k[0] == app]:
+        _remove(spark, *_SLOTS.pop(key))
+    delete(spark, "/".join([shared_dir(spark), "mediamart", app]))

@@ -30,8 +30,14 @@ becomes one unsplittable write and read task. It is therefore opt-in, for
 keys known to be evenly spread.
 
 A reload (``mode="overwrite"``) writes the new version as a staging table in
-its own folder and swaps it in only after that write succeeded, so a failed
-load never leaves readers without the previous version.
+its own folder and swaps it in only after that write succeeded: the old table
+is renamed aside, the staging table takes its name, and the old one is renamed
+back if that fails. Between the two catalog calls readers find no table.
+
+Only version folders that this loader wrote (``<root>/<table>/v<12 hex
+digits>``) are ever deleted. A table of the same name with files elsewhere is
+replaced in the catalog if it is external, its files staying as they are; a
+managed one, whose files the catalog would delete, is refused.
 
 Spark has no unsigned integers: serving keeps the lake's signed type and
 *counts* values outside the declared unsigned range instead of wrapping
@@ -40,6 +46,8 @@ them; the count is collected in the same pass as the write (Observation).
 
 from __future__ import annotations
 
+import logging
+import re
 import time
 import uuid
 
@@ -47,11 +55,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mediamart.functions import out_of_range
+from mediamart.operators.rollup import build_rollup
 from mediamart.sinks.lake import MAX_RECORDS_PER_FILE
 from mediamart.sources.fs import data_file_count, delete, qualify
 from mediamart.specs import DatasetSpec
 
 
+log = logging.getLogger("mediamart")
+
+
 def serve_projection(lake_df: DataFrame, spec: DatasetSpec) -> DataFrame:
     absent = [c.name for c in spec.serve if c.name not in lake_df.columns]
     if absent:
@@ -83,7 +95,7 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 # and every task carries the whole bounds array. Beyond this a range holds
 # more than the target size and its task writes several sorted files, still
 # disjoint from every other range's.
-MAX_RANGES = 100_000
+MAX_RANGES = 100_000         # default of the ``max_ranges`` argument; a log line says when it binds
 # Floor for mid-size tables: at least one range per task slot, so the sort,
 # the write and later scans use the whole cluster, unless that would make
 # files smaller than this.
@@ -107,7 +119,8 @@ def range_count(input_bytes: int | None, target_bytes: int = TARGET_FILE_BYTES,
 
 def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db: str, root: str,
                   buckets: int | None = None, mode: str = "overwrite", layout: str = "range",
-                  input_bytes: int | None = None) -> dict:
+                  input_bytes: int | None = None, max_ranges: int = MAX_RANGES,
+                  max_records: int = MAX_RECORDS_PER_FILE) -> dict:
     """Project, check and write one serving table; returns its load stats.
 
     ``input_bytes`` (the lake dataset's size on disk) sizes the range layout;
@@ -121,7 +134,10 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
         # same hash as bucketBy: one file per bucket per partition directory
         laid_out = out.repartition(buckets, *spec.bucket_by)
     elif layout == "range":
-        n = range_count(input_bytes, parallelism=spark.sparkContext.defaultParallelism)
+        n = range_count(input_bytes, max_ranges=max_ranges, parallelism=spark.sparkContext.defaultParallelism)
+        if n == max_ranges:
+            log.warning("%s: the range count is at its bound of %d; ranges hold more than %d MB",
+                        spec.name, max_ranges, TARGET_FILE_BYTES >> 20)
         ranged = (out.repartitionByRange(n, *parts, *sort_cols) if n
                   else out.repartitionByRange(*parts, *sort_cols))
         laid_out = ranged.sortWithinPartitions(*parts, *sort_cols)
@@ -136,8 +152,12 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"), *range_violations(out, spec))
     target = f"`{db}`.`{spec.name}`"
     current = table_location(spark, db, spec.name)
+    if current is not None and mode != "append" and not _own_version(spark, current, root, spec.name):
+        if _table_detail(spark, db, spec.name, "Type") == "MANAGED":
+            raise RuntimeError(f"{db}.{spec.name} is a managed table that this loader did not write; drop or rename it first")
+        log.warning("%s.%s pointed at %s; the catalog entry is replaced, the files stay", db, spec.name, current)
     writer = (laid_out.write.format("parquet").option("compression", "snappy")
-              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
+              .option("maxRecordsPerFile", max_records))
     if parts:
         writer = writer.partitionBy(*parts)
     if buckets:
@@ -154,29 +174,51 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
         table_path = f"{root.rstrip('/')}/{spec.name}/v{version}"
         staging = f"`{db}`.`{spec.name}_staging_{version}`"
         writer.mode("overwrite").option("path", table_path).saveAsTable(staging)
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-        if current is not None:
-            old_q, new_q = qualify(spark, current), qualify(spark, table_path)
-            if not (new_q + "/").startswith(old_q + "/"):   # never a folder holding the new one
-                delete(spark, current)                       # the superseded version's files
+        _swap(spark, db, spec.name, staging, version)
+        if current is not None and _own_version(spark, current, root, spec.name):
+            delete(spark, current)                           # the superseded version's files
     else:
         raise ValueError(f"unknown mode {mode!r}: use 'overwrite' or 'append'")
     stats = dict(obs.get)
     stats["elapsed_s"] = time.time() - t0
-    # file count from one file-system metadata call (no data read, no listing
-    # shipped to Python)
-    stats["files"] = data_file_count(spark, table_path)
+    # one file-system metadata call (no data read, no listing shipped to Python)
+    stats["files_written"] = data_file_count(spark, table_path)
     return stats
 
 
+def _own_version(spark: SparkSession, location: str, root: str, name: str) -> bool:
+    """Whether a table location is a version folder written by this loader."""
+    folder = qualify(spark, f"{root.rstrip('/')}/{name}") + "/"
+    found = qualify(spark, location)
+    return found.startswith(folder) and re.fullmatch(r"v[0-9a-f]{12}", found[len(folder):]) is not None
+
+
+def _swap(spark: SparkSession, db: str, name: str, staging: str, version: str) -> None:
+    """Give the staging table the target's name; the old one is dropped after."""
+    target, aside = f"`{db}`.`{name}`", f"`{db}`.`{name}_old_{version}`"
+    had_old = spark.catalog.tableExists(f"{db}.{name}")
+    if had_old:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    except BaseException:
+        if had_old:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        raise
+    if had_old:
+        spark.sql(f"DROP TABLE {aside}")
+
+
 def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[str, DatasetSpec],
                  db: str, root: str, datasets: list[str] | None = None, buckets: int | None = None,
                  mode: str = "overwrite", layout: str = "range",
-                 input_bytes: dict[str, int] | None = None) -> dict[str, dict]:
+                 input_bytes: dict[str, int] | None = None, max_ranges: int = MAX_RANGES,
+                 max_records: int = MAX_RECORDS_PER_FILE,
+                 input_files: dict[str, int] | None = None) -> dict[str, dict]:
     """K5/K6/K7: load the chosen datasets (default all). ``mode='overwrite'``
     replaces the table (idempotent re-run); ``'append'`` adds rows. A
-    dataset whose lake input is missing is skipped with zero stats."""
+    dataset whose lake input is missing is skipped with zero stats.
+    ``input_files`` are the lake files of each dataset, for the statistics."""
     ensure_database(spark, db, f"{root.rstrip('/')}/_db")
     stats, loaded = {}, []
     for name in datasets or list(lake):
@@ -184,19 +226,43 @@ def load_serving(spark: SparkSession, lake: dict[str, DataFrame], specs: dict[st
             stats[name] = {"rows": 0, "files": 0, "elapsed_s": 0.0}
             continue
         stats[name] = write_serving(spark, lake[name], specs[name], db, root, buckets, mode, layout,
-                                    (input_bytes or {}).get(name))
+                                    (input_bytes or {}).get(name), max_ranges, max_records)
+        stats[name]["files"] = (input_files or {}).get(name, 0)
         loaded.append(name)
+        if name == "titles":
+            write_rollup(spark, db, root)
     require_tables(spark, db, loaded)
     return stats
 
 
+def _table_detail(spark: SparkSession, db: str, name: str, detail: str) -> str | None:
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{name}`")
+            .where(F.col("col_name") == detail).select("data_type").collect())
+    return rows[0][0] if rows else None
+
+
+ROLLUP_TABLE = "titles_by_genre"
+
+
+def write_rollup(spark: SparkSession, db: str, root: str) -> None:
+    """Store the genre rollup of the serving titles beside them (replaced
+    as a whole, so it never lags behind). Its rows are bounded by genres x
+    kinds x decades, hence one file."""
+    version = uuid.uuid4().hex[:12]
+    current = table_location(spark, db, ROLLUP_TABLE)
+    staging = f"`{db}`.`{ROLLUP_TABLE}_staging_{version}`"
+    (build_rollup(read_serving(spark, db, "titles")).coalesce(1).write.format("parquet")
+     .option("path", f"{root.rstrip('/')}/{ROLLUP_TABLE}/v{version}").saveAsTable(staging))
+    _swap(spark, db, ROLLUP_TABLE, staging, version)
+    if current is not None and _own_version(spark, current, root, ROLLUP_TABLE):
+        delete(spark, current)
+
+
 def table_location(spark: SparkSession, db: str, name: str) -> str | None:
     """Storage folder of an existing table (catalog metadata only), else None."""
     if not spark.catalog.tableExists(f"{db}.{name}"):
         return None
-    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{name}`")
-            .where(F.col("col_name") == "Location").collect())
-    return rows[0]["data_type"] if rows else None
+    return _table_detail(spark, db, name, "Location")
 
 
 def require_tables(spark: SparkSession, db: str, names: list[str]) -> None:
@@ -208,13 +274,3 @@ def require_tables(spark: SparkSession, db: str, names: list[str]) -> None:
 
 def read_serving(spark: SparkSession, db: str, name: str) -> DataFrame:
     return spark.table(f"`{db}`.`{name}`")
-
-
-def file_stats(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Distinct data files behind a file-source DataFrame with their sizes
-    and row counts, computed on the executors from the hidden ``_metadata``
-    column (no driver-side listing loop)."""
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"))
-            .groupBy("file_path").agg(F.first("file_size").alias("file_size"),
-                                      F.count(F.lit(1)).alias("rows")))

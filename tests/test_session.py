@@ -40,3 +40,13 @@ class _ClusterSession:
 def test_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_ClusterSession())
+
+
+def test_shuffles_are_sized_from_the_input(spark):
+    from mediamart.session import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 0) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 1 << 40) == (1 << 40) // (64 << 20) == int(spark.conf.get(key))
+    finally:
+        spark.conf.unset(key)
