@@ -11,5 +11,4 @@ Layout:
   plans/       marts (the benchmark questions and views), analog inputs,
                the query catalog with its DuckDB oracles
   jobs.py      etl() and load(): the two batch jobs
-  streaming/   empty on purpose (the pipeline is batch only)
 """

@@ -9,7 +9,6 @@ from mediamart.functions.columns import (  # noqa: F401
     readable_size,
     split_list,
     split_list_or_empty,
-    to_bigint,
     to_float,
     to_int,
 )

@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,9 +41,11 @@ def tagged_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def row_loss(raw: DataFrame, cleaned: DataFrame, spec: DatasetSpec) -> DataFrame:
     """C4: rows in, rows out and rows with a NULL required key. The cleaner
-    loses no row exactly when rows_in = rows_out + null_key_rows."""
+    loses no row exactly when rows_in = rows_out + null_key_rows. The two
+    counts are taken in passes of their own, so that the check does not rest
+    on the cleaner's plan."""
     cond = required_filter(spec)
-    null_keys = (F.sum(F.when(~cond, 1).otherwise(0)).cast("long") if cond is not None
+    null_keys = (F.count_if(~cond) if cond is not None
                  else F.lit(0).cast("long"))
     stats_in = raw.agg(F.count(F.lit(1)).alias("rows_in"), null_keys.alias("null_key_rows"))
     stats_out = cleaned.agg(F.count(F.lit(1)).alias("rows_out"))
@@ -66,53 +71,99 @@ def reconcile(lake: DataFrame, serve: DataFrame, spec: DatasetSpec) -> DataFrame
     """Lake rows vs serving rows, values outside the unsigned serving
     range, and keys that occur more than once (they fan out joins)."""
     oor = [out_of_range(c.name, c.unsigned).cast("long") for c in spec.serve if c.unsigned]
-    oor_total = reduce(lambda a, b: a + b, oor) if oor else F.lit(0).cast("long")
-    lake_stats = lake.agg(F.count(F.lit(1)).alias("lake_rows"),
-                          F.coalesce(F.sum(oor_total), F.lit(0)).cast("long").alias("out_of_range"))
+    bad = reduce(lambda a, b: a + b, oor) if oor else F.lit(0).cast("long")
+    # one scan of the lake: rows and violations are summed within the grouping
+    # that finds repeated keys
+    per_key = lake.groupBy(*spec.unique_key).agg(F.count(F.lit(1)).alias("n"), F.sum(bad).alias("bad"))
+    lake_stats = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lake_rows"), F.coalesce(F.sum("bad"), F.lit(0)).alias("out_of_range"),
+        F.count_if(F.col("n") > 1).alias("duplicate_keys"))
     serve_stats = serve.agg(F.count(F.lit(1)).alias("serve_rows"))
-    if spec.unique_key:
-        dups = (lake.groupBy(*spec.unique_key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                .agg(F.count(F.lit(1)).alias("duplicate_keys")))
-    else:
-        dups = lake.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_keys"))
-    return (_side_by_side([lake_stats, serve_stats, dups])
+    return (_side_by_side([lake_stats, serve_stats])
             .select(F.lit(spec.name).alias("dataset"), "lake_rows", "serve_rows",
                     (F.col("lake_rows") == F.col("serve_rows")).alias("counts_match"),
                     "out_of_range", "duplicate_keys"))
 
 
-def storage_report(files: dict[tuple[str, str], DataFrame]) -> DataFrame:
+def range_violations(lake: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """P10: (tbl, column_name, out_of_range) per unsigned serving column, one scan."""
+    checked = [c for c in spec.serve if c.unsigned]
+    wide = lake.agg(*[F.count_if(out_of_range(c.name, c.unsigned)).alias(c.name) for c in checked])
+    stack = ", ".join(f"'{c.name}', `{c.name}`" for c in checked)
+    return wide.selectExpr(f"'{spec.name}' AS tbl", f"stack({len(checked)}, {stack}) AS (column_name, out_of_range)")
+
+
+def storage_report(stored: dict[tuple[str, str], tuple[DataFrame, int, int]]) -> DataFrame:
     """Bytes, files and rows per (layer, table) with a readable size.
-    ``files`` maps (layer, table) -> output of ``sinks.serve.file_stats``."""
-    per_table = _union([f.select(F.lit(layer).alias("layer"), F.lit(name).alias("tbl"), "file_size", "rows")
-                        for (layer, name), f in files.items()])
-    return (per_table.groupBy("layer", "tbl")
-            .agg(F.sum("file_size").alias("bytes"), F.count(F.lit(1)).alias("files"),
-                 F.sum("rows").alias("rows"))
-            .withColumn("disk_size", readable_size("bytes")))
+    ``stored`` maps (layer, table) to its DataFrame and to the bytes and files
+    that the file system's metadata gives (``sources.fs``); only the row counts
+    are jobs, and those read Parquet footers."""
+    return _union([
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("tbl"), F.lit(size).cast("long").alias("bytes"),
+            F.lit(files).cast("long").alias("files"), "rows")
+        for (layer, name), (df, size, files) in stored.items()]).withColumn("disk_size", readable_size("bytes"))
 
 
 def unsorted_pairs(files_df: DataFrame, key: list[str], group_by: list[str]) -> DataFrame:
     """Per group, rows and adjacent row pairs inside one data file that
-    break ascending ``key`` order (0 when every file is sorted).
-
-    ``files_df`` must come straight from a file scan, so the hidden
-    ``_metadata`` column gives each row's file and position. Each row meets
-    its predecessor in the same file through an equi-join on (file, row
-    index + 1). The keys are unique, so the shuffle spreads evenly however
-    large one file is; a window over the file would put a whole file (e.g. a
-    hot bucket) into one task."""
-    t = files_df.select(*group_by, *key, F.col("_metadata.file_path").alias("_file"),
-                        F.col("_metadata.row_index").alias("_pos"))
-    prev = t.select("_file", (F.col("_pos") + 1).alias("_pos"),
-                    *[F.col(k).alias(f"_prev_{k}") for k in key])
-    pairs = t.join(prev, on=["_file", "_pos"], how="left")
-    # lexicographic "previous key > this key"; NULL (first row of a file) is fine
-    bad, equal_so_far = F.lit(False), F.lit(True)
-    for k in key:
-        p, c = F.col(f"_prev_{k}"), F.col(k)
-        bad = bad | (equal_so_far & (p > c))
-        equal_so_far = equal_so_far & (p == c)
-    return (pairs.withColumn("_bad", F.coalesce(bad, F.lit(False)))
-            .groupBy(*group_by).agg(F.count(F.lit(1)).alias("row_count"),
-                                    F.sum(F.col("_bad").cast("long")).alias("unsorted_pairs")))
+    break ascending ``key`` order, NULL first (0 when every file is sorted).
+
+    ``files_df`` must come straight from a file scan: its rows arrive in file
+    order. Each task compares neighbours batch by batch and sends one row per
+    run of a file and group, with the run's first and last key; only those few
+    rows are shuffled, to compare where one run ends and the next begins."""
+    types = dict(files_df.dtypes)
+    names = [*group_by, *key]
+    rows = files_df.select(F.col("_metadata.file_path").alias("file__"), F.col("_metadata.row_index").alias("pos__"), *names)
+    ng, nk = len(group_by), len(key)
+
+    def breaks(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = batch.columns
+            runs, keys = [cols[0], *cols[2:2 + ng]], cols[2 + ng:]
+            new = np.zeros(batch.num_rows, bool)
+            new[0] = True
+            for c in runs:
+                new[1:] |= ~_same(c)
+            bad, equal = np.zeros(batch.num_rows - 1, bool), np.ones(batch.num_rows - 1, bool)
+            for c in keys:
+                bad |= equal & _falls(c)
+                equal &= _same(c)
+            bad = np.r_[False, bad] & ~new
+            first = np.flatnonzero(new)
+            last = np.r_[first[1:], batch.num_rows] - 1
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(first)) for c in cols), *(c.take(pa.array(last)) for c in keys),
+                 pa.array(last - first + 1), pa.array(np.add.reduceat(bad.astype(np.int64), first))],
+                names=["file__", "pos__", *names, *(f"last__{i}" for i in range(nk)), "rows__", "bad__"])
+
+    fields = ["file__ string", "pos__ long", *(f"`{c}` {types[c]}" for c in names),
+              *(f"last__{i} {types[k]}" for i, k in enumerate(key)), "rows__ long", "bad__ long"]
+    runs = rows.mapInArrow(breaks, ", ".join(fields))
+    # a run against the one before it in its file
+    before = Window.partitionBy("file__").orderBy("pos__")
+    falls, equal = F.lit(False), F.lit(True)
+    for i, k in enumerate(key):
+        last, now = F.lag(f"last__{i}").over(before), F.col(k)
+        falls = falls | (equal & last.isNotNull() & (now.isNull() | F.coalesce(last > now, F.lit(False))))
+        equal = equal & last.eqNullSafe(now)
+    has_before = F.lag("pos__").over(before).isNotNull()
+    return (runs.withColumn("edge__", (has_before & falls).cast("long"))
+            .groupBy(*group_by).agg(F.sum("rows__").alias("row_count"), F.sum(F.col("bad__") + F.col("edge__")).alias("unsorted_pairs")))
+
+
+def _same(c: pa.Array) -> np.ndarray:
+    """Whether each value equals the one before it (NULL equals NULL)."""
+    a, b = c[:-1], c[1:]
+    both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+    return np.asarray(pc.or_(both_null, pc.fill_null(pc.equal(a, b), False)))
+
+
+def _falls(c: pa.Array) -> np.ndarray:
+    """Whether each value is smaller than the one before it (NULL is smallest)."""
+    a, b = c[:-1], c[1:]
+    to_null = pc.and_(pc.is_valid(a), pc.is_null(b))
+    return np.asarray(pc.or_(to_null, pc.fill_null(pc.greater(a, b), False)))

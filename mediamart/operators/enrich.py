@@ -18,15 +18,13 @@ from pyspark.sql import functions as F
 from mediamart.specs import TITLES_COLUMNS
 
 
-def enrich(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-           dim_is_bounded: bool = False) -> DataFrame:
-    """``facts`` LEFT JOIN ``dim``: every fact row kept, unmatched dim
-    columns NULL, duplicate dim keys fan out (no de-duplication).
+# Keys that lookup_names broadcasts: about 64 MB of short ids at most.
+MAX_BROADCAST_KEYS = 1_000_000
+
 
-    ``dim_is_bounded=True`` asserts the caller knows the dim side is small
-    (e.g. it is a limit); only then is it broadcast unconditionally."""
-    if dim_is_bounded:
-        dim = F.broadcast(dim)
+def enrich(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """``facts`` LEFT JOIN ``dim``: every fact row kept, unmatched dim
+    columns NULL, duplicate dim keys fan out (no de-duplication)."""
     return facts.join(dim, on=on, how=how)
 
 
@@ -35,15 +33,18 @@ def titles_mart(basics: DataFrame, ratings: DataFrame) -> DataFrame:
     return enrich(basics, ratings, "tconst").select(*TITLES_COLUMNS)
 
 
-def lookup_names(keys: DataFrame, dim: DataFrame, key: str, names: list[str]) -> DataFrame:
-    """J4 + J2: ``keys`` (small, bounded) LEFT JOIN ``dim`` for its names.
+def lookup_names(keys: DataFrame, dim: DataFrame, key: str, names: list[str], bound: int) -> DataFrame:
+    """J4 + J2: ``keys`` (at most ``bound`` rows) LEFT JOIN ``dim`` for its
+    names. Past MAX_BROADCAST_KEYS the planner's own size check decides.
 
     A left outer join can only build (broadcast) its right side, which here
     is the big dimension. So the dimension is first cut down with a semi join
     that *does* broadcast the bounded key set (BroadcastHashJoin LeftSemi,
     build right): one streaming pass over the dimension, no shuffle of it.
     The remaining outer join is between two tiny inputs."""
-    wanted = F.broadcast(keys.select(key))
+    wanted = keys.select(key)
+    if bound <= MAX_BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
     named = dim.select(key, *names).join(wanted, on=key, how="left_semi")
     return keys.join(named, on=key, how="left")
 

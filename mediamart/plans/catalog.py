@@ -13,6 +13,7 @@ group key added as the tie-break of every top-k.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,9 +28,9 @@ from mediamart.plans import marts
 from mediamart.plans.analogs import read_table
 from mediamart.plans.oracle import _int, with_ctes
 from mediamart.plans.workbench import LAKE_DATASETS, Workbench
-from mediamart.session import scratch_path
+from mediamart.session import apply_conf, scratch_slot
 from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
-from mediamart.sinks.serve import file_stats, serve_projection
+from mediamart.sinks.serve import load_serving, require_tables, serve_projection
 from mediamart.sources.tsv import read_tsv, write_tsv
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -309,7 +310,7 @@ def q_lake_roundtrip_alt_titles(spark, sf_dir):
     "K2/K4 full rebuild of all datasets into a fresh lake, counted on read-back")
 def q_lake_rebuild(spark, sf_dir):
     w = wb(spark, sf_dir)
-    root = w.write_lake()
+    root = w.write_lake(scratch_slot(spark, "lake_rebuild"))
     tables = {n: read_lake(spark, f"{root}/{n}", specs.LAKE[n]) for n in LAKE_DATASETS}
     return checks.tagged_counts(tables).withColumnRenamed("rows", "row_count")
 
@@ -318,7 +319,7 @@ def q_lake_rebuild(spark, sf_dir):
           "K3 one titleType slice rewritten twice: idempotent, other slices untouched")
 def q_lake_slice_overwrite(spark, sf_dir):
     w = wb(spark, sf_dir)
-    path = scratch_path(spark, "slice", "titles")
+    path = scratch_slot(spark, "slice") + "/titles"
     titles = w.titles()
     write_lake(titles, path, specs.TITLES.partition_by)
     for _ in range(2):
@@ -326,6 +327,18 @@ def q_lake_slice_overwrite(spark, sf_dir):
     return read_lake(spark, path, specs.TITLES)
 
 
+@register("lake_escaped_partition", """
+    SELECT concat(o_orderpriority, '/a=b%c ', o_orderstatus) AS code, count(*) AS row_count, max(o_orderkey) AS last_order
+    FROM orders GROUP BY 1""", "S6 partition values with characters that directory names escape, read back")
+def q_lake_escaped_partition(spark, sf_dir):
+    path = scratch_slot(spark, "escaped") + "/orders"
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat("o_orderpriority", F.lit("/a=b%c "), "o_orderstatus").alias("code"))
+    write_lake(orders, path, ("code",))
+    back = spark.read.schema("o_orderkey long, code string").option("basePath", path).parquet(path)
+    return back.groupBy("code").agg(F.count(F.lit(1)).alias("row_count"), F.max("o_orderkey").alias("last_order"))
+
+
 @register("lake_scan", with_ctes("SELECT * FROM principals", "principals"),
           "S5 discover and read a lake dataset with its declared schema")
 def q_lake_scan(spark, sf_dir):
@@ -381,16 +394,7 @@ def _range_sql() -> str:
           "P10/D2 values outside each column's unsigned serving range, counted not wrapped")
 def q_serve_narrow(spark, sf_dir):
     w = wb(spark, sf_dir)
-    frames = []
-    for name, spec in specs.LAKE.items():
-        lake = w.lake(name)
-        for c in spec.serve:
-            if c.unsigned:
-                frames.append(lake.agg(F.coalesce(F.sum(mf.out_of_range(c.name, c.unsigned).cast("long")),
-                                                  F.lit(0).cast("long")).alias("out_of_range"))
-                              .select(F.lit(name).alias("tbl"), F.lit(c.name).alias("column_name"),
-                                      "out_of_range"))
-    return checks._union(frames)
+    return checks._union([checks.range_violations(w.lake(n), s) for n, s in specs.LAKE.items()])
 
 
 @register("serve_fill", with_ctes("SELECT * FROM titles_s", "titles_s"),
@@ -417,29 +421,65 @@ def q_serve_load(spark, sf_dir):
     "K6 loading twice with overwrite leaves one copy")
 def q_serve_reload_idempotent(spark, sf_dir):
     w = wb(spark, sf_dir)
-    root = scratch_path(spark, "serve_twice")
-    db, _, _ = w.load_serving(root=root)
+    db = "mm_twice_" + uuid.uuid4().hex[:10]
+    root = scratch_slot(spark, "serve_twice", db)
+    w.load_serving(db=db, root=root)
     w.load_serving(db=db, root=root)
     tables = {n: spark.table(f"`{db}`.`{n}`") for n in LAKE_DATASETS}
     return checks.tagged_counts(tables).withColumnRenamed("rows", "row_count")
 
 
-@register("serve_load_stats", None, "K8 per-dataset load statistics (rows, files, range violations, time)")
+def _violations(name: str) -> str:
+    return " + ".join(f"(CASE WHEN {c.name} IS NOT NULL AND ({c.name} < 0 OR {c.name} > "
+                      f"{mf.columns.UNSIGNED_MAX[c.unsigned]}) THEN 1 ELSE 0 END)" for c in specs.LAKE[name].serve if c.unsigned)
+
+
+@register("serve_load_stats", with_ctes(" UNION ALL ".join(
+    f"SELECT '{n}' AS dataset, count(*) AS row_count, CAST(coalesce(sum({_violations(n)}), 0) AS BIGINT) AS out_of_range, "
+    f"TRUE AS read_files, TRUE AS took_time FROM {n}" for n in LAKE_DATASETS), *LAKE_DATASETS),
+    "K8 per-dataset load statistics: rows and range violations, and that lake files and time were counted")
 def q_serve_load_stats(spark, sf_dir):
     _, _, stats = wb(spark, sf_dir).serving()
-    rows = [(name, int(s.get("rows", 0)), int(s.get("files", 0)),
-             int(sum(v for k, v in s.items() if k.startswith("out_of_range_") and v is not None)),
-             float(s.get("elapsed_s", 0.0))) for name, s in stats.items()]
-    return spark.createDataFrame(
-        rows, "dataset string, row_count long, files long, out_of_range long, elapsed_s double")
+    rows = [(name, int(s["rows"]), sum(v or 0 for k, v in s.items() if k.startswith("out_of_range_")),
+             s["files"] > 0, s["elapsed_s"] > 0) for name, s in stats.items()]
+    return spark.createDataFrame(rows, "dataset string, row_count long, out_of_range long, read_files boolean, took_time boolean")
 
 
-@register("serve_sorted", with_ctes("""
-    SELECT category, count(*) AS row_count, CAST(0 AS BIGINT) AS unsorted_pairs
-    FROM principals_s GROUP BY category""", "principals_s"),
-    "O6 rows inside every serving file are in sort-key order")
+@register("serve_only", with_ctes(" UNION ALL ".join(
+    f"SELECT '{n}' AS tbl, {n == 'people'} AS present, {n != 'people'} AS named_missing, "
+    + (f"count(*) AS row_count FROM {n}" if n == "people" else "CAST(0 AS BIGINT) AS row_count") for n in LAKE_DATASETS), "people"),
+    "K7/C2 only the chosen dataset is loaded; the check names every table that is not there")
+def q_serve_only(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    db = "mm_only_" + uuid.uuid4().hex[:10]
+    root = scratch_slot(spark, "serve_only", db)
+    load_serving(spark, {"people": w.lake("people")}, specs.LAKE, db, root, ["people"])
+    try:
+        require_tables(spark, db, list(LAKE_DATASETS))
+        said = ""
+    except RuntimeError as e:
+        said = str(e)
+    frames = []
+    for n in LAKE_DATASETS:
+        present = spark.catalog.tableExists(f"{db}.{n}")
+        rows = spark.table(f"`{db}`.`{n}`") if present else w.lake(n).limit(0)
+        frames.append(rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(n).alias("tbl"), F.lit(present).alias("present"), F.lit(f"'{n}'" in said).alias("named_missing"), "row_count"))
+    return checks._union(frames)
+
+
+def _sorted_by(name: str) -> list[str]:
+    return [c for c in specs.LAKE[name].sort_by if c not in specs.LAKE[name].serve_partition_by]
+
+
+@register("serve_sorted", with_ctes(" UNION ALL ".join(
+    f"SELECT '{n}' AS tbl, count(*) AS row_count, CAST(0 AS BIGINT) AS unsorted_pairs FROM {n}_s" for n in LAKE_DATASETS),
+    *(f"{n}_s" for n in LAKE_DATASETS)),
+    "O6 rows inside every serving file are in sort-key order, all four tables")
 def q_serve_sorted(spark, sf_dir):
-    return checks.unsorted_pairs(wb(spark, sf_dir).serve("principals"), ["tconst", "ordering"], ["category"])
+    w = wb(spark, sf_dir)
+    return checks._union([checks.unsorted_pairs(w.serve(n), _sorted_by(n), []).select(
+        F.lit(n).alias("tbl"), "row_count", "unsorted_pairs") for n in LAKE_DATASETS])
 
 
 @register("verify_counts", with_ctes(_counts_sql(
@@ -456,20 +496,20 @@ def q_verify_counts(spark, sf_dir):
     SELECT primaryGenre, titleType, decade, round(sum(CAST(averageRating AS DOUBLE)), 4) AS rating_sum,
            count(averageRating) AS rated, CAST(sum(numVotes) AS BIGINT) AS total_votes, count(*) AS cnt,
            round(avg(averageRating), 2) AS avg_rating
-    FROM titles GROUP BY primaryGenre, titleType, decade""", "titles"),
-    "A6 mergeable pre-aggregate by genre, kind and decade")
+    FROM titles_s GROUP BY primaryGenre, titleType, decade""", "titles_s"),
+    "A6 mergeable pre-aggregate by genre, kind and decade, stored beside the serving titles")
 def q_genre_rollup(spark, sf_dir):
-    r = rollup.with_avg(rollup.build_rollup(wb(spark, sf_dir).titles()))
+    r = rollup.with_avg(wb(spark, sf_dir).rollup())
     return r.withColumn("rating_sum", F.round("rating_sum", 4))
 
 
 @register("genre_rollup_coarse", with_ctes("""
     SELECT primaryGenre, round(avg(averageRating), 2) AS avg_rating,
            CAST(sum(numVotes) AS BIGINT) AS total_votes, count(*) AS title_count
-    FROM titles GROUP BY primaryGenre""", "titles"),
+    FROM titles_s GROUP BY primaryGenre""", "titles_s"),
     "A6 coarser grouping re-aggregated from the rollup equals the direct aggregate")
 def q_genre_rollup_coarse(spark, sf_dir):
-    return rollup.coarsen(rollup.build_rollup(wb(spark, sf_dir).titles()), ["primaryGenre"])
+    return rollup.coarsen(wb(spark, sf_dir).rollup(), ["primaryGenre"])
 
 
 @register("distinct_types", with_ctes("SELECT DISTINCT titleType FROM titles ORDER BY titleType", "titles"),
@@ -478,12 +518,14 @@ def q_distinct_types(spark, sf_dir):
     return wb(spark, sf_dir).titles().select("titleType").distinct().orderBy("titleType")
 
 
-@register("storage_report", None, "A8 bytes, files and rows per lake dataset and serving table, readable size")
+@register("storage_report", with_ctes(" UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{n}' AS tbl, count(*) AS row_count, TRUE AS has_bytes, TRUE AS has_files, "
+    f"TRUE AS has_size FROM {n}" for n in LAKE_DATASETS for layer in ("lake", "serve")), *LAKE_DATASETS),
+    "A8 rows per lake dataset and serving table, and that bytes, files and a readable size are reported")
 def q_storage_report(spark, sf_dir):
-    w = wb(spark, sf_dir)
-    files = {("lake", n): file_stats(spark, w.lake(n)) for n in LAKE_DATASETS}
-    files.update({("serve", n): file_stats(spark, w.serve(n)) for n in LAKE_DATASETS})
-    return checks.storage_report(files)
+    report = checks.storage_report(wb(spark, sf_dir).stored())
+    return report.select("layer", "tbl", F.col("rows").alias("row_count"), (F.col("bytes") > 0).alias("has_bytes"),
+                         (F.col("files") > 0).alias("has_files"), F.col("disk_size").rlike(r"^[0-9]+[.][0-9]{2} [KMGT]?i?B$").alias("has_size"))
 
 
 # ============================================================== checks
@@ -560,10 +602,11 @@ def q_people_by_role_year(spark, sf_dir):
 
 
 @register("localized_title", with_ctes("""
-    SELECT titleId, arg_min(title, ordering) AS localized_title, arg_min(language, ordering) AS language,
-           count(*) AS variants
-    FROM akas WHERE region = 'SRC2' GROUP BY titleId""", "akas"),
-    "F11 localized title of every work in one region (partition-pruned)")
+    SELECT titleId, title AS localized_title, language, variants FROM (
+      SELECT titleId, title, language, count(*) OVER (PARTITION BY titleId) AS variants,
+             row_number() OVER (PARTITION BY titleId ORDER BY ordering NULLS LAST, title NULLS FIRST, language NULLS FIRST) AS nth
+      FROM akas WHERE region = 'SRC2') WHERE nth = 1""", "akas"),
+    "F11 localized title of every work in one region (partition-pruned; tied and missing orderings)")
 def q_localized_title(spark, sf_dir):
     return marts.localized_title(wb(spark, sf_dir).lake("akas"), "SRC2")
 
@@ -591,7 +634,7 @@ def q_top_billed(spark, sf_dir):
 @register("scan_tsv", with_ctes("SELECT * FROM basics", "basics"),
           "S1/S3/S4 raw basics written as TSV (\\N nulls, header) then read under the declared schema")
 def q_scan_tsv(spark, sf_dir):
-    base = scratch_path(spark, "tsv")
+    base = scratch_slot(spark, "tsv")
     write_tsv(wb(spark, sf_dir).raw("basics"), f"{base}/{specs.BASICS.file_stem}")
     raw = read_tsv(spark, f"{base}/{specs.BASICS.file_stem}", specs.BASICS, check_header=True)
     return clean(raw, specs.BASICS)
@@ -600,7 +643,7 @@ def q_scan_tsv(spark, sf_dir):
 @register("scan_tsv_gz", with_ctes("SELECT * FROM principals", "principals"),
           "S2 gzip TSV found through the .gz fallback, one task per file, rebalanced")
 def q_scan_tsv_gz(spark, sf_dir):
-    base = scratch_path(spark, "tsvgz")
+    base = scratch_slot(spark, "tsvgz")
     write_tsv(wb(spark, sf_dir).raw("principals"), f"{base}/{specs.PRINCIPALS.file_stem}.gz", "gzip")
     raw = read_tsv(spark, f"{base}/{specs.PRINCIPALS.file_stem}", specs.PRINCIPALS)
     return clean(raw, specs.PRINCIPALS)
@@ -636,19 +679,25 @@ def q_filmography_view(spark, sf_dir):
 def q_tsv_end_to_end(spark, sf_dir):
     from mediamart.jobs import etl, load
     w = wb(spark, sf_dir)
-    raw_dir = scratch_path(spark, "raw")
+    db = "mm_e2e_" + uuid.uuid4().hex[:10]
+    base = scratch_slot(spark, "tsv_end_to_end", db)
+    raw_dir, lake_dir = f"{base}/raw", f"{base}/lake"
     for name, spec in specs.SOURCES.items():
         gz = name == "ratings"
         write_tsv(w.raw(name), f"{raw_dir}/{spec.file_stem}" + (".gz" if gz else ""), "gzip" if gz else None)
-    lake_dir = raw_dir.rsplit("/", 1)[0] + "/lake"
     etl(spark, raw_dir, lake_dir, check_header=True)
-    db = "mm_e2e_" + raw_dir.rstrip("/").split("/")[-2][:10]
-    load(spark, lake_dir, raw_dir.rsplit("/", 1)[0] + "/serve", db, verify=False)
+    load(spark, lake_dir, f"{base}/serve", db, verify=False)
     return marts.rating_by_decade(spark.table(f"`{db}`.titles"))
 
 
 def queries() -> dict[str, Builder]:
-    return {name: q.build for name, q in REGISTRY.items()}
+    """Every build first applies the session settings the plans rely on."""
+    def ready(build: Builder) -> Builder:
+        def run(spark, sf_dir):
+            apply_conf(spark)
+            return build(spark, sf_dir)
+        return run
+    return {name: ready(q.build) for name, q in REGISTRY.items()}
 
 
 def oracles() -> dict[str, str]:

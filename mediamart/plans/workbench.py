@@ -17,9 +17,9 @@ from mediamart.operators.clean import clean
 from mediamart.operators.enrich import titles_mart
 from mediamart.plans.analogs import raw_frame
 from mediamart.session import scratch_path
-from mediamart.sources.fs import size_bytes
+from mediamart.sources.fs import data_file_count, size_bytes
 from mediamart.sinks.lake import build_lake, read_lake, write_lake
-from mediamart.sinks.serve import ensure_database, load_serving, read_serving, write_serving
+from mediamart.sinks.serve import ROLLUP_TABLE, ensure_database, load_serving, read_serving, table_location, write_rollup, write_serving
 
 LAKE_DATASETS = ("titles", "people", "principals", "akas")
 
@@ -98,7 +98,8 @@ class Workbench:
         lake = {n: self.lake(n) for n in LAKE_DATASETS}
         sizes = {n: size_bytes(self.spark, self.lake_path(n)) for n in LAKE_DATASETS}
         stats = load_serving(self.spark, lake, specs.LAKE, db, root, list(LAKE_DATASETS),
-                             buckets=self.buckets, mode=mode, input_bytes=sizes)
+                             buckets=self.buckets, mode=mode, input_bytes=sizes,
+                             input_files={n: data_file_count(self.spark, self.lake_path(n)) for n in LAKE_DATASETS})
         if adopt:
             with _LOCK:
                 self._serve_db, self._serve_root, self._serve_stats = db, root, dict(stats)
@@ -116,6 +117,9 @@ class Workbench:
                 self._serve_stats[name] = write_serving(
                     self.spark, self.lake(name), specs.LAKE[name], self._serve_db, self._serve_root,
                     self.buckets, input_bytes=size_bytes(self.spark, self.lake_path(name)))
+                self._serve_stats[name]["files"] = data_file_count(self.spark, self.lake_path(name))
+                if name == "titles":
+                    write_rollup(self.spark, self._serve_db, self._serve_root)
             return self._serve_db
 
     def serving(self) -> tuple[str, str, dict]:
@@ -126,3 +130,17 @@ class Workbench:
 
     def serve(self, name: str) -> DataFrame:
         return read_serving(self.spark, self._serving_table(name), name)
+
+    def rollup(self) -> DataFrame:
+        """The stored genre rollup beside the serving titles."""
+        return read_serving(self.spark, self._serving_table("titles"), ROLLUP_TABLE)
+
+    def stored(self) -> dict[tuple[str, str], tuple[DataFrame, int, int]]:
+        """Every lake dataset and serving table with its bytes and files."""
+        out = {}
+        for name in LAKE_DATASETS:
+            db = self._serving_table(name)
+            for layer, df, path in (("lake", self.lake(name), self.lake_path(name)),
+                                    ("serve", self.serve(name), table_location(self.spark, db, name))):
+                out[layer, name] = (df, size_bytes(self.spark, path), data_file_count(self.spark, path))
+        return out

@@ -159,19 +159,19 @@ TITLES = DatasetSpec(
     ),
     partition_by=("titleType", "decade"),
     serve=(
-        ServeColumn("tconst", T.StringType(), False, "", comment="title identifier"),
-        ServeColumn("titleType", T.StringType(), False, UNKNOWN, comment="kind of title"),
-        ServeColumn("primaryTitle", T.StringType(), False, "", comment="promotional title"),
-        ServeColumn("originalTitle", T.StringType(), False, "", comment="title in original language"),
-        ServeColumn("isAdult", T.IntegerType(), False, 0, "uint8", "0 = non-adult, 1 = adult"),
-        ServeColumn("startYear", T.IntegerType(), True, None, "uint16", "release or start year"),
+        ServeColumn("tconst", T.StringType(), False, "", comment="key of the work"),
+        ServeColumn("titleType", T.StringType(), False, UNKNOWN, comment="what sort of work"),
+        ServeColumn("primaryTitle", T.StringType(), False, "", comment="name it is shown under"),
+        ServeColumn("originalTitle", T.StringType(), False, "", comment="name at first release"),
+        ServeColumn("isAdult", T.IntegerType(), False, 0, "uint8", "adult flag, 0 or 1"),
+        ServeColumn("startYear", T.IntegerType(), True, None, "uint16", "year it came out or began"),
         ServeColumn("endYear", T.IntegerType(), True, None, "uint16", "end year"),
-        ServeColumn("runtimeMinutes", T.IntegerType(), True, None, "uint32", "runtime in minutes"),
+        ServeColumn("runtimeMinutes", T.IntegerType(), True, None, "uint32", "length, minutes"),
         ServeColumn("genres", ARR, False, "array", comment="genres"),
-        ServeColumn("primaryGenre", T.StringType(), False, "", comment="first genre"),
-        ServeColumn("decade", T.IntegerType(), True, None, "uint16", "startYear rounded down to the decade"),
-        ServeColumn("averageRating", T.FloatType(), True, None, comment="average rating"),
-        ServeColumn("numVotes", T.IntegerType(), True, None, "uint32", "number of votes"),
+        ServeColumn("primaryGenre", T.StringType(), False, "", comment="genre listed first"),
+        ServeColumn("decade", T.IntegerType(), True, None, "uint16", "first year of startYear's decade"),
+        ServeColumn("averageRating", T.FloatType(), True, None, comment="mean of the votes"),
+        ServeColumn("numVotes", T.IntegerType(), True, None, "uint32", "votes counted"),
     ),
     serve_partition_by=("titleType", "decade"),
     sort_by=("titleType", "startYear", "tconst"),
@@ -196,12 +196,12 @@ PEOPLE = DatasetSpec(
     required=("nconst",),
     partition_by=("primaryProfession0",),
     serve=(
-        ServeColumn("nconst", T.StringType(), False, "", comment="person identifier"),
-        ServeColumn("primaryName", T.StringType(), False, "", comment="most credited name"),
+        ServeColumn("nconst", T.StringType(), False, "", comment="key of the person"),
+        ServeColumn("primaryName", T.StringType(), False, "", comment="name as credited"),
         ServeColumn("birthYear", T.IntegerType(), True, None, "uint16", "birth year"),
         ServeColumn("deathYear", T.IntegerType(), True, None, "uint16", "death year"),
         ServeColumn("primaryProfession", ARR, False, "array", comment="professions"),
-        ServeColumn("knownForTitles", ARR, False, "array", comment="notable title identifiers"),
+        ServeColumn("knownForTitles", ARR, False, "array", comment="identifiers of well-known works"),
     ),
     sort_by=("nconst",),
     bucket_by=("nconst",),
@@ -223,12 +223,12 @@ PRINCIPALS = DatasetSpec(
     required=("tconst", "nconst"),
     partition_by=("category",),
     serve=(
-        ServeColumn("tconst", T.StringType(), False, "", comment="title identifier"),
-        ServeColumn("ordering", T.IntegerType(), False, 0, "uint8", "billing position"),
-        ServeColumn("nconst", T.StringType(), False, "", comment="person identifier"),
+        ServeColumn("tconst", T.StringType(), False, "", comment="key of the work"),
+        ServeColumn("ordering", T.IntegerType(), False, 0, "uint8", "place in the credits"),
+        ServeColumn("nconst", T.StringType(), False, "", comment="key of the person"),
         ServeColumn("category", T.StringType(), False, UNKNOWN, comment="role"),
-        ServeColumn("job", T.StringType(), True, None, comment="specific job"),
-        ServeColumn("characters", T.StringType(), True, None, comment="characters (JSON array text)"),
+        ServeColumn("job", T.StringType(), True, None, comment="job within the role, if any"),
+        ServeColumn("characters", T.StringType(), True, None, comment="parts played, as JSON text"),
     ),
     serve_partition_by=("category",),
     sort_by=("tconst", "ordering"),
@@ -253,14 +253,14 @@ AKAS = DatasetSpec(
     required=("titleId",),
     partition_by=("region",),
     serve=(
-        ServeColumn("titleId", T.StringType(), False, "", comment="title identifier"),
-        ServeColumn("ordering", T.IntegerType(), False, 0, "uint16", "row number within the title"),
-        ServeColumn("title", T.StringType(), False, "", comment="localised title"),
+        ServeColumn("titleId", T.StringType(), False, "", comment="key of the work"),
+        ServeColumn("ordering", T.IntegerType(), False, 0, "uint16", "place among the title's names"),
+        ServeColumn("title", T.StringType(), False, "", comment="name used in the region"),
         ServeColumn("region", T.StringType(), False, NO_REGION, comment="region code"),
         ServeColumn("language", T.StringType(), False, "", comment="language code"),
         ServeColumn("types", ARR, False, "array", comment="title types"),
         ServeColumn("attributes", ARR, False, "array", comment="title attributes"),
-        ServeColumn("isOriginalTitle", T.IntegerType(), False, 0, "uint8", "1 = original title"),
+        ServeColumn("isOriginalTitle", T.IntegerType(), False, 0, "uint8", "flag: this is the original name"),
     ),
     serve_partition_by=("region",),
     sort_by=("titleId", "region", "ordering"),

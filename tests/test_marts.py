@@ -84,7 +84,7 @@ def test_most_credited_with_names_and_skewed_key(spark):
 def test_lookup_names_broadcasts_only_the_key_set(spark):
     keys = spark.createDataFrame([("a", 1)], "nconst string, n long").limit(1)
     dim = spark.createDataFrame([("a", "A"), ("b", "B")], "nconst string, primaryName string")
-    df = lookup_names(keys, dim, "nconst", ["primaryName"])
+    df = lookup_names(keys, dim, "nconst", ["primaryName"], bound=1)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
     assert df.collect()[0].primaryName == "A"
@@ -150,21 +150,19 @@ def test_enrichment_broadcasts_small_ratings_and_shuffles_when_large(spark):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
 
 
-def test_benchmark_sql_equals_dataframe_marts(spark):
-    from mediamart.plans.workbench import Workbench
-    from tests.conftest import SF_SMALL
-    w = Workbench.get(spark, SF_SMALL)
-    db, _, _ = w.serving()
-    t, p, pr, a = (w.serve(n) for n in ("titles", "people", "principals", "akas"))
-    frames = {
-        "rating_by_decade": marts.rating_by_decade(t),
-        "top_genres": marts.top_genres(t, 100),
-        "credited_actors": marts.most_credited(pr, p, "actor", "title_count"),
-        "rating_trend": marts.rating_trend(t),
-        "alt_titles_per_region": marts.alt_titles_per_region(a),
-        "credited_directors": marts.most_credited(pr, p, "director", "film_count"),
-    }
-    for name, sql in marts.benchmark_sql(db, 100).items():
-        got = spark.sql(sql)
-        assert got.columns == frames[name].columns, name
-        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in frames[name].collect()], name
+def test_localized_title_does_not_depend_on_row_order(spark):
+    rows = [("t1", 1, "B", "XX", "de"), ("t1", 1, "A", "XX", "fr"), ("t1", None, "0", "XX", "aa"),
+            ("t2", None, "only", "XX", None), ("t3", 2, None, "XX", "en"), ("t3", 3, "late", "XX", "en")]
+    want = {"t1": ("A", "fr", 3), "t2": ("only", None, 1), "t3": (None, "en", 2)}
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "titleId string, ordering int, title string, region string, language string")
+        got = {r.titleId: (r.localized_title, r.language, r.variants) for r in marts.localized_title(df, "XX").collect()}
+        assert got == want
+
+
+def test_lookup_without_a_broadcast_hint_past_the_bound(spark, monkeypatch):
+    from mediamart.operators import enrich
+    monkeypatch.setattr(enrich, "MAX_BROADCAST_KEYS", 1)
+    pr = spark.createDataFrame([("nm1", "actor"), ("nm1", "actor"), ("nm2", "actor")], "nconst string, category string")
+    pe = spark.createDataFrame([("nm1", "Ann")], "nconst string, primaryName string")
+    assert [tuple(r) for r in marts.most_credited(pr, pe, "actor", k=5).collect()] == [("nm1", "Ann", 2), ("nm2", None, 1)]
