@@ -81,7 +81,7 @@ def _pairs(batches):
 
 def _histogram(batches):
     """Counts by (query, bin) of this task, summed before they are sent."""
-    held: dict[int, tuple] = {}
+    held: dict[bytes, tuple] = {}
 
     def rows(qid, counts):
         i, b = np.nonzero(counts)
@@ -94,10 +94,10 @@ def _histogram(batches):
         ok = (s >= lo) & (s < np.frombuffer(r["hi"], np.int64)[:, None]) & ~own
         row = np.broadcast_to(np.arange(len(qid))[:, None], s.shape)[ok]
         counts = np.bincount(row * BINS + at[ok], minlength=len(qid) * BINS).reshape(-1, BINS)
-        if r["qb"] in held:
-            held[r["qb"]][1][:] += counts
+        if r["q_ids"] in held:
+            held[r["q_ids"]][1][:] += counts
         else:
-            held[r["qb"]] = (qid, counts)
+            held[r["q_ids"]] = (qid, counts)
         if len(held) > 4:
             yield rows(*held.pop(next(iter(held))))
     for x in held.values():
@@ -134,7 +134,7 @@ def top_k(vectors: DataFrame, k: int = 10, query_mod: int = 100, id_col: str = "
     # |score| <= norm(q) * largest norm; one more on each side
     norm = F.sqrt(F.aggregate(F.transform("v", lambda x: F.pow(F.floor(x * 1024.0).cast("double"), F.lit(2.0))),
                               F.lit(0.0), lambda a, b: a + b))
-    reach = F.least(F.ceil(norm * F.lit(largest) * 1.000001) + 1, F.lit(LONG))
+    reach = F.ceil(F.least(norm * F.lit(largest) * 1.000001 + 1.0, F.lit(float(LONG))))
     state = written(queries.select(
         "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(n_qb)).alias("qb"), (-reach).cast("long").alias("lo"),
         (reach + 1).cast("long").alias("hi"),
