@@ -14,10 +14,10 @@ text left need no comparison, the others get a suffix array by linear grouping
 neighbours and take the smallest document id among them. Blocks get the runs
 of matching windows back, mark the bytes and cut them out.
 
-An anchor found in very many places of the corpus with ever different bytes
-around it would make one large group. From HOT distinct segments in a block
-on, it is asked about window by window instead: each window is then a segment
-of its own under its own hash, so that the group is spread.
+An anchor with more than HOT places in the whole corpus could have ever
+different bytes around it and make one large group. All blocks ask about such
+an anchor window by window instead: each window is a segment of its own under
+its own hash, so that the group is spread.
 
 Defined cases: a null text counts as empty; texts shorter than LENGTH lose
 nothing; matches never cross documents; rows that share an id do not remove
@@ -44,9 +44,10 @@ from mediamart.llm.suffix_groups import suffix_array
 LENGTH, K = 50, 24
 SPAN = LENGTH - K + 1                     # anchor positions in a window
 HASH_BITS = 48
-HOT = 4096
+HOT = 20_000
 SORT_BYTES = 4096                         # suffix arrays are built over about so much at once
 PIECE = 4 << 20
+BLOCK = 8 << 20                           # a task holds segments of one block, several times its text
 NO_ID = np.iinfo(np.int64).max
 _LETTER = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -102,10 +103,11 @@ def anchors(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         whole = np.ones(len(key), bool)        # windows that do not cross a border
         for s in start[1:].tolist():
             whole[max(0, s - LENGTH + 1):s] = False
-        p = np.unique(key[whole] & np.uint64(0xFFFFFF)).astype(np.int64)
+        p = (key[whole] & np.uint64(0xFFFFFF)).astype(np.int64)
+        p = p[np.r_[True, p[1:] != p[:-1]]]    # the places of the minima ascend with the windows
         owner = np.searchsorted(start, p, side="right") - 1
         out.append((np.array([x[0] for x in part])[owner], p - start[owner] + np.array([x[1] for x in part])[owner],
-                    (h[p] >> np.uint64(64 - HASH_BITS)).astype(np.int64)))
+                    _spread(h[p])))
     if not out:
         return (np.zeros(0, np.int64),) * 3
     doc, pos, h = (np.concatenate(x) for x in zip(*out))
@@ -115,6 +117,13 @@ def anchors(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc[keep], pos[keep], h[keep]
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """The hash that names an anchor. Anchors have the least of their
+    neighbours' hashes, so those crowd at the low end; mixed again they spread."""
+    h = h * np.uint64(0x94D049BB133111EB)
+    return ((h ^ (h >> np.uint64(32))) * np.uint64(_BASE) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
 def _ids(row: dict, id_at: int) -> np.ndarray:
     return np.array([NO_ID if x is None else x for x in rest_columns(row)[id_at].to_pylist()], np.int64)
 
@@ -125,15 +134,17 @@ def _by_hash(h: np.ndarray, groups: int) -> np.ndarray:
 
 
 # -- first question: which anchors occur in two documents ---------------------
-_ASKED = pa.schema([("block", pa.int64()), ("grp", pa.int64()), ("hashes", pa.binary()), ("several", pa.binary())])
+_ASKED = pa.schema([("block", pa.int64()), ("grp", pa.int64()), ("hashes", pa.binary()), ("several", pa.binary()), ("places", pa.binary())])
 
 
 def _distinct(doc_id: np.ndarray, h: np.ndarray):
-    """Distinct hashes, the smallest and the largest document id of each."""
+    """Distinct hashes; the smallest and the largest document id and the number of places of each."""
     order = np.argsort(h, kind="stable")
     h, doc_id = h[order], doc_id[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, int)
-    return h[first], np.minimum.reduceat(doc_id, first) if len(h) else doc_id, np.maximum.reduceat(doc_id, first) if len(h) else doc_id
+    if not len(h):
+        return h, doc_id, doc_id, h
+    return h[first], np.minimum.reduceat(doc_id, first), np.maximum.reduceat(doc_id, first), np.diff(np.r_[first, len(h)])
 
 
 def _ask_anchors(groups: int, id_at: int):
@@ -141,9 +152,9 @@ def _ask_anchors(groups: int, id_at: int):
         for batch in batches:
             for row in batch.to_pylist():
                 doc, _, h = anchors(text_values(row))
-                key, low, high = _distinct(_ids(row, id_at)[doc], h)
+                key, low, high, places = _distinct(_ids(row, id_at)[doc], h)
                 out = [{"block": row["block"], "grp": g, "hashes": packed(np.diff(key[a:b], prepend=0)),
-                        "several": zipped(np.packbits(low[a:b] < high[a:b]).tobytes())}
+                        "several": zipped(np.packbits(low[a:b] < high[a:b]).tobytes()), "places": packed(places[a:b], np.int32)}
                        for g, a, b in ranges(_by_hash(key, groups))]
                 yield pa.RecordBatch.from_pylist(out, _ASKED)
     return run
@@ -152,17 +163,29 @@ def _ask_anchors(groups: int, id_at: int):
 _MARKED = pa.schema([("block", pa.int64()), ("grp", pa.int64()), ("marks", pa.binary())])
 
 
-def _mark_anchors(t: pa.Table) -> pa.Table:
-    """Per block, which of its hashes are in several documents: of the block,
-    or of two blocks."""
-    rows = t.to_pylist()
-    hashes = [np.cumsum(unpacked(r["hashes"])) for r in rows]
-    several = [np.unpackbits(np.frombuffer(unzipped(r["several"]), np.uint8), count=len(h)).astype(np.int64) for r, h in zip(rows, hashes)]
-    key, at, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-    wanted = (n > 1) | (np.bincount(at, weights=np.concatenate(several)) > 0)
-    ends = np.cumsum([len(h) for h in hashes])
-    return pa.Table.from_pylist([{"block": r["block"], "grp": r["grp"], "marks": zipped(np.packbits(wanted[at[b - len(h):b]]).tobytes())}
-                                 for r, h, b in zip(rows, hashes, ends)], _MARKED)
+def _bits(blob: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(blob, np.uint8), count=count).astype(bool)
+
+
+def _mark_anchors(hot: int):
+    """Per block, which of its hashes are in several documents (of the block,
+    or of two blocks), and which have more than ``hot`` places in all."""
+    def run(t: pa.Table) -> pa.Table:
+        rows = t.to_pylist()
+        hashes = [np.cumsum(unpacked(r["hashes"])) for r in rows]
+        several = np.concatenate([_bits(unzipped(r["several"]), len(h)) for r, h in zip(rows, hashes)])
+        places = np.concatenate([unpacked(r["places"], np.int32) for r in rows])
+        _, at, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        wanted = (n > 1) | (np.bincount(at, weights=several) > 0)
+        much = np.bincount(at, weights=places) > hot
+        ends = np.cumsum([len(h) for h in hashes])
+        out = []
+        for r, h, b in zip(rows, hashes, ends):
+            mine = at[b - len(h):b]
+            out.append({"block": r["block"], "grp": r["grp"],
+                        "marks": zipped(np.packbits(wanted[mine]).tobytes() + np.packbits(much[mine]).tobytes())})
+        return pa.Table.from_pylist(out, _MARKED)
+    return run
 
 
 # -- second question: which windows of the segments match ---------------------
@@ -171,12 +194,15 @@ class Segments:
     ``key`` (hash), ``text``, ``left`` (bytes before the anchor); ``doc``,
     ``start`` and ``which`` list the places they were cut from."""
 
-    def __init__(self, values: list[bytes], marks: dict[int, bytes], groups: int, most: int):
+    def __init__(self, values: list[bytes], marks: dict[int, bytes], groups: int):
         doc, pos, h = anchors(values)
-        key = np.unique(h)
-        wanted = np.zeros(len(key), bool)
+        key = np.sort(h)
+        key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
+        wanted, much = np.zeros(len(key), bool), np.zeros(len(key), bool)
         for g, a, b in ranges(_by_hash(key, groups)):
-            wanted[a:b] = np.unpackbits(np.frombuffer(unzipped(marks[g]), np.uint8), count=b - a).astype(bool)
+            both = unzipped(marks[g])
+            wanted[a:b], much[a:b] = _bits(both[:len(both) // 2], b - a), _bits(both[len(both) // 2:], b - a)
+        hot = set(key[wanted & much].tolist())
         ok = wanted[np.searchsorted(key, h)]
         doc, pos, h = doc[ok], pos[ok], h[ok]
         size = np.fromiter(map(len, values), np.int64, len(values))
@@ -185,7 +211,6 @@ class Segments:
         which = np.empty(len(doc), np.int64)
         for n, (d, s, e, p, k) in enumerate(zip(doc.tolist(), a.tolist(), b.tolist(), pos.tolist(), h.tolist())):
             which[n] = index.setdefault((k, values[d][s:e], p - s), len(index))
-        hot = {k for k, n in zip(*np.unique([x[0] for x in index], return_counts=True)) if n > most} if index else set()
         if hot:
             doc, a, which, index = self._by_window(index, hot, doc, a, which)
         # in the order in which they are asked about
@@ -206,7 +231,7 @@ class Segments:
             if k not in hot:
                 cut.append([fresh.setdefault((k, text, left), len(fresh))])
                 continue
-            keys = (rolling(np.frombuffer(text, np.uint8), LENGTH) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+            keys = _spread(rolling(np.frombuffer(text, np.uint8), LENGTH))
             cut.append([fresh.setdefault((key, text[j:j + LENGTH], 0), len(fresh)) for j, key in enumerate(keys.tolist())])
         count = np.array([len(c) for c in cut])[which]
         flat, first = np.concatenate([np.array(c) for c in cut]), np.cumsum([0, *map(len, cut)])[:-1]
@@ -222,13 +247,13 @@ def _by_group(t: pa.Table, value: str) -> dict[int, bytes]:
     return dict(zip(t.column("grp").to_pylist(), t.column(value).to_pylist()))
 
 
-def _ask_segments(groups: int, id_at: int, hot: int):
+def _ask_segments(groups: int, id_at: int):
     def run(block: pa.Table, marks: pa.Table) -> pa.Table:
         out = []
         for row in block.to_pylist():
             ids = _ids(row, id_at)
-            found = Segments(text_values(row), _by_group(marks, "marks"), groups, hot)
-            _, low, high = _distinct(ids[found.doc], found.which)
+            found = Segments(text_values(row), _by_group(marks, "marks"), groups)
+            _, low, high, _ = _distinct(ids[found.doc], found.which)
             for g, a, b in ranges(_by_hash(found.key, groups)):
                 text = found.text[a:b]
                 out.append({"block": row["block"], "grp": g, "keys": packed(np.diff(found.key[a:b], prepend=0)),
@@ -274,6 +299,7 @@ def _match(key: np.ndarray, texts: list[bytes], low: np.ndarray) -> tuple[np.nda
     owner = np.repeat(np.arange(len(among)), c)
     offset = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
     h = h[np.repeat(np.cumsum(n) - n, c) + offset]
+    h ^= key[among][owner].astype(np.uint64) * np.uint64(_BASE)    # windows are compared within a crowd
     order = np.argsort(h, kind="stable")
     hs, os = h[order], owner[order]
     start = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]])
@@ -379,14 +405,14 @@ def _answer_segments(t: pa.Table) -> pa.Table:
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _cut(groups: int, id_at: int, hot: int, schema: pa.Schema):
+def _cut(groups: int, id_at: int, schema: pa.Schema):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         marks = _by_group(answers.filter(pa.compute.is_valid(answers.column("marks"))), "marks")
         runs = _by_group(answers.filter(pa.compute.is_valid(answers.column("runs"))), "runs")
         out = []
         for row in block.to_pylist():
             values, ids = text_values(row), _ids(row, id_at)
-            found = Segments(values, marks, groups, hot)
+            found = Segments(values, marks, groups)
             size = np.array(row["size"], np.int64)
             base = np.cumsum(size) - size
             step = np.zeros(int(size.sum()) + 1, np.int32)
@@ -431,20 +457,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_at = others.index(id_col)
     made = [unused(docs, c) for c in ("kept", "n_bytes", "spans")]
     typed = docs.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
-    held = written(gather(typed, text_col), "suffix_blocks")
+    held = written(gather(typed, text_col, block_bytes=BLOCK), "suffix_blocks")
     total = held.select(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0]
     groups = max(12, -(-int(total or 0) // (8 << 20)))
-    asked = held.mapInArrow(_ask_anchors(groups, id_at), "block long, grp long, hashes binary, several binary")
-    marks = written(asked.groupBy("grp").applyInArrow(_mark_anchors, "block long, grp long, marks binary"), "suffix_marks")
+    asked = held.mapInArrow(_ask_anchors(groups, id_at), "block long, grp long, hashes binary, several binary, places binary")
+    marks = written(asked.groupBy("grp").applyInArrow(_mark_anchors(hot), "block long, grp long, marks binary"), "suffix_marks")
     segments = held.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
-        _ask_segments(groups, id_at, hot), "block long, grp long, keys binary, sizes binary, texts binary, low binary, high binary")
+        _ask_segments(groups, id_at), "block long, grp long, keys binary, sizes binary, texts binary, low binary, high binary")
     runs = segments.groupBy("grp").applyInArrow(_answer_segments, "block long, grp long, marks binary, runs binary")
     answers = marks.withColumn("runs", F.lit(None).cast("binary")).union(runs)
     fields = [*(docs.schema[c] for c in others)]
     shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{made[0]}` binary", f"`{made[1]}` long",
                        f"`{made[2]}` array<struct<start:long,end:long>>"])
     schema = to_arrow_schema(StructType.fromDDL(shape))
-    cut = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(groups, id_at, hot, schema), shape)
+    cut = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(groups, id_at, schema), shape)
     return cut, made
 
 

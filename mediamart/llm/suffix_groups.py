@@ -87,25 +87,26 @@ def _lyndon_groups(n: int, order: list[int], place: list[int], link: list[int],
             by_hits.setdefault(hits[p], []).append(p)
             hits[p] = 0
         for times in sorted(by_hits, reverse=True):
-            part = by_hits[times]
+            part, moved = by_hits[times], {}
             for p in part:                   # to the upper end of their groups
                 g = link[p]
                 left = size[g] - 1
                 size[g] = left
+                moved[g] = moved.get(g, 0) + 1
                 t = g + left
                 q, a = order[t], place[p]
                 order[a], place[q] = q, a
                 order[t], place[p] = p, t
-            for p in part:                   # what moved out of a group is a new one
-                g = link[p]
-                new = g + size[g]
-                if new != g:
-                    link[p] = new
-                    size[new] += 1
+            for g, n_moved in moved.items():
+                if size[g]:                  # what moved out of a group is a new one
+                    size[g + size[g]] = n_moved
             for p in part:
                 g = link[p]
-                if not size[g]:              # the whole group moved: it stays as it was
-                    size[g] = sum(link[q] == g for q in part)
+                if size[g]:
+                    link[p] = g + size[g]
+            for g, n_moved in moved.items():
+                if not size[g]:              # a group that moved as a whole stays as it was
+                    size[g] = n_moved
     return before
 
 
