@@ -34,7 +34,7 @@ from mediamart.operators import rollup  # noqa: E402
 from mediamart.jobs import lake_frame  # noqa: E402
 from mediamart.plans import marts  # noqa: E402
 from mediamart.plans.workbench import Workbench  # noqa: E402
-from mediamart.session import build_session, scratch_path  # noqa: E402
+from mediamart.session import build_session, clear_scratch, scratch_path  # noqa: E402
 from mediamart.sources.tsv import write_tsv  # noqa: E402
 
 RUNS = 3
@@ -117,6 +117,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": RUNS,
     }))
+    clear_scratch(spark)
     spark.stop()
 
 
