@@ -35,7 +35,7 @@ from tokenizers import Tokenizer
 
 from mediamart.llm.common import ship, slices, texts
 
-ROW_LIMIT, ROWS_AT_ONCE, CACHE_LIMIT = 64, 40_000, 600_000
+ROW_LIMIT, ROWS_AT_ONCE, CACHE_LIMIT = 64, 40_000, 300_000
 SHIFT = 8                      # bits of the position in a tree key; ROW_LIMIT < 1 << SHIFT
 NONE = np.int64(1) << np.int64(60)
 #: Separators that str.split() takes for white space and the vocabulary's normaliser does not.
@@ -154,9 +154,10 @@ class Bpe:
         self.units = regex.compile(steps[0]["pattern"]["Regex"] + "| ")
         self.source, self.library = source, None
         self.byte_of = {c: b for b, c in enumerate(letters)}
-        self._reset()
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
+        """Forget all pieces seen."""
         self.pieces, self.words = _Index(), _Index()
         self.words[" "] = 0            # stands between two pieces
         self.word_ids, self.piece_ids = _Lists(), _Lists()
@@ -344,7 +345,7 @@ class Bpe:
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after each other, and each text's number of ids."""
         if len(self.pieces) > CACHE_LIMIT or len(self.words) > CACHE_LIMIT:
-            self._reset()
+            self.reset()
         first, parts, counts, get = len(self.pieces), [], [], self.pieces.__getitem__
         for text in batch:
             pieces = SPACE.findall(text) if any(c in text for c in CONTROL) else text.split()
@@ -392,6 +393,7 @@ def _run(docs: DataFrame, path: str, id_col: str, text_col: str, decoded: bool)
                 if decoded:
                     out.append(pa.array([bpe.decode(x) for x in each], pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "decoded"][:len(out)])
+        bpe.reset()                     # the worker process stays, its memory should not
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text")
     return rows.mapInArrow(run, "doc_id long, ids binary" + (", decoded string" if decoded else ""))

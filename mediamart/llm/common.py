@@ -70,7 +70,7 @@ def texts(column: pa.Array) -> list[str]:
     return ["" if v is None else v for v in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
     """Cut a batch into consecutive runs of rows whose text ``column`` holds about
     ``limit`` bytes (a single longer value makes a run of its own)."""
     if batch.num_rows == 0:

@@ -60,6 +60,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start.astype(np.int64)),
                      pa.array(length.astype(np.int64)), raw.cast(pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
+        bpe.reset()                     # the worker process stays, its memory should not
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text")
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")

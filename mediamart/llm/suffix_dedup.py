@@ -405,7 +405,7 @@ def _answer_segments(t: pa.Table) -> pa.Table:
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _cut(groups: int, id_at: int, schema: pa.Schema):
+def _cut(groups: int, id_at: int, schema: pa.Schema, text_at: int | None):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         marks = _by_group(answers.filter(pa.compute.is_valid(answers.column("marks"))), "marks")
         runs = _by_group(answers.filter(pa.compute.is_valid(answers.column("runs"))), "runs")
@@ -431,18 +431,16 @@ def _cut(groups: int, id_at: int, schema: pa.Schema):
             np.add.at(step, start + begin[at], 1)
             np.add.at(step, start + end[at] + LENGTH - 1, -1)
             gone = np.cumsum(step)[:-1] > 0
-            kept, spans = [], []
-            for v, a, n in zip(values, base.tolist(), size.tolist()):
-                mask = gone[a:a + n]
-                if not mask.any():
-                    kept.append(v)
-                    spans.append([])
-                    continue
-                kept.append(np.frombuffer(v, np.uint8)[~mask].tobytes())
-                edge = np.flatnonzero(np.diff(np.r_[0, mask.astype(np.int8), 0])).tolist()
-                spans.append([{"start": s, "end": e} for s, e in zip(edge[::2], edge[1::2])])
-            out.append(pa.table([*rest_columns(row), pa.array(kept, pa.binary()), pa.array(size),
-                                 pa.array(spans, _SPANS)], names=schema.names))
+            rest = rest_columns(row)
+            masks = [gone[a:a + n] for a, n in zip(base.tolist(), size.tolist())]
+            kept = [np.frombuffer(v, np.uint8)[~m].tobytes() if m.any() else v for v, m in zip(values, masks)]
+            if text_at is not None:
+                texts = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+                out.append(pa.table([*rest[:text_at], texts, *rest[text_at:]], names=schema.names))
+                continue
+            edges = [np.flatnonzero(np.diff(np.r_[0, m.astype(np.int8), 0])).tolist() for m in masks]
+            spans = [[{"start": s, "end": e} for s, e in zip(x[::2], x[1::2])] for x in edges]
+            out.append(pa.table([*rest, pa.array(kept, pa.binary()), pa.array(size), pa.array(spans, _SPANS)], names=schema.names))
         return pa.concat_tables(out) if out else schema.empty_table()
     return run
 
@@ -452,37 +450,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The columns of ``docs`` other than the text, and three more, whose
     names are returned too: the kept bytes, the text's number of bytes, and
     the removed spans (start and end byte)."""
-    ship(docs.sparkSession)
-    others = [c for c in docs.columns if c != text_col]
-    id_at = others.index(id_col)
     made = [unused(docs, c) for c in ("kept", "n_bytes", "spans")]
+    fields = [_field(f) for f in docs.schema.fields if f.name != text_col]
+    return _removed(docs, id_col, text_col, hot, None, [
+        *fields, f"`{made[0]}` binary", f"`{made[1]}` long", f"`{made[2]}` array<struct<start:long,end:long>>"]), made
+
+
+def clean_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """``docs`` with its columns, the repeated strings cut out of the text."""
+    fields = [f"`{f.name}` string" if f.name == text_col else _field(f) for f in docs.schema.fields]
+    return _removed(docs, id_col, text_col, hot, docs.columns.index(text_col), fields)
+
+
+def _field(f) -> str:
+    return f"`{f.name}` {f.dataType.simpleString()}"
+
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, hot: int, text_at: int | None, fields: list[str]) -> DataFrame:
+    ship(docs.sparkSession)
+    id_at = [c for c in docs.columns if c != text_col].index(id_col)
     typed = docs.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
     held = written(gather(typed, text_col, block_bytes=BLOCK), "suffix_blocks")
     total = held.select(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0]
-    groups = max(12, -(-int(total or 0) // (8 << 20)))
+    groups = max(12, -(-int(total or 0) // BLOCK))
     asked = held.mapInArrow(_ask_anchors(groups, id_at), "block long, grp long, hashes binary, several binary, places binary")
     marks = written(asked.groupBy("grp").applyInArrow(_mark_anchors(hot), "block long, grp long, marks binary"), "suffix_marks")
     segments = held.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
         _ask_segments(groups, id_at), "block long, grp long, keys binary, sizes binary, texts binary, low binary, high binary")
     runs = segments.groupBy("grp").applyInArrow(_answer_segments, "block long, grp long, marks binary, runs binary")
     answers = marks.withColumn("runs", F.lit(None).cast("binary")).union(runs)
-    fields = [*(docs.schema[c] for c in others)]
-    shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{made[0]}` binary", f"`{made[1]}` long",
-                       f"`{made[2]}` array<struct<start:long,end:long>>"])
+    shape = ", ".join(fields)
     schema = to_arrow_schema(StructType.fromDDL(shape))
-    cut = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(groups, id_at, schema), shape)
-    return cut, made
-
-
-def clean_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its columns, the repeated strings cut out of the text."""
-    cut, (kept, _, _) = remove_repeats(docs, id_col, text_col)
-    names, at, kept_at = docs.columns, docs.columns.index(text_col), cut.columns.index(kept)
-
-    def run(batches):
-        for batch in batches:
-            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(kept_at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], text, *batch.columns[at:kept_at]], names=names)
-
-    fields = ", ".join(f"`{f.name}` {'string' if f.name == text_col else f.dataType.simpleString()}" for f in docs.schema.fields)
-    return cut.mapInArrow(run, fields)
+    return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_cut(groups, id_at, schema, text_at), shape)
