@@ -50,3 +50,14 @@ def test_shuffles_are_sized_from_the_input(spark):
         assert size_shuffles(spark, 1 << 40) == (1 << 40) // (64 << 20) == int(spark.conf.get(key))
     finally:
         spark.conf.unset(key)
+
+
+def test_a_slot_replaces_its_folder_and_database(spark):
+    from mediamart.session import scratch_slot
+    from mediamart.sources.fs import exists
+    first = scratch_slot(spark, "test_slot", "mm_slot_one")
+    spark.range(3).write.parquet(first)
+    spark.sql(f"CREATE DATABASE mm_slot_one LOCATION '{first}_db'")
+    second = scratch_slot(spark, "test_slot", "mm_slot_two")
+    assert first != second and not exists(spark, first)
+    assert not spark.catalog.databaseExists("mm_slot_one")
