@@ -18,8 +18,8 @@ from mediamart.llm.common import ship, slices, text_bytes
 BLOCK_BYTES, CHUNK_BYTES = 24 << 20, 2 << 20
 
 
-def zipped(raw: bytes) -> bytes:
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+def zipped(raw: bytes, level: int = 1) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
 
 
 def unzipped(packed: bytes) -> bytes:
@@ -37,7 +37,7 @@ def unpacked(blob: bytes, kind=np.int64) -> np.ndarray:
 _SHAPE = pa.schema([("block", pa.int64()), ("size", pa.list_(pa.int64())), ("texts", pa.binary()), ("rest", pa.binary())])
 
 
-def gather(docs: DataFrame, text_col: str, lower: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def gather(docs: DataFrame, text_col: str, lower: bool = False, block_bytes: int = BLOCK_BYTES, level: int = 1) -> DataFrame:
     """block, size, texts, rest: the texts (null: empty; ``lower``: A-Z in
     lower case) and, as they are, the other columns of the same rows. A text
     longer than a block is a block of its own."""
@@ -56,7 +56,7 @@ def gather(docs: DataFrame, text_col: str, lower: bool = False, block_bytes: int
                 for x in rest:
                     out.write_batch(x)
             return pa.RecordBatch.from_pydict({
-                "block": [number], "size": [[len(v) for v in values]], "texts": [zipped(b"".join(values))],
+                "block": [number], "size": [[len(v) for v in values]], "texts": [zipped(b"".join(values), level)],
                 "rest": [zipped(sink.getvalue().to_pybytes())]}, schema=_SHAPE)
 
         for batch in batches:

@@ -8,10 +8,12 @@ language proportions; nested sets of its languages are then compared by
 penalised likelihood (BIC), and the chosen set is estimated once more. The
 prediction is the language with the largest proportion, which is the score.
 
-Bounds of the model that is sent to the executors: MAX_LANGUAGES languages
-(those with the most trigrams) and about MAX_GRAMS (language, trigram) counts,
-kept from a count floor up; the rest shares the smoothing mass. Counting
-covers all training documents, and inference whole texts.
+Every count is used, of the MAX_LANGUAGES languages with the most trigrams. The counts stay in the table they are
+written to; the driver holds a name and a total per language. Documents are
+gathered into blocks, a block asks for its own distinct trigrams, and groups
+of trigrams answer with their counts, packed. What a task holds at once is a
+block with its answers and the likelihoods (distinct words x languages) of a
+run of its documents, of one document at least.
 
 Defined cases: null text, or text without a letter, gives ``und`` with score
 0; without any training document every text does; ties go to the smaller
@@ -28,12 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.llm.common import appended, id_remainder, ship, slices, written
+from mediamart.llm.blocks import chunks, gather, packed, ranges, rest_columns, text_values, unpacked
+from mediamart.llm.common import id_remainder, ship, slices, unused, written
 
 FOLDS, HELD_OUT_FOLD = 4, 2
-MAX_LANGUAGES, MAX_GRAMS, SMOOTHING = 64, 200_000, 0.5
+MAX_LANGUAGES, SMOOTHING = 64, 0.5
 ROUNDS, REFIT_ROUNDS, MOST_LANGUAGES = 12, 4, 4
 WORDS_HELD = 200_000
+BLOCK_BYTES, BLOCK_LEVEL = 12 << 20, 5           # blocks are written and shuffled once: zstd level for less disk
+GROUP_COUNTS, GROUP_ASKED, LEAST_GROUPS = 500_000, 2_000_000, 9
+CELLS, CELLS_AT_ONCE = 8 << 20, 1 << 19       # words x languages of a run, and pairs x languages of a step
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "struct<lang:string,score:double>"
@@ -94,21 +100,48 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    def __init__(self, langs: list[str], grams: np.ndarray, logp: np.ndarray, unknown: np.ndarray):
-        """``logp[i, l]``: log likelihood of grams[i] in langs[l]; ``unknown[l]`` of any other."""
-        self.langs, self.grams, self.logp, self.unknown = langs, grams, logp, unknown
-
-    def words(self, words: list[str]) -> np.ndarray:
-        """Log likelihood of each word in each language."""
-        out = np.zeros((len(words), len(self.langs)))
-        if not words or not self.langs:
+    """``mass[l]``: trigrams of langs[l] in training; ``distinct`` trigrams of
+    all; ``counts``: the written table of (lang, gram, n)."""
+
+    def __init__(self, langs: list[str], mass: np.ndarray, distinct: int, counts: DataFrame | None):
+        self.langs, self.counts = langs, counts
+        self.unknown = np.log(SMOOTHING / (mass + SMOOTHING * (distinct + 1)))
+
+
+class Counts:
+    """Counts of some trigrams: of ``grams[i]``, entries ``start[i]`` up to
+    ``start[i + 1]`` are the languages that have it and how often."""
+
+    def __init__(self, gram: np.ndarray, lang: np.ndarray, n: np.ndarray):
+        order = np.argsort(gram, kind="stable")
+        gram, self.lang, self.n = gram[order], lang[order], n[order]
+        first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]) if len(gram) else np.zeros(0, np.int64)
+        self.grams, self.start = gram[first], np.r_[first, len(gram)]
+
+    def entries(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``key``, entry) of all entries of the trigrams in ``key``."""
+        if not len(self.grams):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
+        size = np.where(self.grams[at] == key, self.start[at + 1] - self.start[at], 0)
+        place = np.repeat(np.arange(len(key)), size)
+        return place, np.arange(len(place)) + np.repeat(self.start[at] - np.cumsum(size) + size, size)
+
+    def words(self, words: list[str], unknown: np.ndarray) -> np.ndarray:
+        """Log likelihood of each word in each language; ``unknown[l]`` is that
+        of a trigram without a count."""
+        out = np.empty((len(words), len(unknown)))
+        if not words:
             return out
-        key, owner = trigrams(words)
-        at = np.minimum(np.searchsorted(self.grams, key), max(len(self.grams) - 1, 0))
-        known = self.grams[at] == key if len(self.grams) else np.zeros(len(key), bool)
-        for j in range(len(self.langs)):
-            each = np.where(known, self.logp[at, j] if len(self.grams) else 0, self.unknown[j])
-            out[:, j] = np.bincount(owner, weights=each, minlength=len(words))
+        more = np.log1p(self.n / SMOOTHING)      # what a count adds to ``unknown``
+        step = max(1, CELLS_AT_ONCE // len(unknown))
+        for a in range(0, len(words), step):
+            key, owner = trigrams(words[a:a + step])
+            part = out[a:a + step]
+            part[:] = np.bincount(owner, minlength=len(part))[:, None] * unknown
+            place, entry = self.entries(key)
+            part += np.bincount(owner[place] * len(unknown) + self.lang[entry], weights=more[entry],
+                                minlength=part.size).reshape(part.shape)
         return out
 
 
@@ -117,44 +150,43 @@ def fit(docs: DataFrame) -> Model:
     train = docs.where((id_remainder("doc_id", FOLDS) != HELD_OUT_FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = written(count_grams(train), "language_grams")
     mass = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    langs = sorted(r[0] for r in mass)
     total = {r[0]: r[1] for r in mass}
+    langs = sorted(total)
     if not langs:
-        return Model([], np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0))
+        return Model([], np.zeros(0), 0, None)
     counts = counts.where(F.col("lang").isin(langs))
-    # the lowest power of two from which on at most MAX_GRAMS counts are kept
-    by_size = counts.groupBy(F.floor(F.log2("n")).alias("size")).count().collect()
-    floor, kept = 0, 0
-    for size, n in sorted(((r[0], r[1]) for r in by_size), reverse=True):
-        kept += n
-        if kept > MAX_GRAMS:
-            floor = size + 1
-            break
-    rows = counts.where(F.col("n") >= 2 ** floor).collect()
-    grams = np.unique(np.array([r[1] for r in rows], np.int64))
-    n = np.zeros((len(grams), len(langs)))
-    place = {lang: j for j, lang in enumerate(langs)}
-    n[np.searchsorted(grams, np.array([r[1] for r in rows], np.int64)), [place[r[0]] for r in rows]] = [r[2] for r in rows]
-    all_mass = np.array([total[x] for x in langs], float) + SMOOTHING * (len(grams) + 1)
-    return Model(langs, grams, np.log((n + SMOOTHING) / all_mass).astype(np.float32), np.log(SMOOTHING / all_mass))
-
-
-def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int) -> np.ndarray:
+    return Model(langs, np.array([total[x] for x in langs], float), counts.select("gram").distinct().count(), counts)
+
+
+def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int, word: np.ndarray | None = None) -> np.ndarray:
     """Proportions (docs x languages) by expectation-maximisation over the
-    rows (doc, word likelihoods, count), which are sorted by doc; languages
-    outside the set chosen by penalised likelihood have proportion 0."""
+    rows (doc, word, count), which are sorted by doc; ``ll[word]`` are a row's
+    likelihoods (without ``word``: ll has a row for each). Languages outside
+    the set chosen by penalised likelihood have proportion 0."""
     langs = ll.shape[1]
+    word = np.arange(len(doc)) if word is None else word
     like = np.exp(ll - ll.max(1, keepdims=True))
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     present = doc[first]
     total = np.add.reduceat(n, first)
     owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(doc)]))
+    step = max(1, CELLS_AT_ONCE // langs)
+
+    def shares(pi: np.ndarray):
+        """Step by step the rows' counts, proportions times likelihoods, their
+        documents, and where those begin."""
+        for a in range(0, len(doc), step):
+            o = owner[a:a + step]
+            cut = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
+            yield n[a:a + step], pi[o] * like[word[a:a + step]], o[cut], cut
 
     def rounds(pi: np.ndarray, times: int) -> np.ndarray:
         for _ in range(times):
-            share = pi[owner] * like
-            share *= (n / np.maximum(share.sum(1), 1e-300))[:, None]
-            pi = np.add.reduceat(share, first) / total[:, None]
+            new = np.zeros_like(pi)
+            for count, share, to, cut in shares(pi):
+                share *= (count / np.maximum(share.sum(1), 1e-300))[:, None]
+                new[to] += np.add.reduceat(share, cut)
+            pi = new / total[:, None]
         return pi
 
     pi = rounds(np.full((len(first), langs), 1.0 / langs), ROUNDS)
@@ -163,7 +195,9 @@ def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int) -> np.nd
     for k in range(1, min(langs, MOST_LANGUAGES) + 1):
         part = np.where(rank < k, pi, 0)
         part /= part.sum(1, keepdims=True)
-        fit_ = np.add.reduceat(n * np.log(np.maximum((part[owner] * like).sum(1), 1e-300)), first)
+        fit_ = np.zeros(len(first))
+        for count, share, to, cut in shares(part):
+            fit_[to] += np.add.reduceat(count * np.log(np.maximum(share.sum(1), 1e-300)), cut)
         cost = -2 * fit_ + (k - 1) * np.log(total)
         better = cost < best - 1e-9
         best[better], chosen[better] = cost[better], k
@@ -173,25 +207,119 @@ def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int) -> np.nd
     return out
 
 
+def identify(values: list[bytes], langs: list[str], unknown: np.ndarray, counts: Counts) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    lang, score = [UNKNOWN] * len(values), np.zeros(len(values))
+    each = [words_of(v) for v in values]
+    lettered = [i for i, words in enumerate(each) if any(not w.isnumeric() and any(map(str.isalpha, w)) for w in words)]
+    for a, b in chunks([len(each[i]) * len(langs) for i in lettered], CELLS):
+        part, index = lettered[a:b], _Index()
+        ids = [np.fromiter(map(index.__getitem__, each[i]), np.int64, len(each[i])) for i in part]
+        owner = np.repeat(np.arange(len(part)), [len(x) for x in ids])
+        pair, n = np.unique(owner * len(index) + np.concatenate(ids), return_counts=True)
+        doc, word = np.divmod(pair, len(index))
+        pi = mixtures(counts.words(list(index), unknown), doc, n.astype(float), len(part), word)
+        top = pi.argmax(1)
+        for j, i in enumerate(part):
+            lang[i] = langs[top[j]]
+        score[part] = np.minimum(pi[np.arange(len(pi)), top], 1.0)
+    return lang, score
+
+
+# -- what a block asks and is answered ----------------------------------------
+_ASKED = pa.schema([("block", pa.int64()), ("asked", pa.int64()), ("keys", pa.binary())])
+_PART = pa.schema([("block", pa.int64()), ("grp", pa.int64()), ("keys", pa.binary())])
+_ANSWER = pa.schema([("block", pa.int64()), ("gram", pa.binary()), ("lang", pa.binary()), ("n", pa.binary())])
+
+
+def _ask(batches):
+    """The distinct trigrams of each block, ascending."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            held, index = np.zeros(0, np.int64), _Index()
+
+            def seen():
+                return np.union1d(held, trigrams(list(index))[0]) if index else held
+            for text in text_values(row):
+                for w in words_of(text):
+                    index[w]
+                if len(index) > WORDS_HELD:
+                    held = seen()
+                    index.clear()
+            held = seen()
+            yield pa.RecordBatch.from_pylist([{"block": row["block"], "asked": len(held), "keys": packed(np.diff(held, prepend=0))}], _ASKED)
+
+
+def _dealt(groups: int):
+    """A row for each group that a block asks something of."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = np.cumsum(unpacked(row["keys"]))
+                order = np.argsort(key % groups, kind="stable")
+                key = key[order]
+                for g, a, b in ranges(key % groups):
+                    yield pa.RecordBatch.from_pylist([{"block": row["block"], "grp": g, "keys": packed(np.diff(key[a:b], prepend=0))}], _PART)
+    return run
+
+
+def _answer(langs: list[str]):
+    """To each block the counts of the trigrams it asked for."""
+    def run(known: pa.Table, asked: pa.Table) -> pa.Table:
+        if not asked.num_rows or not known.num_rows:
+            return _ANSWER.empty_table()
+        place = {lang: j for j, lang in enumerate(langs)}
+        names = known.column("lang").combine_chunks().dictionary_encode()
+        if isinstance(names, pa.ChunkedArray):
+            names = names.combine_chunks()
+        lang = np.array([place[x] for x in names.dictionary.to_pylist()], np.int64)[np.asarray(names.indices)]
+        counts = Counts(np.asarray(known.column("gram")), lang, np.asarray(known.column("n")))
+        out = []
+        for block, keys in zip(asked.column("block").to_pylist(), asked.column("keys").to_pylist()):
+            key = np.cumsum(unpacked(keys))
+            at, entry = counts.entries(key)
+            out.append({"block": block, "gram": packed(np.diff(key[at], prepend=0)), "lang": packed(counts.lang[entry], np.int32),
+                        "n": packed(counts.n[entry])})
+        return pa.Table.from_pylist(out, _ANSWER)
+    return run
+
+
 def predict(docs: DataFrame, model: Model, column: str, text_col: str = "text") -> DataFrame:
     """``docs`` with one more column: struct(lang, score)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def compute(values: list[bytes]) -> pa.Array:
-        model, index = shared.value, _Index()
-        lang, score = [UNKNOWN] * len(values), np.zeros(len(values))
-        each = [words_of(v) for v in values]
-        lettered = [i for i, words in enumerate(each) if any(not w.isnumeric() and any(map(str.isalpha, w)) for w in words)]
-        if model.langs and lettered:
-            ids = [np.fromiter(map(index.__getitem__, each[i]), np.int64, len(each[i])) for i in lettered]
-            owner = np.repeat(np.arange(len(lettered)), [len(x) for x in ids])
-            pair, n = np.unique(owner * len(index) + np.concatenate(ids), return_counts=True)
-            doc, word = np.divmod(pair, len(index))
-            pi = mixtures(model.words(list(index))[word], doc, n.astype(float), len(lettered))
-            top = pi.argmax(1)
-            for j, i in enumerate(lettered):
-                lang[i] = model.langs[top[j]]
-            score[lettered] = np.minimum(pi[np.arange(len(pi)), top], 1.0)
-        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], names=["lang", "score"])
-
-    return appended(docs, column, RESULT, text_col, compute)
+    if not model.langs:
+        return docs.withColumn(column, F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score")))
+    spark = docs.sparkSession
+    ship(spark)
+    langs, unknown = model.langs, model.unknown
+    no_text, at = unused(docs, "no_text"), docs.columns.index(text_col)
+    blocks = written(gather(docs.withColumn(no_text, F.col(f"`{text_col}`").isNull()), text_col,
+                            block_bytes=BLOCK_BYTES, level=BLOCK_LEVEL), "language_blocks")
+    asked = written(blocks.select("block", "size", "texts").mapInArrow(_ask, "block long, asked long, keys binary"), "language_asked")
+    # an odd number, so that each of the three code points in a key matters
+    groups = max(LEAST_GROUPS, -(-model.counts.count() // GROUP_COUNTS),
+                 -(-int(asked.agg(F.sum("asked")).first()[0] or 0) // GROUP_ASKED)) | 1
+    known = model.counts.withColumn("grp", F.col("gram") % F.lit(groups).cast("long"))
+    answers = known.groupBy("grp").cogroup(
+        asked.select("block", "keys").mapInArrow(_dealt(groups), "block long, grp long, keys binary").groupBy("grp")
+    ).applyInArrow(_answer(langs), "block long, gram binary, lang binary, n binary")
+
+    def score(block: pa.Table, found: pa.Table) -> pa.Table:
+        rows = list(zip(*(found.column(c).to_pylist() for c in ("gram", "lang", "n"))))
+        counts = Counts(*(np.concatenate([np.zeros(0, np.int64), *x]) for x in (
+            [np.cumsum(unpacked(g)) for g, _, _ in rows], [unpacked(x, np.int32) for _, x, _ in rows], [unpacked(n) for _, _, n in rows])))
+        out = []
+        for row in block.to_pylist():
+            values, lang, share = text_values(row), [], []
+            for a, b in chunks(row["size"]):
+                x, y = identify(values[a:b], langs, unknown, counts)
+                lang += x
+                share.append(y)
+            *rest, null = rest_columns(row)
+            rest.insert(at, pa.array(values, pa.binary(), mask=np.asarray(null.to_pylist(), bool)).cast(pa.string()))
+            new = pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(np.concatenate(share))], names=["lang", "score"])
+            out.append(pa.table([*rest, new], names=[*names, column]))
+        return pa.concat_tables(out)       # every answer's block is there
+
+    names = docs.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, f"{fields}, `{column}` {RESULT}")

@@ -107,3 +107,31 @@ def test_language_on_odd_rows(spark, odd, none):
     empty = lm.fit(none)
     assert empty.langs == [] and {r.f.lang for r in lm.predict(odd, empty, "f").collect()} == {"und"}
     assert lm.predict(none, model, "f").collect() == []
+
+
+def test_language_uses_every_count(spark):
+    """A language with 260,000 trigrams beside a small one: the same answers as
+    from one dense model of all counts, and the small one is not lost."""
+    rng = np.random.default_rng(12)
+    large = ["".join(map(chr, w)) for w in rng.integers(0x4E00, 0x9FA5, (17_500, 20))]
+    small = ["".join(map(chr, w)) for w in rng.integers(0x10D0, 0x10F0, (300, 6))]
+    rows = [(i, " ".join(large[35 * i:35 * i + 35]), "zh") for i in range(500)] * 2
+    rows += [(500 + i, " ".join(rng.choice(small, 25)), "ka") for i in range(40)] + [(600, None, "ka"), (601, "1 2", "zh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = lm.fit(docs)
+    got = {r.doc_id: r.f for r in lm.predict(docs, model, "f").collect()}
+    assert {got[i].lang for i in range(500, 540)} == {"ka"} and got[600].lang == got[601].lang == "und"
+    assert np.mean([got[i].lang == "zh" for i in range(500) if fold(i, 4) != 2]) == 1
+    # the dense model of all counts, for some texts
+    some = [(i, t) for i, t, _ in rows[:8] + rows[1000:1040]]
+    n = {(r.lang, r.gram): r.n for r in lm.count_grams(docs.where("text IS NOT NULL").where(
+        lm.id_remainder("doc_id", lm.FOLDS) != lm.HELD_OUT_FOLD)).collect()}
+    assert len(n) > 200_000
+    mass, grams = {x: sum(v for (y, _), v in n.items() if y == x) for x in ("ka", "zh")}, len({g for _, g in n})
+    for i, text in some:
+        ll = []
+        for w in text.split():
+            key = lm.trigrams([w])[0].tolist()
+            ll.append([sum(np.log((n.get((x, g), 0) + 0.5) / (mass[x] + 0.5 * (grams + 1))) for g in key) for x in ("ka", "zh")])
+        pi = lm.mixtures(np.array(ll), np.zeros(len(ll), int), np.ones(len(ll)), 1)[0]
+        assert got[i].lang == ("ka", "zh")[int(pi.argmax())] and got[i].score == pytest.approx(pi.max(), abs=1e-9)
