@@ -8,7 +8,7 @@ language proportions; nested sets of its languages are then compared by
 penalised likelihood (BIC), and the chosen set is estimated once more. The
 prediction is the language with the largest proportion, which is the score.
 
-Every count is used, of the MAX_LANGUAGES languages with the most trigrams. The counts stay in the table they are
+Every count of every language is used. The counts stay in the table they are
 written to; the driver holds a name and a total per language. Documents are
 gathered into blocks, a block asks for its own distinct trigrams, and groups
 of trigrams answer with their counts, packed. What a task holds at once is a
@@ -34,7 +34,7 @@ from mediamart.llm.blocks import chunks, gather, packed, ranges, rest_columns, t
 from mediamart.llm.common import id_remainder, ship, slices, unused, written
 
 FOLDS, HELD_OUT_FOLD = 4, 2
-MAX_LANGUAGES, SMOOTHING = 64, 0.5
+SMOOTHING = 0.5
 ROUNDS, REFIT_ROUNDS, MOST_LANGUAGES = 12, 4, 4
 WORDS_HELD = 200_000
 BLOCK_BYTES, BLOCK_LEVEL = 12 << 20, 5           # blocks are written and shuffled once: zstd level for less disk
@@ -149,12 +149,10 @@ def fit(docs: DataFrame) -> Model:
     """Learn from the rows outside the held-out fold that have text and lang."""
     train = docs.where((id_remainder("doc_id", FOLDS) != HELD_OUT_FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = written(count_grams(train), "language_grams")
-    mass = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    total = {r[0]: r[1] for r in mass}
+    total = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}   # a row per language
     langs = sorted(total)
     if not langs:
         return Model([], np.zeros(0), 0, None)
-    counts = counts.where(F.col("lang").isin(langs))
     return Model(langs, np.array([total[x] for x in langs], float), counts.select("gram").distinct().count(), counts)
 
 

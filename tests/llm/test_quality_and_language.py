@@ -135,3 +135,13 @@ def test_language_uses_every_count(spark):
             ll.append([sum(np.log((n.get((x, g), 0) + 0.5) / (mass[x] + 0.5 * (grams + 1))) for g in key) for x in ("ka", "zh")])
         pi = lm.mixtures(np.array(ll), np.zeros(len(ll), int), np.ones(len(ll)), 1)[0]
         assert got[i].lang == ("ka", "zh")[int(pi.argmax())] and got[i].score == pytest.approx(pi.max(), abs=1e-9)
+
+
+def test_language_learns_every_language(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join("".join(map(chr, w)) for w in rng.integers(0x4E00 + 40 * (i % 70), 0x4E14 + 40 * (i % 70), (30 + i % 70, 5))), f"l{i % 70:02d}")
+            for i in range(840)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lm.fit(docs)
+    assert len(model.langs) == 70
+    assert {r.doc_id: r.f.lang for r in lm.predict(docs, model, "f").collect()} == {i: lang for i, _, lang in rows}
