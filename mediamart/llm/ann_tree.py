@@ -4,9 +4,11 @@ The tree (spherical k-means, split until a node holds few rows of the sample)
 is fitted on a bounded sample; every row is then indexed under its leaf. A
 query walks the tree best-bin-first: a priority queue holds the nodes not yet
 opened, nearest centre first, and the leaves come out in that order. How many
-leaves a query visits is widened until, over calibration queries whose true
-neighbours are known exactly, the wanted recall is reached. Each visited leaf
-is searched exactly, in double precision, on the original vectors.
+leaves a query visits is widened until, of the calibration queries whose true
+neighbours are known exactly, the wanted share reach the wanted recall each. A
+query whose leaves hold too few rows for k others goes on to further leaves.
+Each visited leaf is searched exactly, in double precision, on the original
+vectors.
 
 Parameters with a bound: FIT_ROWS (sample for the tree), CALIBRATION_QUERIES.
 Every row is indexed and every query is answered. A leaf with many rows (a
@@ -80,10 +82,11 @@ class Tree:
             work += [(kid, part[near == j]) for j, kid in enumerate(kids) if (near == j).any()]
         return out
 
-    def visit(self, row: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
-        unit, queue, out = _unit(row[None])[0], [(0.0, 0)], []
-        while queue and len(out) < most:
+    def visit(self, row: np.ndarray, most: int, size: np.ndarray | None = None, need: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first, and the next ones until
+        all together hold ``need`` rows (``size``: rows indexed under each)."""
+        unit, queue, out, held = _unit(row[None])[0], [(0.0, 0)], [], 0
+        while queue and (len(out) < most or size is not None and held < need):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if kids:
@@ -91,6 +94,7 @@ class Tree:
                     heapq.heappush(queue, (far, kid))
             else:
                 out.append(self.leaf[node])
+                held += 0 if size is None else int(size[self.leaf[node]])
         return out
 
 
@@ -163,6 +167,14 @@ def _sample(rows: DataFrame, total: int, n: int) -> tuple[np.ndarray, list]:
     return np.array([r[0] for r in got], np.int64), [r[1] for r in got]
 
 
+def leaves_needed(depths: list[list[int]], target: float) -> int:
+    """How many leaves to visit, so that a share ``target`` of the queries find
+    a share ``target`` of their own neighbours; ``depths`` has for each query
+    the places, in its order of visits, of the leaves with its neighbours."""
+    at = lambda x: sorted(x)[max(0, int(np.ceil(target * len(x))) - 1)]
+    return 1 + at([at(x) for x in depths])
+
+
 def search(vectors: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "vec_id",
            vec_col: str = "embedding", target: float = TARGET_RECALL) -> DataFrame:
     """query_id, rank, vec_id, score (cosine) for every row whose id is
@@ -189,8 +201,10 @@ def search(vectors: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "v
         order = {i: {leaf: n for n, leaf in enumerate(tree.visit(v, tree.leaves))} for i, v in zip(cal_ids.tolist(), cal_v)}
         if truth:
             leaf = tree.assign(np.array([r[1] for r in truth], float))
-            depth = np.sort([order[r[0]][int(x)] for r, x in zip(truth, leaf)])
-            visits = 1 + int(depth[max(0, int(np.ceil(target * len(depth))) - 1)])
+            depths: dict[int, list[int]] = {}
+            for r, x in zip(truth, leaf):
+                depths.setdefault(r[0], []).append(order[r[0]][int(x)])
+            visits = leaves_needed(list(depths.values()), target)
 
     def index(batches):
         for batch in batches:
@@ -205,7 +219,7 @@ def search(vectors: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "v
         for batch in batches:
             ids, v, leaf = [], [], []
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                to = tree.visit(np.array(x, float), visits) if len(x) == dim else [-1]
+                to = tree.visit(np.array(x, float), visits, size, k + 1) if len(x) == dim else [-1]
                 ids += [i] * len(to)
                 v += [x] * len(to)
                 leaf += to
@@ -214,6 +228,10 @@ def search(vectors: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "v
 
     shape = "vec_id long, v array<double>, leaf int"
     indexed = written(rows.select("vec_id", "v").mapInArrow(index, shape), "ann_index")
+    size = np.zeros(tree.leaves, np.int64)
+    for leaf, n in indexed.where("leaf >= 0").groupBy("leaf").count().collect():   # a row per leaf
+        size[leaf] = n
+    # k rows and the query's own, which it does not find
     asked = written(rows.where(F.col("vec_id") % query_mod == 0).select("vec_id", "v").mapInArrow(route, shape), "ann_routes")
     parts = lambda df, block, name: df.groupBy("leaf").agg((F.floor((F.count(F.lit(1)) - 1) / block) + 1).cast("int").alias(name))
     cuts = F.broadcast(parts(indexed, LEAF_BLOCK, "cs").join(parts(asked, QUERY_BLOCK, "qs"), "leaf"))  # a row per leaf, MAX_LEAVES * BRANCH at most

@@ -275,3 +275,22 @@ def test_ann_recall_and_scores(spark):
     assert hit / total >= 0.9
     assert [i for i, _ in got[9000]] == [9001, 9002, 9003, 9004, 9005]
     assert [i for i, _ in got[5500]] == [5501]                         # vectors of another length
+
+
+def test_ann_isolated_queries_find_k(spark):
+    """Copies make one visit enough for most; a query alone in its leaf goes on."""
+    rng = np.random.default_rng(14)
+    copies = rng.normal(size=(20, 8))
+    rows = [(i, [float(x) for x in copies[i % 20]]) for i in range(2000)]
+    alone = [(5000 + 50 * i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(2, 8)))]
+    got = {}
+    for r in ann_tree.search(spark.createDataFrame(rows + alone, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == {*range(0, 2000, 50), 5000, 5050}
+    assert all(len(x) == 5 and q not in x for q, x in got.items())
+
+
+def test_ann_calibrates_each_query():
+    depths = [[0] * 5] * 90 + [[0, 0, 0, 3, 3]] * 10        # 96% of all neighbours, but only 90% of the queries, are served by one leaf
+    assert ann_tree.leaves_needed(depths, 0.95) == 4
+    assert ann_tree.leaves_needed([[0] * 5] * 96 + [[9] * 5] * 4, 0.95) == 1
