@@ -9,10 +9,11 @@ but the last return the columns of documents, in their order.
 - language: the mixture model, learned from sf_dir's documents; documents
   without a letter go, and those of which no language has MIN_SHARE.
 - near_duplicates: one document of each SimHash component stays, the one with
-  the smallest doc_id. Rows without an id cannot be named and all stay; of
-  rows that share an id one stays.
-- repeats: bytes of repeated strings are cut out of the texts; a character cut
-  in two goes whole. n_chars follows the text where the table has it.
+  the smallest doc_id (a null id last, then by the text's digest). Components
+  rest on texts alone: of exact copies without an id one stays, and rows that
+  share an id but not a text do not push each other out.
+- repeats: bytes of repeated strings are cut out of the texts; a character of
+  which a byte is cut goes whole. n_chars follows the text where the table has it.
 - packing: the documents' pieces and the sequence and offset of each.
 
 Null texts count as empty; an empty table gives an empty result at every
@@ -45,10 +46,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash_tiles.near_duplicates(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*_names(docs)).union(docs.where(F.col("doc_id").isNull()))
+    return simhash_tiles.distinct_documents(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

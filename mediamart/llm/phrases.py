@@ -203,13 +203,13 @@ def _send(coded: DataFrame, groups: int, words_hot: dict, pairs_hot: dict) -> Da
                     is_hot = np.array([False, *(x in hot1 for x in names)])
                     at = np.flatnonzero(is_hot[rows[:, 0]])
                     grp[at] = _mixed(grp[at], hashed[rows[at, 1]])
-                    if hot2:
+                    if hot2 and len(at):
                         pair = rows[at, 0] << 32 | rows[at, 1]
                         new = np.r_[True, pair[1:] != pair[:-1]]
                         first = np.flatnonzero(new)
                         held = np.array([b > 0 and names[a - 1] + b" " + names[b - 1] in hot2
                                          for a, b in rows[at[first], :2].tolist()], bool)
-                        deep = at[held[np.cumsum(new) - 1]] if len(at) else at
+                        deep = at[held[np.cumsum(new) - 1]]
                         grp[deep] = _mixed(grp[deep], hashed[rows[deep, 2]])
                 grp = (grp % np.uint64(groups)).astype(np.int64)
                 order = np.argsort(grp, kind="stable")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.llm.common import ship, slices, text_bytes, written
+from mediamart.llm.common import appended, ship, slices, text_bytes, unused, written
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 TILE, PART = 512, 8192
@@ -208,3 +208,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     top = member.groupBy("label").agg(F.min("rep").alias("component_id"))
     placed = member.join(top, "label").select("fp", "component_id")
     return rows.join(placed, "fp").select("doc_id", "fp", "component_id")
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, whole, with the columns of ``docs``: the one
+    with the smallest id (a null id last), then the smallest digest of the
+    text, then the first as read. Components rest on texts alone, so rows that
+    share an id stay if their texts differ, and copies without an id go."""
+    fp, row = unused(docs, "_fp"), unused(docs, "_row")
+    made = appended(docs.withColumn(row, F.monotonically_increasing_id()), fp, "long", text_col, lambda texts: pa.array(
+        np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)))
+    held = written(made, "simhash_documents")
+    ident = F.col(f"`{id_col}`")
+    order = F.struct(ident.isNull().alias("unnamed"), ident.alias("id"),
+                     F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("text"), F.col(row).alias("row"))
+    nodes = written(held.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("best")), "simhash_nodes")
+    label = components(links(nodes.select("fp"), radius))
+    member = nodes.join(label.withColumnRenamed("node", "fp"), "fp", "left")
+    kept = member.groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
+    return held.join(kept, row, "left_semi").select(*[f"`{c}`" for c in docs.columns])

@@ -433,6 +433,8 @@ def _cut(groups: int, id_at: int, schema: pa.Schema, text_at: int | None):
             gone = np.cumsum(step)[:-1] > 0
             rest = rest_columns(row)
             masks = [gone[a:a + n] for a, n in zip(base.tolist(), size.tolist())]
+            if text_at is not None:
+                masks = [_whole_characters(v, m) if m.any() else m for v, m in zip(values, masks)]
             kept = [np.frombuffer(v, np.uint8)[~m].tobytes() if m.any() else v for v, m in zip(values, masks)]
             if text_at is not None:
                 texts = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
@@ -445,6 +447,15 @@ def _cut(groups: int, id_at: int, schema: pa.Schema, text_at: int | None):
     return run
 
 
+def _whole_characters(value: bytes, gone: np.ndarray) -> np.ndarray:
+    """``gone`` widened to all bytes of each UTF-8 character that it touches,
+    so that what is left of two characters never meets as a third."""
+    lead = (np.frombuffer(value, np.uint8) & 0xC0) != 0x80
+    lead[0] = True
+    hit = np.logical_or.reduceat(gone, np.flatnonzero(lead))
+    return hit[np.cumsum(lead) - 1]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    hot: int = HOT) -> tuple[DataFrame, list[str]]:
     """The columns of ``docs`` other than the text, and three more, whose

@@ -2,16 +2,19 @@
 
 import hashlib
 import os
+import random
 import subprocess
 import sys
 
 import duckdb
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mediamart.llm import chat_format as cf
-from mediamart.llm import language_mixture, quality_rules, registry
+from mediamart.llm import language_mixture, quality_rules, registry, suffix_dedup
 from mediamart.llm.common import written
 
 SF = "/root/testdata/sf0.001"
@@ -71,7 +74,7 @@ def test_queries_equal_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stage_by_stage(spark, corpus):
@@ -127,3 +130,25 @@ def test_entry_without_these_folders(tmp_path):
         for d in extra:
             (tmp_path / d).mkdir()
         subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)}, timeout=120)
+
+
+def test_rows_that_share_an_id_stay_unless_their_texts_do(spark, corpus):
+    """Rows go because of their texts, never because of their ids."""
+    a, b, c = ("".join(random.Random(i).choice("abcdefgh ") for _ in range(600)) for i in range(3))
+    rows = [(5, a, "en", "x", 1), (5, b, "de", "y", 2), (None, c, None, None, None), (None, c, "en", None, 3), (9, a, "fr", "z", 4), (7, b, "en", "x", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, corpus)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == sorted([(5, a), (5, b), (-1, c)])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.text("éêĩĪĨꀀ👩a", max_size=3), st.text("éêĩĪĨꀀ👩a", max_size=3)), min_size=2, max_size=6))
+def test_cut_texts_hold_no_new_characters(spark, sides):
+    passage = "shared " * 9 + "Ī"
+    rows = [(i, x + passage + y) for i, (x, y) in enumerate(sides)]
+    docs = spark.createDataFrame(rows + [(90, "ĩ" + passage + "Ĩx"), (91, "é" + passage + "Ī")], "doc_id long, text string")
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    for r in suffix_dedup.clean_text(docs).collect():
+        left = iter(whole[r.doc_id])
+        assert all(ch in left for ch in r.text), (r.text, whole[r.doc_id])      # a subsequence of the text
