@@ -4,6 +4,7 @@ from mediamart.functions.columns import (  # noqa: F401
     empty_to,
     first_or,
     first_or_null,
+    int_div,
     null_to,
     out_of_range,
     readable_size,

@@ -25,7 +25,7 @@ from mediamart.operators.enrich import titles_mart
 from mediamart.sinks.lake import MAX_RECORDS_PER_FILE, overwrite_slice, read_lake, write_lake
 from mediamart.sinks.serve import MAX_RANGES, load_serving, read_serving
 from mediamart.session import apply_conf, size_shuffles
-from mediamart.sources.fs import data_file_count, has_data, size_bytes
+from mediamart.sources.fs import has_data, size_bytes
 from mediamart.sources.tsv import check_inputs, read_tsv
 
 log = logging.getLogger("mediamart")
@@ -76,24 +76,25 @@ def load(spark: SparkSession, lake_dir: str, serve_root: str, db: str, only: lis
          layout: str = "range", max_ranges: int = MAX_RANGES, max_records: int = MAX_RECORDS_PER_FILE) -> dict:
     """Load serving tables from the lake. ``truncate`` (default) replaces
     the tables, so a re-run never duplicates; ``truncate=False`` appends.
-    The genre rollup is stored beside titles and rebuilt whenever titles is
-    loaded. Returns per-dataset statistics (``files``: lake files read) and,
-    with ``verify``, the tagged row counts of the serving tables."""
+    The genre rollup is stored beside titles: rebuilt with them, merged with
+    the new rows' sums on an append. Returns per-dataset statistics (``files``:
+    lake files that the load itself read), which the table ``load_stats`` keeps
+    too, and, with ``verify``, the tagged row counts of the serving tables."""
     t0 = time.time()
     apply_conf(spark)
     chosen = list(only or DATASETS)
-    lake, sizes, files = {}, {}, {}
+    lake, sizes = {}, {}
     for name in chosen:
         path = f"{lake_dir.rstrip('/')}/{name}"
         if has_data(spark, path):
             lake[name] = read_lake(spark, path, specs.LAKE[name])
-            sizes[name], files[name] = size_bytes(spark, path), data_file_count(spark, path)
+            sizes[name] = size_bytes(spark, path)
         else:
             log.warning("lake dataset without data files, skipped: %s", path)
             lake[name] = None
     stats = load_serving(spark, lake, specs.LAKE, db, serve_root, chosen, buckets=buckets,
                          mode="overwrite" if truncate else "append", layout=layout, input_bytes=sizes,
-                         max_ranges=max_ranges, max_records=max_records, input_files=files)
+                         max_ranges=max_ranges, max_records=max_records)
     result = {"stats": stats, "total_elapsed_s": time.time() - t0}
     if verify:
         present = {n: read_serving(spark, db, n) for n in chosen if lake[n] is not None}

@@ -13,12 +13,13 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediamart.functions import out_of_range, readable_size
-from mediamart.operators.clean import required_filter
+from mediamart.operators.clean import clean, required_filter
+from mediamart.sinks.serve import serve_projection
 from mediamart.specs import DatasetSpec
 
 
@@ -85,6 +86,75 @@ def reconcile(lake: DataFrame, serve: DataFrame, spec: DatasetSpec) -> DataFrame
                     "out_of_range", "duplicate_keys"))
 
 
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two 32-bit hashes of a whole row, as longs, so that sums of very many
+    stay exact. NULL and empty values, and values that stand in another
+    column, give other hashes."""
+    marks, values = [], []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        marks.append(c.isNull())
+        if isinstance(f.dataType, T.ArrayType):
+            marks += [F.coalesce(F.size(c), F.lit(-1)), F.transform(c, lambda x: x.isNull())]
+        values.append(c)
+    whole = F.xxhash64(*marks, *values)
+    return [whole.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(whole, 32)]
+
+
+def content_match(lake: DataFrame, serve: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """C5 by content: per partition of the serving table, rows of both sides
+    and whether the sides hold the same rows (as multisets, in any order).
+    One scan of each side: the counts and the hash sums come from the same
+    aggregate, one row per partition and task is shuffled. ``lake`` is put
+    through the serving projection first."""
+    parts = list(spec.serve_partition_by)
+    sides = []
+    for name, df in (("lake", serve_projection(lake, spec)), ("serve", serve.select(*[c.name for c in spec.serve]))):
+        low, high = row_hashes(df)
+        sides.append(df.select(F.lit(name).alias("side"), *parts, low.alias("low"), high.alias("high"))
+                     .groupBy("side", *parts).agg(F.count(F.lit(1)).alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high")))
+    of = {s: F.col("side") == s for s in ("lake", "serve")}
+
+    def total(side: str, c: str) -> Column:
+        return F.coalesce(F.sum(F.when(of[side], F.col(c))), F.lit(0))
+
+    both = sides[0].unionByName(sides[1]).groupBy(*parts).agg(
+        total("lake", "n").alias("lake_rows"), total("serve", "n").alias("serve_rows"),
+        *[(total("lake", c) == total("serve", c)).alias(f"_{c}") for c in ("low", "high")])
+    return both.select(F.lit(spec.name).alias("dataset"), *parts, "lake_rows", "serve_rows",
+                       ((F.col("lake_rows") == F.col("serve_rows")) & F.col("_low") & F.col("_high")).alias("same_content"))
+
+
+def partition_flow(raw: DataFrame, spec: DatasetSpec, lake: DataFrame | None = None) -> DataFrame:
+    """C4 by partition: for every lake partition, every value of its first
+    column and the whole table (``level`` 2, 1, 0 for two columns): rows that
+    the raw source has there, those dropped for a missing key, those whose
+    partition value is a filled-in default, and the rows of the cleaned table
+    (``lake``: another one to hold against it). Rows got lost or were gained
+    where raw_rows - dropped differs from lake_rows."""
+    parts = list(spec.partition_by)
+    made = {d.name: d for d in spec.columns}
+    kept = required_filter(spec)
+    kept = F.lit(True) if kept is None else kept
+    filled = reduce(lambda a, b: a | b, [
+        F.col(p).isNull() | (F.trim(p) == "") for p in parts if p in spec.raw] or [F.lit(False)])
+    source = raw.select(*[made[p].build().alias(p) for p in parts], F.lit(1).alias("raw_rows"), F.when(kept, 0).otherwise(1).alias("dropped"),
+                        F.when(kept & filled, 1).otherwise(0).alias("defaulted"), F.lit(0).alias("lake_rows"))
+    cleaned = (clean(raw, spec) if lake is None else lake).select(
+        *parts, *[F.lit(n).alias(c) for c, n in (("raw_rows", 0), ("dropped", 0), ("defaulted", 0), ("lake_rows", 1))])
+    levels = [[F.col(p) for p in parts[:i]] for i in range(len(parts), -1, -1)]
+    sums = [F.sum(c).alias(c) for c in ("raw_rows", "dropped", "defaulted", "lake_rows")]
+    # aggregated by the full partition first: the sets then expand few rows
+    each = source.unionByName(cleaned).groupBy(*parts).agg(*sums)
+    flow = each.groupingSets(levels, *parts).agg(F.grouping_id().alias("_gid"), *sums)
+    shown = F.lit(len(parts)) - F.bit_count("_gid")
+    return flow.select(F.lit(spec.name).alias("dataset"), shown.cast("int").alias("level"),
+                       *[F.col(p).cast("string").alias(f"part{i + 1}") for i, p in enumerate(parts)],
+                       *[F.lit(None).cast("string").alias(f"part{i + 1}") for i in range(len(parts), 2)],
+                       "raw_rows", "dropped", "defaulted", "lake_rows",
+                       (F.col("raw_rows") - F.col("dropped") == F.col("lake_rows")).alias("balanced"))
+
+
 def range_violations(lake: DataFrame, spec: DatasetSpec) -> DataFrame:
     """P10: (tbl, column_name, out_of_range) per unsigned serving column, one scan."""
     checked = [c for c in spec.serve if c.unsigned]

@@ -10,6 +10,8 @@ Both steps are partial-then-final hash aggregates; the rollup has at most
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,13 @@ def build_rollup(titles: DataFrame, keys=ROLLUP_KEYS) -> DataFrame:
                  F.count(F.lit(1)).alias("cnt")))
 
 
+def merge_rollups(rollups: list[DataFrame], keys=ROLLUP_KEYS) -> DataFrame:
+    """One rollup of all rows that several cover: their sums and counts added,
+    without looking at the rows again."""
+    every = reduce(DataFrame.unionByName, rollups)
+    return every.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("rating_sum", "rated", "total_votes", "cnt")])
+
+
 def with_avg(rollup: DataFrame, digits: int = 2) -> DataFrame:
     """The reference's projection columns: avg_rating, total_votes, cnt."""
     return rollup.withColumn("avg_rating", F.round(F.try_divide("rating_sum", "rated"), digits))

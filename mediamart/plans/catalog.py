@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +29,8 @@ from mediamart.plans.analogs import read_table
 from mediamart.plans.oracle import _int, with_ctes
 from mediamart.plans.workbench import LAKE_DATASETS, Workbench
 from mediamart.session import apply_conf, scratch_slot
-from mediamart.sinks.lake import overwrite_slice, read_lake, write_lake
-from mediamart.sinks.serve import load_serving, require_tables, serve_projection
+from mediamart.sinks.lake import overwrite_slice, read_lake, read_lake_own_columns, write_lake
+from mediamart.sinks.serve import ROLLUP_TABLE, STATS_TABLE, load_serving, read_serving, require_tables, serve_projection
 from mediamart.sources.tsv import read_tsv, write_tsv
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -436,13 +436,16 @@ def _violations(name: str) -> str:
 
 @register("serve_load_stats", with_ctes(" UNION ALL ".join(
     f"SELECT '{n}' AS dataset, count(*) AS row_count, CAST(coalesce(sum({_violations(n)}), 0) AS BIGINT) AS out_of_range, "
-    f"TRUE AS read_files, TRUE AS took_time FROM {n}" for n in LAKE_DATASETS), *LAKE_DATASETS),
-    "K8 per-dataset load statistics: rows and range violations, and that lake files and time were counted")
+    f"CAST(0 AS BIGINT) AS files_missed, TRUE AS took_time FROM {n}" for n in LAKE_DATASETS), *LAKE_DATASETS),
+    "K8 the stored load statistics: rows and range violations, files that the load counted against those the lake has, time")
 def q_serve_load_stats(spark, sf_dir):
-    _, _, stats = wb(spark, sf_dir).serving()
-    rows = [(name, int(s["rows"]), sum(v or 0 for k, v in s.items() if k.startswith("out_of_range_")),
-             s["files"] > 0, s["elapsed_s"] > 0) for name, s in stats.items()]
-    return spark.createDataFrame(rows, "dataset string, row_count long, out_of_range long, read_files boolean, took_time boolean")
+    w = wb(spark, sf_dir)
+    db, _, _ = w.serving()
+    lake_files = checks._union([w.lake(n).select(F.lit(n).alias("dataset"), F.col("_metadata.file_path").alias("file")) for n in LAKE_DATASETS])
+    lake_files = lake_files.groupBy("dataset", "file").agg(F.count(F.lit(1))).groupBy("dataset").agg(F.count(F.lit(1)).alias("lake_files"))
+    return spark.table(f"`{db}`.`{STATS_TABLE}`").join(lake_files, "dataset").select(
+        "dataset", F.col("rows").alias("row_count"), "out_of_range", (F.col("lake_files") - F.col("files")).alias("files_missed"),
+        (F.col("elapsed_s") > 0).alias("took_time"))
 
 
 @register("serve_only", with_ctes(" UNION ALL ".join(
@@ -512,6 +515,29 @@ def q_genre_rollup_coarse(spark, sf_dir):
     return rollup.coarsen(wb(spark, sf_dir).rollup(), ["primaryGenre"])
 
 
+@register("genre_rollup_appended", with_ctes("""
+    SELECT primaryGenre, titleType, decade, round(sum(CAST(averageRating AS DOUBLE)), 4) AS rating_sum,
+           count(averageRating) AS rated, CAST(sum(numVotes) AS BIGINT) AS total_votes, count(*) AS cnt
+    FROM titles_s GROUP BY primaryGenre, titleType, decade""", "titles_s"),
+    "A6 upkeep of the stored rollup: one load and two appends, each merged from the appended rows alone")
+def q_genre_rollup_appended(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    db = "mm_grow_" + uuid.uuid4().hex[:10]
+    root = scratch_slot(spark, "rollup_appended", db)
+    for i in range(3):
+        part = w.lake("titles").where(F.crc32(F.coalesce("tconst", F.lit("")).cast("binary")) % 3 == i)
+        load_serving(spark, {"titles": part}, specs.LAKE, db, root, mode="append")
+    return read_serving(spark, db, ROLLUP_TABLE).withColumn("rating_sum", F.round("rating_sum", 4))
+
+
+@register("serving_decade_key", with_ctes("""
+    SELECT titleType, CAST(trunc(coalesce(startYear, 0) / 10.0) AS INTEGER) AS decade_key, count(*) AS titles
+    FROM titles_s GROUP BY ALL""", "titles_s"), "fn intDiv: titles per kind and integer-divided year (NULL as 0)")
+def q_serving_decade_key(spark, sf_dir):
+    key = mf.int_div(F.coalesce("startYear", F.lit(0)), 10)
+    return wb(spark, sf_dir).serve("titles").groupBy("titleType", key.alias("decade_key")).agg(F.count(F.lit(1)).alias("titles"))
+
+
 @register("distinct_types", with_ctes("SELECT DISTINCT titleType FROM titles ORDER BY titleType", "titles"),
           "A7/O5 ordered distinct kinds")
 def q_distinct_types(spark, sf_dir):
@@ -519,13 +545,36 @@ def q_distinct_types(spark, sf_dir):
 
 
 @register("storage_report", with_ctes(" UNION ALL ".join(
-    f"SELECT '{layer}' AS layer, '{n}' AS tbl, count(*) AS row_count, TRUE AS has_bytes, TRUE AS has_files, "
-    f"TRUE AS has_size FROM {n}" for n in LAKE_DATASETS for layer in ("lake", "serve")), *LAKE_DATASETS),
-    "A8 rows per lake dataset and serving table, and that bytes, files and a readable size are reported")
+    f"SELECT '{layer}' AS layer, '{n}' AS tbl, count(*) AS row_count, CAST(0 AS BIGINT) AS bytes_off, CAST(0 AS BIGINT) AS files_off, "
+    f"TRUE AS size_shown FROM {n}" for n in LAKE_DATASETS for layer in ("lake", "serve")), *LAKE_DATASETS),
+    "A8 rows, bytes and files per lake dataset and serving table, against the sizes that the rows' own files give")
 def q_storage_report(spark, sf_dir):
-    report = checks.storage_report(wb(spark, sf_dir).stored())
-    return report.select("layer", "tbl", F.col("rows").alias("row_count"), (F.col("bytes") > 0).alias("has_bytes"),
-                         (F.col("files") > 0).alias("has_files"), F.col("disk_size").rlike(r"^[0-9]+[.][0-9]{2} [KMGT]?i?B$").alias("has_size"))
+    stored = wb(spark, sf_dir).stored()
+    files = checks._union([df.select(F.lit(layer).alias("layer"), F.lit(n).alias("tbl"), F.col("_metadata.file_path").alias("file"),
+                                     F.col("_metadata.file_size").alias("size")) for (layer, n), (df, _, _) in stored.items()])
+    files = files.groupBy("layer", "tbl", "file").agg(F.max("size").alias("size")).groupBy("layer", "tbl").agg(
+        F.sum("size").alias("real_bytes"), F.count(F.lit(1)).alias("real_files"))
+    return checks.storage_report(stored).join(files, ["layer", "tbl"]).select(
+        "layer", "tbl", F.col("rows").alias("row_count"), (F.col("bytes") - F.col("real_bytes")).alias("bytes_off"),
+        (F.col("files") - F.col("real_files")).alias("files_off"),
+        (F.col("disk_size") == mf.readable_size("real_bytes")).alias("size_shown"))
+
+
+_BYTES = "o_orderkey * CAST(CASE o_orderkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 977 WHEN 2 THEN 1048583 WHEN 3 THEN 1073741827 ELSE 10000000019 END AS BIGINT)"
+
+
+def _size_sql() -> str:
+    steps = "".join(f"WHEN b < {1024 ** (i + 1)} THEN {1024 ** i} " for i in range(5))
+    units = "".join(f"WHEN {1024 ** i} THEN '{u}' " for i, u in enumerate(["B", "KiB", "MiB", "GiB", "TiB"]))
+    return f"""
+    SELECT o_orderkey, hundredths // 100 || '.' || lpad((hundredths % 100)::VARCHAR, 2, '0') || ' ' || CASE u {units} ELSE 'PiB' END AS shown FROM (
+      SELECT o_orderkey, u, (b::HUGEINT * 200 + u) // (2 * u) AS hundredths FROM (
+        SELECT o_orderkey, b, (CASE {steps} ELSE {1024 ** 5} END)::HUGEINT AS u FROM (SELECT o_orderkey, {_BYTES} AS b FROM orders)))"""
+
+
+@register("readable_sizes", _size_sql(), "fn readable byte sizes from bytes to tebibytes, half up at the second decimal")
+def q_readable_sizes(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", mf.readable_size(F.expr(_BYTES)).alias("shown"))
 
 
 # ============================================================== checks
@@ -592,6 +641,107 @@ def q_reconcile_counts(spark, sf_dir):
     return checks._union([checks.reconcile(w.lake(n), w.serve(n), specs.LAKE[n]) for n in LAKE_DATASETS])
 
 
+def _content_sql(altered: str | None = None) -> str:
+    def one(name):
+        parts = specs.LAKE[name].serve_partition_by
+        shown = [f"CAST({p} AS VARCHAR)" for p in parts] + ["CAST(NULL AS VARCHAR)"] * (2 - len(parts))
+        same = "TRUE" if altered is None else f"NOT bool_or({altered})"
+        return (f"SELECT '{name}' AS dataset, {shown[0]} AS part1, {shown[1]} AS part2, count(*) AS lake_rows, count(*) AS serve_rows, "
+                f"{same} AS same_content FROM {name}_s GROUP BY ALL")
+    return " UNION ALL ".join(one(n) for n in (LAKE_DATASETS if altered is None else ("titles",)))
+
+
+def _parts_shown(df: DataFrame, name: str) -> DataFrame:
+    parts = specs.LAKE[name].serve_partition_by
+    shown = [F.col(p).cast("string") for p in parts] + [F.lit(None).cast("string")] * (2 - len(parts))
+    return df.select("dataset", shown[0].alias("part1"), shown[1].alias("part2"), "lake_rows", "serve_rows", "same_content")
+
+
+@register("content_reconciled", with_ctes(_content_sql(), *(f"{n}_s" for n in LAKE_DATASETS)),
+          "C5 lake and serving hold the same rows, by an order-free hash of each partition's rows")
+def q_content_reconciled(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    return checks._union([_parts_shown(checks.content_match(w.lake(n), w.serve(n), specs.LAKE[n]), n) for n in LAKE_DATASETS])
+
+
+@register("content_altered", with_ctes(_content_sql("tconst = (SELECT max(tconst) FROM titles_s)"), "titles_s"),
+          "C5 one altered title with equal counts: only its partition no longer matches")
+def q_content_altered(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    serve = w.serve("titles")
+    last = serve.agg(F.max("tconst").alias("k"))
+    other = serve.join(F.broadcast(last), serve["tconst"] == last["k"], "left").withColumn(
+        "primaryTitle", F.when(F.col("k").isNotNull(), F.concat("primaryTitle", F.lit("!"))).otherwise(F.col("primaryTitle")))
+    return _parts_shown(checks.content_match(w.lake("titles"), other, specs.TITLES), "titles")
+
+
+# the raw sources of the four lake datasets, with the datasets' partition columns
+_FLOWS = {"titles": replace(specs.BASICS, name="titles", partition_by=specs.TITLES.partition_by), "people": specs.PEOPLE,
+          "principals": specs.PRINCIPALS, "akas": specs.AKAS}
+
+
+def _flow_sql() -> str:
+    made = {
+        "titles": ("basics_raw", ["CASE WHEN titleType IS NULL OR trim(titleType) = '' THEN 'unknown' ELSE titleType END",
+                                  f"CAST(trunc({_int('startYear')} / 10.0) * 10 AS INTEGER)"], "TRUE", "titleType IS NULL OR trim(titleType) = ''"),
+        "people": ("people_raw", ["coalesce(nullif(string_split(primaryProfession, ',')[1], ''), 'unknown')"], "nconst IS NOT NULL", "FALSE"),
+        "principals": ("principals_raw", ["coalesce(category, 'unknown')"], "tconst IS NOT NULL AND nconst IS NOT NULL",
+                       "category IS NULL OR trim(category) = ''"),
+        "akas": ("akas_raw", ["coalesce(nullif(region, ''), 'XX')"], "titleId IS NOT NULL", "region IS NULL OR trim(region) = ''")}
+    out = []
+    for name, (source, parts, kept, filled) in made.items():
+        names = [f"k{i + 1}" for i in range(len(parts))]
+        rows = f"(SELECT {', '.join(f'{e} AS {k}' for e, k in zip(parts, names))}, ({kept}) AS kept, ({filled}) AS filled FROM {source})"
+        sets = ", ".join("(" + ", ".join(names[:i]) + ")" for i in range(len(names), -1, -1))
+        level = f"{len(names)} - bit_count(grouping({', '.join(names)}))"
+        shown = [f"CAST({k} AS VARCHAR)" for k in names] + ["CAST(NULL AS VARCHAR)"] * (2 - len(names))
+        out.append(f"""
+    SELECT '{name}' AS dataset, CAST({level} AS INTEGER) AS level, {shown[0]} AS part1, {shown[1]} AS part2, count(*) AS raw_rows,
+      count(*) FILTER (NOT kept) AS dropped, count(*) FILTER (kept AND filled) AS defaulted, count(*) FILTER (kept) AS lake_rows, TRUE AS balanced
+    FROM {rows} GROUP BY GROUPING SETS ({sets})""")
+    return " UNION ALL ".join(out)
+
+
+@register("partition_flow", with_ctes(_flow_sql(), "basics_raw", "people_raw", "principals_raw", "akas_raw"),
+          "C4 rows in, dropped, defaulted and out per partition, per first column and per table (grouping sets), raw against lake")
+def q_partition_flow(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    return checks._union([checks.partition_flow(w.raw("basics" if n == "titles" else n), s, w.lake(n)) for n, s in _FLOWS.items()])
+
+
+@register("lake_own_columns", with_ctes("SELECT * FROM principals", "principals"),
+          "S6 files that hold the partition column themselves: their value wins over the directory's, the rest take the directory's")
+def q_lake_own_columns(spark, sf_dir):
+    credits = wb(spark, sf_dir).clean("principals")
+    path = scratch_slot(spark, "own_columns") + "/principals"
+    own = F.crc32(F.col("nconst").cast("binary")) % 2 == 0
+    write_lake(credits.where(~own), path, ["category"])
+    write_lake(credits.where(own), f"{path}/category=misfiled", [])
+    return read_lake_own_columns(spark, path, specs.PRINCIPALS)
+
+
+@register("zorder_range", with_ctes("""
+    SELECT tconst, startYear, numVotes, averageRating FROM titles_s WHERE startYear BETWEEN 1993 AND 1995
+    UNION ALL SELECT tconst, startYear, numVotes, averageRating FROM titles_s WHERE numVotes BETWEEN 150 AND 170""", "titles_s"),
+    "O6/F8 serving titles in Z-order of year and votes: a range on either column alone")
+def q_zorder_range(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    db = "mm_z_" + uuid.uuid4().hex[:10]
+    root = scratch_slot(spark, "zorder", db)
+    load_serving(spark, {"titles": w.lake("titles")}, specs.LAKE, db, root, layout="zorder")
+    titles = spark.table(f"`{db}`.titles").select("tconst", "startYear", "numVotes", "averageRating")
+    return titles.where(F.col("startYear").between(1993, 1995)).unionByName(titles.where(F.col("numVotes").between(150, 170)))
+
+
+@register("credits_of_person", with_ctes("""
+    SELECT tconst, ordering, nconst, category FROM principals_s WHERE nconst = (SELECT max(nconst) FROM people_s)""", "principals_s", "people_s"),
+    "O6 key lookup that does not lead the sort: one person's credits, row groups skipped by Bloom filters or dictionaries")
+def q_credits_of_person(spark, sf_dir):
+    w = wb(spark, sf_dir)
+    key = w.serve("people").agg(F.max("nconst")).first()[0]
+    return w.serve("principals").where(F.col("nconst") == key).select("tconst", "ordering", "nconst", "category")
+
+
 # ======================================================= access patterns
 @register("people_by_role_year", with_ctes("""
     SELECT nconst, primaryName, birthYear FROM people

@@ -19,7 +19,7 @@ from mediamart.plans.analogs import raw_frame
 from mediamart.session import scratch_path
 from mediamart.sources.fs import data_file_count, size_bytes
 from mediamart.sinks.lake import build_lake, read_lake, write_lake
-from mediamart.sinks.serve import ROLLUP_TABLE, ensure_database, load_serving, read_serving, table_location, write_rollup, write_serving
+from mediamart.sinks.serve import ROLLUP_TABLE, ensure_database, load_serving, read_serving, record_stats, table_location, write_rollup, write_serving
 
 LAKE_DATASETS = ("titles", "people", "principals", "akas")
 
@@ -98,8 +98,7 @@ class Workbench:
         lake = {n: self.lake(n) for n in LAKE_DATASETS}
         sizes = {n: size_bytes(self.spark, self.lake_path(n)) for n in LAKE_DATASETS}
         stats = load_serving(self.spark, lake, specs.LAKE, db, root, list(LAKE_DATASETS),
-                             buckets=self.buckets, mode=mode, input_bytes=sizes,
-                             input_files={n: data_file_count(self.spark, self.lake_path(n)) for n in LAKE_DATASETS})
+                             buckets=self.buckets, mode=mode, input_bytes=sizes)
         if adopt:
             with _LOCK:
                 self._serve_db, self._serve_root, self._serve_stats = db, root, dict(stats)
@@ -117,7 +116,7 @@ class Workbench:
                 self._serve_stats[name] = write_serving(
                     self.spark, self.lake(name), specs.LAKE[name], self._serve_db, self._serve_root,
                     self.buckets, input_bytes=size_bytes(self.spark, self.lake_path(name)))
-                self._serve_stats[name]["files"] = data_file_count(self.spark, self.lake_path(name))
+                record_stats(self.spark, self._serve_db, self._serve_root, {name: self._serve_stats[name]})
                 if name == "titles":
                     write_rollup(self.spark, self._serve_db, self._serve_root)
             return self._serve_db

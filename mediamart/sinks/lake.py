@@ -14,9 +14,10 @@ partition size); ``maxRecordsPerFile`` is only a loose safety bound.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediamart.sources.fs import child_folders, delete, exists, replace_folder
@@ -92,6 +93,33 @@ def overwrite_slice(df: DataFrame, path: str, column: str, value: str,
     return rows
 
 
+def _path_value(column: str) -> Column:
+    """A partition column's value from the path of the row's file: the
+    directory ``column=value``, decoded; the Hive default name is NULL."""
+    found = F.regexp_extract(F.col("_metadata.file_path"), f"/{re.escape(column)}=([^/]*)/", 1)
+    # the path is a URI, so what the writer escaped is escaped once more; '+' is itself
+    plain = found
+    for _ in range(2):
+        plain = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    return F.when(F.length(found) > 0, F.nullif(plain, F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+
+def read_lake_own_columns(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
+    """S6 for lakes whose files hold partition columns themselves: the value in
+    the file wins, the directory's fills in where the file has none (or
+    NULL). Files are read as they lie, without partition discovery, so a
+    filter on a partition column prunes by the files' statistics only; use
+    :func:`read_lake` where files do not hold these columns."""
+    if not exists(spark, path):
+        log.warning("lake dataset not found, read as empty: %s", path)
+        return spark.createDataFrame([], spec.lake_schema)
+    files = spark.read.schema(spec.lake_schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    types = {f.name: f.dataType for f in spec.lake_schema}
+    return files.select(*[
+        F.coalesce(F.col(c), _path_value(c).try_cast(types[c])).alias(c) if c in spec.partition_by else F.col(c)
+        for c in spec.column_names()])
+
+
 def read_lake(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
     """Read a dataset with its declared schema.
 

@@ -56,6 +56,8 @@ class DatasetSpec:
     serve_partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
     bucket_by: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()        # looked up by value though they do not lead the sort
+    zorder_by: tuple[str, ...] = ()    # numeric columns that the 'zorder' layout serves alike
     unique_key: tuple[str, ...] = ()   # declared (not enforced) row key
     file_stem: str = ""
 
@@ -176,6 +178,8 @@ TITLES = DatasetSpec(
     serve_partition_by=("titleType", "decade"),
     sort_by=("titleType", "startYear", "tconst"),
     bucket_by=("tconst",),
+    bloom=("tconst",),
+    zorder_by=("startYear", "numVotes"),
     unique_key=("tconst",),
 )
 
@@ -233,6 +237,7 @@ PRINCIPALS = DatasetSpec(
     serve_partition_by=("category",),
     sort_by=("tconst", "ordering"),
     bucket_by=("tconst",),
+    bloom=("nconst",),
     unique_key=("tconst", "ordering"),
 )
 
