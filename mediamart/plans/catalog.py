@@ -791,7 +791,7 @@ def q_scan_tsv(spark, sf_dir):
 
 
 @register("scan_tsv_gz", with_ctes("SELECT * FROM principals", "principals"),
-          "S2 gzip TSV found through the .gz fallback, one task per file, rebalanced")
+          "S2 gzip TSV found through the .gz fallback, one task per file")
 def q_scan_tsv_gz(spark, sf_dir):
     base = scratch_slot(spark, "tsvgz")
     write_tsv(wb(spark, sf_dir).raw("principals"), f"{base}/{specs.PRINCIPALS.file_stem}.gz", "gzip")

@@ -51,7 +51,8 @@ appended rows' sums, not rebuilt.
 Only version folders that this loader wrote (``<root>/<table>/v<12 hex
 digits>``) are ever deleted. A foreign table under the public name is replaced
 in the catalog if it is external, its files staying as they are (that once, not
-in one step); a managed one, whose files the catalog would delete, is refused.
+in one step); a managed one, whose files the catalog would delete, and a
+foreign view are refused.
 
 Spark has no unsigned integers: serving keeps the lake's signed type and
 *counts* values outside the declared unsigned range instead of wrapping
@@ -259,8 +260,9 @@ def _publish(spark: SparkSession, db: str, root: str, name: str, writer) -> str:
     """Write a new version and point the public name at it; returns its folder."""
     current = current_version(spark, db, name)
     if current is None and spark.catalog.tableExists(f"{db}.{name}"):
-        if _table_detail(spark, db, name, "Type") == "MANAGED":
-            raise RuntimeError(f"{db}.{name} is a managed table that this loader did not write; drop or rename it first")
+        kind = _table_detail(spark, db, name, "Type")
+        if kind in ("MANAGED", "VIEW"):
+            raise RuntimeError(f"{db}.{name} is a {kind.lower()} table that this loader did not write; drop or rename it first")
         log.warning("%s.%s was not written by this loader; the catalog entry is replaced, its files stay", db, name)
     version = f"{name}__v{uuid.uuid4().hex[:12]}"
     path = f"{root.rstrip('/')}/{name}/{version[len(name) + 2:]}"

@@ -6,9 +6,8 @@ Hadoop FileSystem, so they work for HDFS and object stores as well as local
 paths.
 
 Scale: a plain file is split into many tasks; a ``.gz`` file is not
-splittable and arrives as one task per file, so gzip input is rebalanced
-right after the scan (``repartition`` to a size-based count) before any wide
-work.
+splittable and arrives as one task per file. The reader adds no shuffle: the
+join or writer that follows deals the rows out.
 """
 
 from __future__ import annotations

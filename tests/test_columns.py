@@ -62,3 +62,12 @@ def test_out_of_range(spark):
 def test_readable_size(spark):
     got = one_col(spark, [0, 1023, 1024, 1536, 5 * 1024 ** 3], mf.readable_size, "long")
     assert got == ["0.00 B", "1023.00 B", "1.00 KiB", "1.50 KiB", "5.00 GiB"]
+
+
+def test_integer_division_goes_toward_zero(spark):
+    from mediamart.functions import int_div
+    df = spark.createDataFrame([(1994,), (-15,), (9,), (-9,), (0,), (None,), (2147483647,), (-2147483648,)], "y int")
+    got = df.select(int_div("y", 10).alias("q"), int_div("y", 0).alias("none"))
+    assert got.dtypes == [("q", "int"), ("none", "int")]
+    assert [r.q for r in got.collect()] == [199, -1, 0, 0, 0, None, 214748364, -214748364]
+    assert all(r.none is None for r in got.collect())

@@ -145,3 +145,19 @@ def test_missing_dataset_is_named(spark, tmp, caplog):
     with caplog.at_level("WARNING", "mediamart"):
         assert read_lake(spark, os.path.join(tmp, "titels"), specs.TITLES).count() == 0
     assert "titels" in caplog.text
+
+
+def test_file_columns_win_over_path_values(spark, tmp):
+    from mediamart.sinks.lake import read_lake_own_columns
+    names = ["a b", "50%", "x+y", "c=d", "é/ü", None]
+    rows = [(f"tt{i}", i, f"nm{i}", names[i % 6], None, None) for i in range(24)]
+    df = spark.createDataFrame(rows, specs.PRINCIPALS.lake_schema)
+    path = tmp + "/principals"
+    write_lake(df.where("ordering < 18"), path, ["category"])
+    df.where("ordering >= 18 AND category IS NOT NULL").coalesce(1).write.parquet(path + "/category=elsewhere")
+    back = read_lake_own_columns(spark, path, specs.PRINCIPALS)
+    assert back.columns == specs.PRINCIPALS.column_names()
+    assert sorted(map(str, back.collect())) == sorted(str(r) for r in df.where("ordering < 18 OR category IS NOT NULL").collect())
+    plain = read_lake(spark, path, specs.PRINCIPALS)                     # by discovery the directory's value wins
+    assert plain.where("category = 'elsewhere'").count() == 5
+    assert read_lake_own_columns(spark, tmp + "/absent", specs.PRINCIPALS).count() == 0

@@ -181,7 +181,10 @@ def test_reload_swaps_versions_and_a_failed_load_keeps_the_old_one(spark, tmp):
     first = table_location(spark, db, "principals")
     load_serving(spark, {"principals": credits(spark, rows[:1])}, specs.LAKE, db, tmp)
     second = table_location(spark, db, "principals")
-    assert second != first and not os.path.exists(first.replace("file:", ""))   # old version removed
+    assert second != first and os.path.exists(first.replace("file:", ""))       # kept for readers that still scan it
+    load_serving(spark, {"principals": credits(spark, rows[:1])}, specs.LAKE, db, tmp)
+    assert not os.path.exists(first.replace("file:", ""))                       # gone with the next reload
+    second = table_location(spark, db, "principals")
     assert read_serving(spark, db, "principals").count() == 1
     failing = credits(spark, rows).withColumn(
         "nconst", F.when(F.col("ordering") >= 0, F.raise_error(F.lit("load fails midway")))
@@ -190,7 +193,9 @@ def test_reload_swaps_versions_and_a_failed_load_keeps_the_old_one(spark, tmp):
         load_serving(spark, {"principals": failing}, specs.LAKE, db, tmp)
     assert table_location(spark, db, "principals") == second                   # previous version kept
     assert [r.tconst for r in read_serving(spark, db, "principals").collect()] == ["tt1"]
-    assert not [t for t in spark.catalog.listTables(db) if "staging" in t.name]
+    folders = [f for f in os.listdir(os.path.join(tmp, "principals")) if f.startswith("v")]
+    versions = [t.name for t in spark.catalog.listTables(db) if t.name.startswith("principals__v")]
+    assert len(folders) == len(versions) == 2                                  # nothing of the failed load is left
 
 
 def test_unsorted_pairs_puts_null_first(spark, tmp):
@@ -233,11 +238,15 @@ def test_load_leaves_folders_it_did_not_write(spark, tmp):
     load(spark, lake, os.path.join(tmp, "serve"), db, only=["principals"])
     assert spark.read.parquet(os.path.join(lake, "principals")).count() == 1
 
-    spark.sql(f"DROP TABLE {db}.principals")
+    spark.sql(f"DROP VIEW {db}.principals")
     spark.sql(f"CREATE TABLE {db}.principals USING parquet AS SELECT 1 AS mine")
     with pytest.raises(RuntimeError, match="managed"):
         load(spark, lake, os.path.join(tmp, "serve"), db, only=["principals"])
     assert spark.table(f"{db}.principals").count() == 1
+    spark.sql(f"DROP TABLE {db}.principals")
+    spark.sql(f"CREATE VIEW {db}.principals AS SELECT 2 AS mine")
+    with pytest.raises(RuntimeError, match="view"):
+        load(spark, lake, os.path.join(tmp, "serve"), db, only=["principals"])
 
 
 def test_load_skips_a_lake_dataset_without_files(spark, tmp):
@@ -258,7 +267,7 @@ def test_a_failed_swap_keeps_the_old_table(spark, tmp):
     db = "t_" + uuid.uuid4().hex[:8]
     load_serving(spark, {"principals": credits(spark, [("tt1", 1, "nm1", "actor", None, None)])}, specs.LAKE, db, tmp)
     with pytest.raises(Exception):
-        serve._swap(spark, db, "principals", f"`{db}`.`no_such_staging`", "0" * 12)
+        serve._point(spark, db, "principals", "principals__v" + "0" * 12)
     assert read_serving(spark, db, "principals").count() == 1
 
 
@@ -285,3 +294,153 @@ def test_rollup_is_stored_and_refreshed(spark, tmp):
     load_serving(spark, {"titles": titles([("a", "Crime", 5.0)])}, specs.LAKE, db, tmp)
     got = rollup.coarsen(read_serving(spark, db, ROLLUP_TABLE), ["primaryGenre"]).collect()
     assert [tuple(r) for r in got] == [("Crime", 5.0, 10, 1)]
+
+
+def titles_rows(spark, rows):
+    return spark.createDataFrame(
+        [(t, "movie", t, t, 0, year, None, 90, [g], g, year and year // 10 * 10, r, votes) for t, g, year, r, votes in rows], specs.TITLES.lake_schema)
+
+
+def test_readers_never_miss_the_table_during_reloads(spark, tmp):
+    import threading
+    from mediamart.sinks.serve import write_serving, ensure_database
+    db = "t_" + uuid.uuid4().hex[:8]
+    ensure_database(spark, db, os.path.join(tmp, "db"))
+    loads = [credits(spark, [(f"tt{i}", 1, "nm1", "actor", None, None) for i in range(n)]) for n in (1, 2, 3, 4)]
+    write_serving(spark, loads[0], specs.PRINCIPALS, db, tmp)
+    seen, failed, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append(spark.table(f"`{db}`.principals").count())
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for df in loads[1:]:
+            write_serving(spark, df, specs.PRINCIPALS, db, tmp)
+    finally:
+        done.set()
+        reader.join()
+    assert not failed and seen == sorted(seen) and set(seen) <= {1, 2, 3, 4}
+    assert spark.table(f"`{db}`.principals").count() == 4
+
+
+def test_appends_merge_the_rollup_without_reading_all_titles(spark, tmp):
+    from mediamart.operators import rollup
+    from mediamart.sinks.serve import ROLLUP_TABLE, rollup_with, table_location, write_rollup, write_serving
+    db = "t_" + uuid.uuid4().hex[:8]
+    rows = [(f"t{i}", ["Drama", "Crime", "War"][i % 3], [1994, 2001, None][i % 3], None if i % 5 == 0 else i % 10 + 0.5, i) for i in range(60)]
+    load_serving(spark, {"titles": titles_rows(spark, rows[:30])}, specs.LAKE, db, tmp)
+    for part in (rows[30:40], rows[40:]):
+        load_serving(spark, {"titles": titles_rows(spark, part)}, specs.LAKE, db, tmp, mode="append")
+    key = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    whole = rollup.build_rollup(read_serving(spark, db, "titles"))
+    assert read_serving(spark, db, "titles").count() == 60
+    assert key(read_serving(spark, db, ROLLUP_TABLE)) == key(whole)
+    delta = os.path.join(tmp, "delta")
+    serve_projection(titles_rows(spark, rows[:2]), specs.TITLES).write.parquet(delta)
+    files = rollup_with(read_serving(spark, db, ROLLUP_TABLE), spark.read.parquet(delta)).inputFiles()
+    stored = table_location(spark, db, ROLLUP_TABLE).replace("file:", "")
+    assert files and all(stored in f or delta in f for f in files)
+    # a rollup that lags behind (a load that failed between its two steps) is rebuilt by the next append
+    write_serving(spark, titles_rows(spark, rows[:7]), specs.TITLES, db, tmp, mode="append")
+    load_serving(spark, {"titles": titles_rows(spark, rows[:1])}, specs.LAKE, db, tmp, mode="append")
+    assert key(read_serving(spark, db, ROLLUP_TABLE)) == key(rollup.build_rollup(read_serving(spark, db, "titles")))
+    write_rollup(spark, db, tmp)
+
+
+def test_load_counts_the_files_that_it_read_itself(spark, tmp):
+    from mediamart.sinks.lake import read_lake, write_lake
+    rows = [(f"tt{i}", 1, "nm1", f"cat{i % 40}", None, None) for i in range(400)]
+    path = os.path.join(tmp, "lake", "principals")
+    write_lake(credits(spark, rows), path, ["category"])
+    df = read_lake(spark, path, specs.PRINCIPALS)
+    known = len(df.inputFiles())
+    credits(spark, rows[:5]).write.mode("append").partitionBy("category").parquet(path)      # another job's file, after the listing
+    db = "t_" + uuid.uuid4().hex[:8]
+    stats = load_serving(spark, {"principals": df}, specs.LAKE, db, os.path.join(tmp, "serve"))
+    assert (stats["principals"]["files"], stats["principals"]["rows"]) == (known, 400)
+    kept = spark.table(f"`{db}`.load_stats").first()
+    assert (kept.dataset, kept.rows, kept.files) == ("principals", 400, known)
+
+
+def _scan_rows(df):
+    """Rows that the file scan of ``df`` put out, from the scan's own metric."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_lookup_by_a_key_that_does_not_lead_the_sort_skips_row_groups(spark, tmp):
+    n = 40_000
+    rows = spark.range(n).selectExpr("concat('tt', id) tconst", "1 ordering", f"concat('nm', (id * 7919) % {n}) nconst", "'actor' category",
+                                     "cast(null as string) job", "cast(null as string) characters").repartition(4)
+    db, hadoop = "t_" + uuid.uuid4().hex[:8], spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(32 << 10))           # several row groups in small files
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        load_serving(spark, {"principals": rows}, specs.LAKE, db, tmp)
+        found = read_serving(spark, db, "principals").where("nconst = 'nm12345'")
+        assert found.count() == 1
+        assert _scan_rows(found.select("tconst")) < n / 10
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_zorder_layout_serves_a_range_on_either_column(spark, tmp):
+    rows = [(f"t{i}", "Drama", 1900 + i * 7919 % 120 if i % 50 else None, 5.0, i * 104729 % 5000 if i % 41 else None) for i in range(6000)]
+    db = "t_" + uuid.uuid4().hex[:8]
+    # one directory: kind and decade do not vary, so files differ by the key alone
+    df = titles_rows(spark, rows).withColumn("decade", F.lit(1990))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        load_serving(spark, {"titles": df.repartition(8)}, specs.LAKE, db, tmp, layout="zorder")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    back = read_serving(spark, db, "titles")
+    assert sorted((r.tconst, r.startYear, r.numVotes) for r in back.collect()) == sorted((r[0], r[2], r[4]) for r in rows)
+    files = back.groupBy(F.col("_metadata.file_path")).agg(*[f(c).alias(f"{n}_{c}") for c in ("startYear", "numVotes")
+                                                             for n, f in (("lo", F.min), ("hi", F.max))]).collect()
+    assert len(files) > 30
+    for c, a, b in (("startYear", 1950, 1955), ("numVotes", 1000, 1200)):
+        hit = [f for f in files if f[f"lo_{c}"] is not None and f[f"lo_{c}"] <= b and f[f"hi_{c}"] >= a]
+        assert len(hit) < len(files) / 2.5, c
+    with pytest.raises(ValueError, match="zorder_by"):
+        load_serving(spark, {"people": spark.createDataFrame([], specs.PEOPLE.lake_schema)}, specs.LAKE, db, tmp, layout="zorder")
+
+
+def test_content_check_names_the_partition_of_one_altered_value(spark):
+    rows = [("tt1", 1, "nm1", "actor", "a", None), ("tt2", 1, "nm2", "actor", None, "a"), ("tt3", 1, "nm3", "director", "", None),
+            ("tt4", 2, "nm4", "writer", None, None), ("tt4", 2, "nm4", "writer", None, None)]
+
+    def same(changed):
+        return {r.category: (r.lake_rows, r.serve_rows, r.same_content)
+                for r in checks.content_match(credits(spark, rows), serve_projection(credits(spark, changed), specs.PRINCIPALS), specs.PRINCIPALS).collect()}
+
+    good = {"actor": (2, 2, True), "director": (1, 1, True), "writer": (2, 2, True)}
+    assert same(rows[::-1]) == good                                                        # any order
+    swap = lambda i, row: [*rows[:i], row, *rows[i + 1:]]
+    assert same(swap(0, ("tt1", 1, "nm1", "actor", None, "a"))) == good | {"actor": (2, 2, False)}     # the value moved a column
+    assert same(swap(2, ("tt3", 1, "nm3", "director", None, None))) == good | {"director": (1, 1, False)}     # empty became NULL
+    assert same(rows[:4]) == good | {"writer": (2, 1, False)}                               # a repeated row lost
+    assert same(swap(0, ("tt1", 1, "nm1", "director", "a", None))) == good | {"actor": (2, 1, False), "director": (1, 2, False)}
+
+
+def test_partition_flow_names_where_rows_were_lost(spark):
+    from mediamart.operators.clean import clean
+    raw = spark.createDataFrame([("tt1", "1", "nm1", None, None, None), ("tt1", "2", None, "actor", None, None), ("tt2", "1", "nm2", "actor", None, None),
+                                 ("tt3", "1", "nm3", " ", None, None)], specs.PRINCIPALS.raw_schema)
+    lake = clean(raw, specs.PRINCIPALS)
+    flow = lambda df: {(r.level, r.part1): tuple(r)[4:] for r in checks.partition_flow(raw, specs.PRINCIPALS, df).collect()}
+    assert flow(None) == flow(lake) == {(1, "unknown"): (1, 0, 1, 1, True), (1, "actor"): (2, 1, 0, 1, True), (1, " "): (1, 0, 1, 1, True),
+                                        (0, None): (4, 1, 2, 3, True)}
+    short = flow(lake.where("category <> 'actor'"))
+    assert short[1, "actor"] == (2, 1, 0, 0, False) and short[1, "unknown"][-1] and not short[0, None][-1]
