@@ -7,7 +7,9 @@ but the last return the columns of documents, in their order.
 - quality: the rule ensemble, learned from sf_dir's documents and labels;
   documents with a score under its threshold go.
 - language: the mixture model, learned from sf_dir's documents; documents
-  without a letter go, and those of which no language has MIN_SHARE.
+  without a letter go, and those in no learned language: less than LEAST_KNOWN
+  of their words hold a trigram that any of them knows. Documents in several
+  learned languages stay, however their shares are.
 - near_duplicates: one document of each SimHash component stays, the one with
   the smallest doc_id (a null id last, then by the text's digest). Components
   rest on texts alone: of exact copies without an id one stays, and rows that
@@ -29,7 +31,7 @@ from mediamart.llm import language_mixture, packing, quality_rules, simhash_tile
 from mediamart.llm.common import table, unused, written
 from mediamart.llm.registry import WORD_BPE
 
-MIN_SHARE = 0.4
+LEAST_KNOWN = 0.5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_mixture.fit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     found = unused(docs, "found_language")
-    kept = (F.col(f"{found}.lang") != language_mixture.UNKNOWN) & (F.col(f"{found}.score") >= MIN_SHARE)
+    kept = (F.col(f"{found}.lang") != language_mixture.UNKNOWN) & (F.col(f"{found}.known") >= LEAST_KNOWN)
     return language_mixture.predict(docs, model, found).where(kept).select(*_names(docs))
 
 

@@ -4,9 +4,11 @@ Learning counts letter trigrams (with word borders) per language over all
 training documents, aggregated in Spark. A document is a mixture of the
 learned languages: each of its words comes from one of them, with the
 likelihood of its trigrams. Expectation-maximisation estimates the document's
-language proportions; nested sets of its languages are then compared by
-penalised likelihood (BIC), and the chosen set is estimated once more. The
-prediction is the language with the largest proportion, which is the score.
+language proportions; its languages by falling proportion form nested sets, all
+of them (one language up to every learned one) are compared by penalised
+likelihood (BIC), and the chosen set is estimated once more. The prediction is
+the language with the largest proportion, which is the score; ``known`` is the
+share of the document's words of which some language knows a trigram.
 
 Every count of every language is used. The counts stay in the table they are
 written to; the driver holds a name and a total per language. Documents are
@@ -35,14 +37,14 @@ from mediamart.llm.common import id_remainder, ship, slices, unused, written
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 SMOOTHING = 0.5
-ROUNDS, REFIT_ROUNDS, MOST_LANGUAGES = 12, 4, 4
+ROUNDS, REFIT_ROUNDS = 12, 4
 WORDS_HELD = 200_000
 BLOCK_BYTES, BLOCK_LEVEL = 12 << 20, 5           # blocks are written and shuffled once: zstd level for less disk
 GROUP_COUNTS, GROUP_ASKED, LEAST_GROUPS = 500_000, 2_000_000, 9
 CELLS, CELLS_AT_ONCE = 8 << 20, 1 << 19       # words x languages of a run, and pairs x languages of a step
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
-RESULT = "struct<lang:string,score:double>"
+RESULT = "struct<lang:string,score:double,known:double>"
 
 
 def words_of(text: bytes) -> list[str]:
@@ -188,26 +190,27 @@ def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int, word: np
         return pi
 
     pi = rounds(np.full((len(first), langs), 1.0 / langs), ROUNDS)
-    rank = np.argsort(np.argsort(-pi, axis=1, kind="stable"), axis=1, kind="stable")
-    best, chosen = np.full(len(first), np.inf), np.zeros(len(first), int)
-    for k in range(1, min(langs, MOST_LANGUAGES) + 1):
-        part = np.where(rank < k, pi, 0)
-        part /= part.sum(1, keepdims=True)
-        fit_ = np.zeros(len(first))
-        for count, share, to, cut in shares(part):
-            fit_[to] += np.add.reduceat(count * np.log(np.maximum(share.sum(1), 1e-300)), cut)
-        cost = -2 * fit_ + (k - 1) * np.log(total)
-        better = cost < best - 1e-9
-        best[better], chosen[better] = cost[better], k
+    order = np.argsort(-pi, axis=1, kind="stable")
+    rank = np.argsort(order, axis=1, kind="stable")
+    # the fit of each document's first 1, 2, ... languages at once: running sums by rank
+    norm = np.log(np.maximum(np.cumsum(np.take_along_axis(pi, order, 1), 1), 1e-300))
+    fit_, at = np.zeros_like(pi), 0
+    for count, share, to, cut in shares(pi):
+        o = owner[at:at + len(count)]
+        at += len(count)
+        held = np.log(np.maximum(np.cumsum(np.take_along_axis(share, order[o], 1), 1), 1e-300)) - norm[o]
+        fit_[to] += np.add.reduceat(held * count[:, None], cut)
+    cost = -2 * fit_ + np.arange(langs) * np.log(total)[:, None]
+    chosen = np.argmax(cost <= cost.min(1, keepdims=True) + 1e-9, axis=1) + 1       # the smaller set of equals
     part = np.where(rank < chosen[:, None], pi, 0)
     out = np.zeros((docs, langs))
     out[present] = rounds(part / part.sum(1, keepdims=True), REFIT_ROUNDS)
     return out
 
 
-def identify(values: list[bytes], langs: list[str], unknown: np.ndarray, counts: Counts) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
-    lang, score = [UNKNOWN] * len(values), np.zeros(len(values))
+def identify(values: list[bytes], langs: list[str], unknown: np.ndarray, counts: Counts) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and share of known words of each text."""
+    lang, score, known = [UNKNOWN] * len(values), np.zeros(len(values)), np.zeros(len(values))
     each = [words_of(v) for v in values]
     lettered = [i for i, words in enumerate(each) if any(not w.isnumeric() and any(map(str.isalpha, w)) for w in words)]
     for a, b in chunks([len(each[i]) * len(langs) for i in lettered], CELLS):
@@ -216,12 +219,16 @@ def identify(values: list[bytes], langs: list[str], unknown: np.ndarray, counts:
         owner = np.repeat(np.arange(len(part)), [len(x) for x in ids])
         pair, n = np.unique(owner * len(index) + np.concatenate(ids), return_counts=True)
         doc, word = np.divmod(pair, len(index))
-        pi = mixtures(counts.words(list(index), unknown), doc, n.astype(float), len(part), word)
+        likelihood = counts.words(list(index), unknown)
+        floor = np.fromiter(map(len, index), np.int64, len(index))[:, None] * unknown
+        met = (likelihood > floor + 1e-9).any(1)
+        known[part] = np.bincount(doc, n * met[word], len(part)) / np.bincount(doc, n, len(part))
+        pi = mixtures(likelihood, doc, n.astype(float), len(part), word)
         top = pi.argmax(1)
         for j, i in enumerate(part):
             lang[i] = langs[top[j]]
         score[part] = np.minimum(pi[np.arange(len(pi)), top], 1.0)
-    return lang, score
+    return lang, score, known
 
 
 # -- what a block asks and is answered ----------------------------------------
@@ -283,9 +290,9 @@ def _answer(langs: list[str]):
 
 
 def predict(docs: DataFrame, model: Model, column: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with one more column: struct(lang, score)."""
+    """``docs`` with one more column: struct(lang, score, known)."""
     if not model.langs:
-        return docs.withColumn(column, F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score")))
+        return docs.withColumn(column, F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known")))
     spark = docs.sparkSession
     ship(spark)
     langs, unknown = model.langs, model.unknown
@@ -307,14 +314,16 @@ def predict(docs: DataFrame, model: Model, column: str, text_col: str = "text")
             [np.cumsum(unpacked(g)) for g, _, _ in rows], [unpacked(x, np.int32) for _, x, _ in rows], [unpacked(n) for _, _, n in rows])))
         out = []
         for row in block.to_pylist():
-            values, lang, share = text_values(row), [], []
+            values, lang, share, met = text_values(row), [], [], []
             for a, b in chunks(row["size"]):
-                x, y = identify(values[a:b], langs, unknown, counts)
+                x, y, z = identify(values[a:b], langs, unknown, counts)
                 lang += x
                 share.append(y)
+                met.append(z)
             *rest, null = rest_columns(row)
             rest.insert(at, pa.array(values, pa.binary(), mask=np.asarray(null.to_pylist(), bool)).cast(pa.string()))
-            new = pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(np.concatenate(share))], names=["lang", "score"])
+            new = pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(np.concatenate(share)), pa.array(np.concatenate(met))],
+                                             names=["lang", "score", "known"])
             out.append(pa.table([*rest, new], names=[*names, column]))
         return pa.concat_tables(out)       # every answer's block is there
 

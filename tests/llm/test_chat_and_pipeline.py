@@ -93,7 +93,7 @@ def test_pipeline_stage_by_stage(spark, corpus):
     assert ids(found["quality"]) == {r.doc_id for r in scored if r.q >= quality_rules.THRESHOLD}
     model = language_mixture.fit(before)
     said = language_mixture.predict(found["quality"], model, "f").collect()
-    assert ids(found["language"]) == {r.doc_id for r in said if r.f.lang != "und" and r.f.score >= corpus_pipeline.MIN_SHARE}
+    assert ids(found["language"]) == {r.doc_id for r in said if r.f.lang != "und" and r.f.known >= corpus_pipeline.LEAST_KNOWN}
     from .test_simhash_packing_search import plain_components
     rows = [(r.doc_id, r.text) for r in found["language"].collect()]
     assert ids(found["near_duplicates"]) == {c for _, _, c in plain_components(rows)}

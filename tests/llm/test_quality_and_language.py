@@ -145,3 +145,43 @@ def test_language_learns_every_language(spark):
     model = lm.fit(docs)
     assert len(model.langs) == 70
     assert {r.doc_id: r.f.lang for r in lm.predict(docs, model, "f").collect()} == {i: lang for i, _, lang in rows}
+
+
+def test_documents_in_six_languages_keep_all_six(spark):
+    """Evenly in six of eight learned languages: each has about a sixth, and
+    the pipeline's language stage keeps the document; text in none goes."""
+    import corpus_pipeline
+    rng = np.random.default_rng(14)
+    word = lambda k: "".join(map(chr, rng.integers(0x4E00 + 40 * k, 0x4E0A + 40 * k, 5)))
+    rows = [(i, " ".join(word(i % 8) for _ in range(60)), f"l{i % 8}") for i in range(160)]
+    mixed = " ".join(word(k) for _ in range(40) for k in range(6))
+    rows += [(1001, mixed, None), (1002, " ".join(chr(0x10D0 + i % 30) * 4 for i in range(50)), None), (1003, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lm.fit(docs)
+    got = {r.doc_id: r.f for r in lm.predict(docs, model, "f").collect()}
+    assert got[1001].score == pytest.approx(1 / 6, abs=0.02) and got[1001].known > 0.9 and got[1002].known == 0
+    from unittest import mock
+    with mock.patch.object(corpus_pipeline, "table", lambda *_: docs):
+        kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert kept == {i for i, _, _ in rows} - {1002, 1003}
+
+
+def test_language_sets_equal_plain_comparison():
+    """The chosen set is the one of least penalised cost among all nested sets."""
+    rng = np.random.default_rng(15)
+    for langs in (1, 2, 5, 9):
+        true = rng.integers(1, langs + 1)
+        ll = np.log(rng.random((80, langs)) * 0.05 + 0.9 * (np.arange(langs) == rng.integers(0, true, 80)[:, None]) + 1e-6)
+        n = rng.integers(1, 4, 80).astype(float)
+        like = np.exp(ll - ll.max(1, keepdims=True))
+        pi = np.full(langs, 1 / langs)
+        for _ in range(lm.ROUNDS):
+            r = pi * like
+            pi = ((r / r.sum(1, keepdims=True)) * n[:, None]).sum(0) / n.sum()
+        order = sorted(range(langs), key=lambda j: -pi[j])
+        cost = []
+        for k in range(1, langs + 1):
+            part = np.where(np.isin(np.arange(langs), order[:k]), pi, 0)
+            cost.append(-2 * float((n * np.log((part / part.sum() * like).sum(1).clip(1e-300))).sum()) + (k - 1) * np.log(n.sum()))
+        got = lm.mixtures(ll, np.zeros(80, int), n, 1)[0]
+        assert set(np.flatnonzero(got > 0)) == set(order[:int(np.argmin(cost)) + 1])
