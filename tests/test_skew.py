@@ -100,3 +100,40 @@ def test_hot_tie_group_of_a_global_sort_is_split(spark):
         assert hot.select("part").distinct().count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_join_has_no_exchange_and_no_hot_bucket(spark, tmp):
+    """A third of all credits on one title: its rows are stored apart."""
+    import uuid
+
+    from mediamart import specs
+    from mediamart.sinks.serve import load_serving, read_serving
+    from mediamart.sinks.split import heavy_keys, join_split, read_split, write_split
+    rows = [("tt1" if i % 3 == 0 else f"tt{i % 700 + 2}" if i % 50 else None, i % 200, f"nm{i}", "director" if i % 2 else "actor", None, None) for i in range(9000)]
+    credits = spark.createDataFrame(rows, specs.PRINCIPALS.lake_schema).repartition(6)
+    titles = spark.createDataFrame([(f"tt{i}", "movie", "t", "t", 0, 2000, None, None, [], "", 2000, 5.0, 1) for i in range(600)], specs.TITLES.lake_schema)
+    assert heavy_keys(credits, "tconst", 0.03) == ["tt1"] and heavy_keys(credits, "tconst", 0.5) == []
+    assert heavy_keys(credits.limit(0), "tconst", 0.1) == []
+    db = "t_" + uuid.uuid4().hex[:8]
+    load_serving(spark, {"titles": titles}, specs.LAKE, db, tmp, buckets=8)
+    assert write_split(spark, credits, specs.PRINCIPALS, db, tmp, 8) == ["tt1"]
+    hot, cold = (read_serving(spark, db, f"principals_{x}") for x in ("hot", "cold"))
+    assert {r.tconst for r in hot.select("tconst").distinct().collect()} == {"tt1"}          # a missing key is served as an empty one
+    per_bucket = [r["count"] for r in cold.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_bucket) + hot.count() == 9000 and max(per_bucket) < 9000 / 8 * 1.5
+    assert read_split(spark, db, "principals").count() == 9000
+    dim = read_serving(spark, db, "titles").select("tconst", "numVotes")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange hashpartitioning(tconst" not in _plan(cold.join(dim, "tconst")).replace("#", "")
+        joined = join_split(spark, db, "principals", dim, "tconst")
+        want = sorted((r[0], r[2]) for r in rows if r[0] and int(r[0][2:]) < 600)
+        assert sorted((r.tconst, r.nconst) for r in joined.collect()) == want
+        plan = _plan(joined)
+        assert "BroadcastHashJoin" in plan and plan.count("SortMergeJoin") in (1, 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
