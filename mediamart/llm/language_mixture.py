@@ -37,7 +37,7 @@ from mediamart.llm.common import id_remainder, ship, slices, unused, written
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 SMOOTHING = 0.5
-ROUNDS, REFIT_ROUNDS = 12, 4
+ROUNDS, REFIT_ROUNDS, SETTLED = 12, 4, 1e-7
 WORDS_HELD = 200_000
 BLOCK_BYTES, BLOCK_LEVEL = 12 << 20, 5           # blocks are written and shuffled once: zstd level for less disk
 GROUP_COUNTS, GROUP_ASKED, LEAST_GROUPS = 500_000, 2_000_000, 9
@@ -172,30 +172,43 @@ def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int, word: np
     owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(doc)]))
     step = max(1, CELLS_AT_ONCE // langs)
 
-    def shares(pi: np.ndarray):
+    def shares(pi: np.ndarray, own: np.ndarray, count: np.ndarray, which: np.ndarray):
         """Step by step the rows' counts, proportions times likelihoods, their
         documents, and where those begin."""
-        for a in range(0, len(doc), step):
-            o = owner[a:a + step]
+        for a in range(0, len(own), step):
+            o = own[a:a + step]
             cut = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-            yield n[a:a + step], pi[o] * like[word[a:a + step]], o[cut], cut
+            yield count[a:a + step], pi[o] * like[which[a:a + step]], o[cut], cut
 
-    def rounds(pi: np.ndarray, times: int) -> np.ndarray:
+    def rounds(pi: np.ndarray, times: int, open_: np.ndarray) -> np.ndarray:
+        """``times`` rounds for the documents of ``open_``, each until no
+        proportion of it moves by more than SETTLED."""
+        pi, own, count, which = pi.copy(), owner, n, word
         for _ in range(times):
+            keep = open_[own]
+            if not keep.all():
+                own, count, which = own[keep], count[keep], which[keep]
+            if not len(own):
+                break
             new = np.zeros_like(pi)
-            for count, share, to, cut in shares(pi):
-                share *= (count / np.maximum(share.sum(1), 1e-300))[:, None]
+            for c, share, to, cut in shares(pi, own, count, which):
+                share *= (c / np.maximum(share.sum(1), 1e-300))[:, None]
                 new[to] += np.add.reduceat(share, cut)
-            pi = new / total[:, None]
+            at = np.flatnonzero(open_)
+            moved = new[at] / total[at, None]
+            still = np.abs(moved - pi[at]).max(1) > SETTLED
+            pi[at] = moved
+            open_ = np.zeros(len(pi), bool)
+            open_[at[still]] = True
         return pi
 
-    pi = rounds(np.full((len(first), langs), 1.0 / langs), ROUNDS)
+    pi = rounds(np.full((len(first), langs), 1.0 / langs), ROUNDS, np.ones(len(first), bool))
     order = np.argsort(-pi, axis=1, kind="stable")
     rank = np.argsort(order, axis=1, kind="stable")
     # the fit of each document's first 1, 2, ... languages at once: running sums by rank
     norm = np.log(np.maximum(np.cumsum(np.take_along_axis(pi, order, 1), 1), 1e-300))
     fit_, at = np.zeros_like(pi), 0
-    for count, share, to, cut in shares(pi):
+    for count, share, to, cut in shares(pi, owner, n, word):
         o = owner[at:at + len(count)]
         at += len(count)
         held = np.log(np.maximum(np.cumsum(np.take_along_axis(share, order[o], 1), 1), 1e-300)) - norm[o]
@@ -204,7 +217,8 @@ def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int, word: np
     chosen = np.argmax(cost <= cost.min(1, keepdims=True) + 1e-9, axis=1) + 1       # the smaller set of equals
     part = np.where(rank < chosen[:, None], pi, 0)
     out = np.zeros((docs, langs))
-    out[present] = rounds(part / part.sum(1, keepdims=True), REFIT_ROUNDS)
+    # a set of one language is settled already
+    out[present] = rounds(part / part.sum(1, keepdims=True), REFIT_ROUNDS, chosen > 1)
     return out
 
 
