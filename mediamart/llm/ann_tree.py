@@ -11,15 +11,18 @@ Each visited leaf is searched exactly, in double precision, on the original
 vectors.
 
 Parameters with a bound: FIT_ROWS (sample for the tree), CALIBRATION_QUERIES.
-Every row is indexed and every query is answered. A leaf with many rows (a
-repeated vector may hold a third of all) is cut into salted parts of about
-LEAF_BLOCK rows, and so are the queries that visit it.
+Every row is indexed and every query is answered. Neighbouring leaves share a
+block of about LEAF_BLOCK rows, and a query is sent once to each block in which
+it visits leaves, with their numbers; there it looks into those leaves only. A
+leaf with more rows (a repeated vector may hold a third of all) is a block of
+its own, cut into salted parts, and so are the queries that visit a block.
 
 Defined cases: rows with a null id, and vectors that are null, empty, zero or
 hold a null or non-finite component, take no part; repeated rows of an id
 count once; a query never finds its own id; vectors of another length than
 the most frequent one in the sample are searched exactly among themselves;
-equal scores go to the smaller id; an empty table gives an empty result.
+equal scores go to the smaller id; an empty table gives an empty result; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -121,13 +124,28 @@ def _split(unit: np.ndarray, part: np.ndarray, rng) -> list[np.ndarray]:
     return [part[near == j] for j in range(len(centers)) if (near == j).any()]
 
 
-def nearest(q_ids, q, c_ids, c, k: int):
+def leaf_blocks(size: np.ndarray, limit: int) -> np.ndarray:
+    """Block of every leaf: runs of neighbouring leaves of at most ``limit``
+    rows together; a larger leaf is a block of its own."""
+    out, block, held = np.zeros(len(size), np.int64), 0, 0
+    for leaf, n in enumerate(size.tolist()):
+        if held and held + n > limit:
+            block, held = block + 1, 0
+        out[leaf] = block
+        held += n
+    return out
+
+
+def nearest(q_ids, q, c_ids, c, k: int, seen: np.ndarray | None = None):
     """Exact (query, candidate, cosine) of the k nearest; equal scores by id.
+    ``seen``: which candidates each query looks at (default: all).
     The matrix product only narrows; scores are computed row by row, so that
     equal vectors get equal scores whatever their block."""
     qn, cn = np.sqrt((q * q).sum(1)), np.sqrt((c * c).sum(1))
     rough = (q / qn[:, None]) @ (c / cn[:, None]).T
     rough[q_ids[:, None] == c_ids[None, :]] = -np.inf
+    if seen is not None:
+        rough[~seen] = -np.inf
     out = []
     for i in range(len(q)):
         s = rough[i]
@@ -215,48 +233,71 @@ def search(vectors: DataFrame, k: int = 5, query_mod: int = 50, id_col: str = "v
                 leaf[ok] = tree.assign(matrix(v.filter(pa.array(ok))))
             yield pa.RecordBatch.from_arrays([batch.column(0), v, pa.array(leaf)], names=["vec_id", "v", "leaf"])
 
+    indexed = written(rows.select("vec_id", "v").mapInArrow(index, "vec_id long, v array<double>, leaf int"), "ann_index")
+    rows_of = dict(indexed.groupBy("leaf").count().collect())                      # a row per leaf
+    size = np.array([rows_of.get(leaf, 0) for leaf in range(tree.leaves)], np.int64)
+    block = leaf_blocks(size, LEAF_BLOCK)
+
     def route(batches):
         for batch in batches:
-            ids, v, leaf = [], [], []
+            ids, v, to, leaves = [], [], [], []
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                to = tree.visit(np.array(x, float), visits, size, k + 1) if len(x) == dim else [-1]
-                ids += [i] * len(to)
-                v += [x] * len(to)
-                leaf += to
-            yield pa.RecordBatch.from_pydict({"vec_id": pa.array(ids, pa.int64()), "v": pa.array(v, pa.list_(pa.float64())),
-                                              "leaf": pa.array(leaf, pa.int32())})
-
-    shape = "vec_id long, v array<double>, leaf int"
-    indexed = written(rows.select("vec_id", "v").mapInArrow(index, shape), "ann_index")
-    size = np.zeros(tree.leaves, np.int64)
-    for leaf, n in indexed.where("leaf >= 0").groupBy("leaf").count().collect():   # a row per leaf
-        size[leaf] = n
-    # k rows and the query's own, which it does not find
-    asked = written(rows.where(F.col("vec_id") % query_mod == 0).select("vec_id", "v").mapInArrow(route, shape), "ann_routes")
-    parts = lambda df, block, name: df.groupBy("leaf").agg((F.floor((F.count(F.lit(1)) - 1) / block) + 1).cast("int").alias(name))
-    cuts = F.broadcast(parts(indexed, LEAF_BLOCK, "cs").join(parts(asked, QUERY_BLOCK, "qs"), "leaf"))  # a row per leaf, MAX_LEAVES * BRANCH at most
+                # k rows and the query's own, which it does not find
+                at = np.sort(tree.visit(np.array(x, float), visits, size, k + 1)) if len(x) == dim else np.array([-1])
+                home = block[at] if len(x) == dim else np.array([-1])
+                cut = np.flatnonzero(np.r_[True, home[1:] != home[:-1]])
+                ids += [i] * len(cut)
+                v += [x] * len(cut)
+                to += home[cut].tolist()
+                leaves += [part.tolist() for part in np.split(at, cut[1:])]
+            yield pa.RecordBatch.from_pydict({
+                "vec_id": pa.array(ids, pa.int64()), "v": pa.array(v, pa.list_(pa.float64())),
+                "blk": pa.array(to, pa.int64()), "leaves": pa.array(leaves, pa.list_(pa.int32()))})
+
+    asked = written(rows.where(F.col("vec_id") % query_mod == 0).select("vec_id", "v").mapInArrow(
+        route, "vec_id long, v array<double>, blk long, leaves array<int>"), "ann_routes")
+    # a row per leaf, in total MAX_LEAVES * BRANCH at most
+    held = {-1: rows_of.get(-1, 0)}
+    for leaf, n in enumerate(size.tolist()):
+        held[int(block[leaf])] = held.get(int(block[leaf]), 0) + n
+    home = spark.createDataFrame([(-1, -1)] + [(leaf, int(b)) for leaf, b in enumerate(block)], "leaf int, blk long")
+    cs = spark.createDataFrame([(b, max(1, -(-n // LEAF_BLOCK))) for b, n in held.items()], "blk long, cs int")
+    qs = asked.groupBy("blk").agg((F.floor((F.count(F.lit(1)) - 1) / QUERY_BLOCK) + 1).cast("int").alias("qs"))
+    cuts = F.broadcast(cs.join(qs, "blk"))
     here = F.pmod(F.xxhash64("vec_id"), F.col("cs")).cast("int")
     mine = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("qs")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = indexed.join(cuts, "leaf").select("vec_id", "v", "leaf", here.alias("c"), every("qs").alias("q"))
-    right = asked.join(cuts, "leaf").select("vec_id", "v", "leaf", every("cs").alias("c"), mine.alias("q"))
+    left = indexed.join(F.broadcast(home), "leaf").join(cuts, "blk").select(
+        "vec_id", "v", "leaf", "blk", here.alias("c"), every("qs").alias("q"))
+    right = asked.join(cuts, "blk").select("vec_id", "v", "leaves", "blk", every("cs").alias("c"), mine.alias("q"))
     out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def score(c: pa.Table, q: pa.Table) -> pa.Table:
         got = []
         if c.num_rows and q.num_rows:
+            c = c.sort_by("leaf")
             cv, qv = c.column("v").combine_chunks(), q.column("v").combine_chunks()
             cd, qd = (np.asarray(pa.compute.list_value_length(x)) for x in (cv, qv))
-            for d in np.intersect1d(cd, qd):  # one length, but for leaf -1
+            leaf, visited = np.asarray(c.column("leaf")), q.column("leaves").to_pylist()
+            visited = np.array([len(x) for x in visited]), np.concatenate([np.array(x, np.int64) for x in visited])
+            low = int(min(leaf[0], visited[1].min()))
+            looks = np.zeros((q.num_rows, int(max(leaf[-1], visited[1].max())) - low + 1), bool)
+            looks[np.repeat(np.arange(q.num_rows), visited[0]), visited[1] - low] = True
+            first = np.argmax(looks, axis=1)      # queries that begin at one leaf go together
+            for d in np.intersect1d(cd, qd):      # one length, but for leaf -1
                 ci, qi = np.flatnonzero(cd == d), np.flatnonzero(qd == d)
+                qi = qi[np.argsort(first[qi], kind="stable")]
                 cm, cid = matrix(cv.take(pa.array(ci))), np.asarray(c.column("vec_id"))[ci]
                 qm, qid = matrix(qv.take(pa.array(qi))), np.asarray(q.column("vec_id"))[qi]
                 for i in range(0, len(qm), 256):
-                    got.append(nearest(qid[i:i + 256], qm[i:i + 256], cid, cm, k))
+                    seen = looks[qi[i:i + 256]][:, leaf[ci] - low]
+                    any_of = seen.any(axis=0)
+                    if any_of.any():
+                        got.append(nearest(qid[i:i + 256], qm[i:i + 256], cid[any_of], cm[any_of], k, seen[:, any_of]))
         if not got:
             return out.empty_table()
         return pa.table([pa.array(np.concatenate(x)) for x in zip(*got)], schema=out)
 
-    found = left.groupBy("leaf", "c", "q").cogroup(right.groupBy("leaf", "c", "q")).applyInArrow(
+    found = left.groupBy("blk", "c", "q").cogroup(right.groupBy("blk", "c", "q")).applyInArrow(
         score, "query_id long, vec_id long, score double")
     return _ranked(found, k)
