@@ -2,8 +2,9 @@
 
 Every component x becomes floor(1024 * x) in double precision; the score of a
 pair is the integer inner product. Queries and candidates are packed into
-blocks of bounded size and paired block by block on a grid (an equi-join on
-block keys, no cross join). Each pass scores every pair and counts, for each
+blocks of bounded size; candidate blocks are dealt out by salts and every query
+block is sent to each salt (an equi-join on the salt, the stated query set
+against all rows). Each pass scores every pair and counts, for each
 query, how many scores fall into each bin of its current range; the bin that
 holds the k-th value becomes the range of the next pass, until a bin is one
 integer wide. A last pass keeps the scores above the k-th value and, of those
@@ -14,7 +15,7 @@ null or non-finite component take no part; repeated rows of an id count once;
 vectors are compared with vectors of their own length only; a query never
 finds its own id; fewer candidates than k: all are returned; ties go to the
 smaller id; scores beyond the range of a long saturate; an empty table gives
-an empty result.
+an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -141,7 +142,6 @@ def top_k(vectors: DataFrame, k: int = 10, query_mod: int = 100, id_col: str = "
         (F.floor(reach / (BINS / 2)) + 1).cast("long").alias("width"), F.lit(k).cast("long").alias("need")), "topk_state")
     candidates = written(_packed(rows.repartition(F.pmod(F.xxhash64("vec_id"), F.lit(salts))), CANDIDATE_BLOCK)
                          .withColumn("salt", F.pmod(F.xxhash64("blk", "dim"), F.lit(salts))), "topk_blocks")
-    grid = candidates.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1)).cast("array<long>")))
 
     def blocks(state):
         def pack(t: pa.Table) -> pa.Table:
@@ -162,7 +162,9 @@ def top_k(vectors: DataFrame, k: int = 10, query_mod: int = 100, id_col: str = "
         return packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
 
     def joined(state):
-        return grid.join(blocks(state), ["qb", "dim", "salt"]).select("qb", "dim", "ids", "mat", "q_ids", "q_mat", "lo", "hi", "width")
+        # the query blocks go to the candidates, which move once a pass however many queries there are
+        return blocks(state).join(candidates.hint("merge"), ["dim", "salt"]).select(
+            "qb", "dim", "ids", "mat", "q_ids", "q_mat", "lo", "hi", "width")
 
     width = int(state.agg(F.max("width")).first()[0] or 1)
     passes = 1
