@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from mediamart.session import scratch_path
 
 _SHIPPED: set[str] = set()
+BROADCAST_IDS = 1_000_000       # repeated ids up to this number are broadcast
 
 
 def ship(spark: SparkSession) -> None:
@@ -101,7 +102,14 @@ def valid_vectors(df: DataFrame, id_col: str, vec_col: str, zero_ok: bool) -> Da
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(inf))))
     if not zero_ok:
         rows = rows.where(F.exists("v", lambda x: x != 0.0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    # repeats are rare: they are found on the ids alone, so that vectors do not move for them
+    repeated = written(rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id"), "repeated_ids")
+    n = repeated.count()
+    if not n:
+        return rows
+    some = F.broadcast(repeated) if n <= BROADCAST_IDS else repeated
+    least = rows.join(some, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.join(some, "vec_id", "left_anti").unionByName(least)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
