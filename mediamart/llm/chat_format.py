@@ -14,13 +14,14 @@ Defined cases: null role or text counts as empty; turns sort by (turn, role,
 text), nulls first, so ties and repeated rows have one order and all are kept;
 a null conv_id is a conversation of its own; turns after the last reply (or a
 conversation without one) come as one more example without a trainable part,
-so no turn is lost; an empty table gives an empty result; other columns are
-ignored.
+so no turn is lost; very long texts are formatted whole (a conversation has to
+fit into one row, at most 2 GB, and so has each of its examples); an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, MIDDLE, END = "<s>", "[INST]", "</s>"
@@ -59,26 +60,16 @@ def format_examples(turns: DataFrame) -> DataFrame:
     """One row per example: conv_id, example (from 0), formatted, loss_start
     (1-based character position), loss_length (0: nothing trainable) and
     is_last (the example that holds the whole conversation)."""
-    rows = turns.select(
-        F.col("conv_id").alias("conv_id"),
-        F.struct(F.col("turn").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"),
-                 F.coalesce(F.col("text"), F.lit("")).alias("text")).alias("t"))
-    talks = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    talks = talks.select("conv_id", F.transform("ts", lambda t: F.struct(
-        (t["role"] == TARGET_ROLE).alias("reply"), escape(t["text"]).alias("body"),
-        render(t["role"], t["text"]).alias("shown"))).alias("ts"))
-    # running end position of every turn in the rendered conversation
-    steps = F.aggregate(
-        "ts", F.struct(F.lit(0).cast("long").alias("end"),
-                       F.array().cast("array<struct<end:bigint,size:bigint,reply:boolean>>").alias("out")),
-        lambda acc, t: F.struct(
-            (acc["end"] + F.length(t["shown"])).alias("end"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["end"] + F.length(t["shown"])).alias("end"),
-                F.length(t["body"]).cast("long").alias("size"), t["reply"].alias("reply")))).alias("out")),
-        lambda acc: acc["out"])
-    talks = talks.select("conv_id", F.array_join(F.transform("ts", lambda t: t["shown"]), "").alias("whole"),
-                         steps.alias("steps"))
+    rows = turns.select("conv_id", "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"),
+                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    shown = rows.select("*", escape(F.col("text")).alias("body"), render(F.col("role"), F.col("text")).alias("shown"))
+    # running end position of every turn in the rendered conversation; it grows with every turn, so it orders them
+    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    placed = shown.select("conv_id", F.struct(
+        F.sum(F.length("shown")).over(so_far).alias("end"), F.length("body").cast("long").alias("size"),
+        (F.col("role") == TARGET_ROLE).alias("reply"), F.col("shown")).alias("t"))
+    talks = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("steps"))
+    talks = talks.select("conv_id", "steps", F.array_join(F.transform("steps", lambda t: t["shown"]), "").alias("whole"))
     total = F.size("steps")
     chosen = F.filter(
         F.transform("steps", lambda s, i: F.struct(s["end"].alias("end"), s["size"].alias("size"),

@@ -56,6 +56,13 @@ def test_chat_digest(spark):
     assert cf.digest(cf.format_examples(empty)).collect() == []
 
 
+def test_chat_of_many_turns(spark):
+    rng = random.Random(3)
+    rows = [(9, i, rng.choice(["user", "assistant"]), "<" * rng.randint(0, 3) + "word " * rng.randint(0, 9)) for i in range(1500)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)) + ROWS, TALK).repartition(5)
+    assert {r.conv_id: tuple(r)[1:] for r in cf.digest(cf.format_examples(df)).collect()} == plain_digest(rows + ROWS)
+
+
 def test_chat_plan_is_native(spark):
     plan = registry.op9_chat_formatting(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "ExistingRDD"))

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mediamart.llm import ann_tree, exact_topk, packing
@@ -294,3 +295,29 @@ def test_ann_calibrates_each_query():
     depths = [[0] * 5] * 90 + [[0, 0, 0, 3, 3]] * 10        # 96% of all neighbours, but only 90% of the queries, are served by one leaf
     assert ann_tree.leaves_needed(depths, 0.95) == 4
     assert ann_tree.leaves_needed([[0] * 5] * 96 + [[9] * 5] * 4, 0.95) == 1
+
+
+def test_neighbouring_leaves_share_blocks():
+    assert ann_tree.leaf_blocks(np.array([3, 4, 9, 30, 1, 0, 2]), 10).tolist() == [0, 0, 1, 2, 3, 3, 3]
+
+
+@pytest.mark.parametrize("search", [exact_topk.top_k, ann_tree.search])
+def test_search_ignores_other_columns(spark, search):
+    df = vectors(spark, np.random.default_rng(15), 300, 4)
+    more = df.selectExpr("*", "1 v", "2 leaf", "3 blk", "4 score", "5 query_id", "'x' rank", "6 c", "7 q", "8 n", "9 salt", "10 qb")
+    key = lambda x: sorted(map(tuple, x.collect()))
+    assert key(search(more)) == key(search(df)) != []
+
+
+def test_ann_on_data_without_clusters(spark):
+    """Isotropic vectors: the calibrated search opens what recall needs."""
+    rng = np.random.default_rng(16)
+    m = rng.normal(size=(2500, 32))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    unit = m / np.sqrt((m * m).sum(1, keepdims=True))
+    hit = total = 0
+    for r in ann_tree.search(df).groupBy("query_id").agg(F.collect_set("vec_id").alias("found")).collect():
+        cos = unit @ unit[r.query_id]
+        cos[r.query_id] = -9
+        hit, total = hit + len(set(r.found) & set(np.argsort(-cos)[:5].tolist())), total + 5
+    assert total == 250 and hit / total >= 0.9
