@@ -12,8 +12,8 @@ seen. A score is log10 of the probability of the whole text.
 
 On Spark. Documents are gathered into blocks of about BLOCK_BYTES, written
 once. Each block sends its distinct (context, byte) pairs and distinct words
-with their training counts; counts are summed over all blocks, the tree is
-weighted bottom-up (depths DEPTH to 3 inside groups of contexts, 2 to 0 as
+with their training counts; counts are summed over parts of the blocks and
+then over the parts, the tree is weighted bottom-up (depths DEPTH to 3 inside groups of contexts, 2 to 0 as
 aggregations of a few thousand rows), every pair gets its probability, and
 each block gets back the answers for its own pairs and words only. Nothing is
 kept whole on the driver or in one task, and everything gathered grows with
@@ -23,11 +23,12 @@ Defined cases: a null text counts as empty and scores its end mark; without
 training documents every estimate is one half (8 bits a byte) and the base has
 N = V = 0; repeated rows are scored one by one; an empty table gives an empty
 result; other columns are ignored; a null id counts as empty text in the
-choice of the fold.
+choice of the fold; very long texts are a block of their own.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -252,27 +253,47 @@ def _count_words(t: pa.Table) -> pa.Table:
         pa.schema([*_ANSWER, ("tokens", pa.int64()), ("known", pa.int64())]))
 
 
-def _group_pairs(t: pa.Table) -> tuple[Subtree, np.ndarray, list]:
-    rows = [(b, g, np.cumsum(unpacked(k)), unpacked(n)) for b, g, k, n in zip(*(t.column(c).to_pylist() for c in ("block", "grp", "keys", "n")))]
-    key, n = summed([(k, n) for _, _, k, n in rows])
-    return Subtree(key, n), key, rows
+def _sum_part(t: pa.Table) -> pa.Table:
+    """A group's pairs of some blocks as one row: distinct keys, summed counts."""
+    key, n = _summed_rows(t)
+    return pa.Table.from_pylist([{"grp": t.column("grp")[0].as_py(), "keys": packed(np.diff(key, prepend=0)), "n": packed(n)}],
+                                pa.schema([("grp", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())]))
+
+
+def _summed_rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return summed([(np.cumsum(unpacked(k)), unpacked(n)) for k, n in zip(t.column("keys").to_pylist(), t.column("n").to_pylist())])
 
 
 def _joint_nodes(t: pa.Table) -> pa.Table:
-    key, zeros, ones, log_w = _group_pairs(t)[0].nodes()
+    key, zeros, ones, log_w = Subtree(*_summed_rows(t)).nodes()
     return pa.table({"grp": pa.array(np.full(len(key), t.column("grp")[0].as_py(), np.int64)), "node": pa.array(key),
                      "zeros": pa.array(zeros), "ones": pa.array(ones), "log_w": pa.array(log_w)})
 
 
-def _answer_pairs(asked: pa.Table, above: pa.Table) -> pa.Table:
-    if not asked.num_rows:
-        return _ANSWER.empty_table()
-    tree, key, rows = _group_pairs(asked)
+_PREDICTED = pa.schema([("grp", pa.int64()), ("keys", pa.binary()), ("found", pa.binary())])
+
+
+def _predict(sums: pa.Table, above: pa.Table) -> pa.Table:
+    """log10 probabilities of all distinct pairs of a group, as one row."""
+    if not sums.num_rows:
+        return _PREDICTED.empty_table()
+    key, n = _summed_rows(sums)
     node = np.asarray(above.column("node"))
     order = np.argsort(node)
-    log_p = tree.log10(node[order], np.asarray(above.column("add"))[order], np.asarray(above.column("times"))[order])
-    return pa.Table.from_pylist([{"block": b, "kind": "p", "grp": g, "found": zipped(log_p[np.searchsorted(key, k)].tobytes())}
-                                 for b, g, k, _ in rows], _ANSWER)
+    log_p = Subtree(key, n).log10(node[order], np.asarray(above.column("add"))[order], np.asarray(above.column("times"))[order])
+    return pa.Table.from_pylist([{"grp": sums.column("grp")[0].as_py(), "keys": packed(np.diff(key, prepend=0)),
+                                  "found": zipped(log_p.tobytes())}], _PREDICTED)
+
+
+def _answer_pairs(asked: pa.Table, predicted: pa.Table) -> pa.Table:
+    """What each of some blocks asked of a group, from the group's one row."""
+    if not asked.num_rows:
+        return _ANSWER.empty_table()
+    key = np.cumsum(unpacked(predicted.column("keys")[0].as_py()))
+    log_p = unpacked(predicted.column("found")[0].as_py(), np.float64)
+    rows = zip(*(asked.column(c).to_pylist() for c in ("block", "grp", "keys")))
+    return pa.Table.from_pylist([{"block": b, "kind": "p", "grp": g, "found": zipped(
+        log_p[np.searchsorted(key, np.cumsum(unpacked(k)))].tobytes())} for b, g, k in rows], _ANSWER)
 
 
 def _weigh(batches):
@@ -316,7 +337,7 @@ def _above(joint: DataFrame) -> DataFrame:
 
 
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_words", pa.int64()), ("known", pa.int64()),
-                     ("log_counts", pa.float64()), ("score", pa.float64())])
+                     ("log_counts", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
 
 
 def _sums(values: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -352,13 +373,15 @@ def _score(word_groups: int, pair_groups: int):
                 keys, size = pair_keys(values[a:b])
                 score[a:b] = _sums(log_p[place.get_indexer(keys)], size)
             out.append(pa.table([rest_columns(row)[0], pa.array(held), pa.array(count),
-                                 pa.array(known.astype(np.int64)), pa.array(logs), pa.array(score)], schema=_SCORED))
+                                 pa.array(known.astype(np.int64)), pa.array(logs), pa.array(score),
+                                 pa.array(row["size"], pa.int64())], schema=_SCORED))
         return pa.concat_tables(out) if out else _SCORED.empty_table()
     return run
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
+    n_bytes and bits_per_byte (code length, the end mark counted as a byte)."""
     ship(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text")
     rows = rows.withColumn("held", id_remainder("doc_id", FOLDS) == HELD_OUT_FOLD)
@@ -374,16 +397,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         _count_words, "block long, kind string, grp long, found binary, tokens long, known long"), "context_words")
     tokens, known = counted.agg(F.sum("tokens"), F.sum("known")).first()
     n, v = (tokens or 0) + train, (known or 0) + (train > 0)
-    joint = written(pairs.groupBy("grp").applyInArrow(
+    # a frequent context comes from every block: its rows are summed over about sqrt(blocks) parts, then over the parts
+    parts = max(1, math.isqrt(held.count()))
+    apart = pairs.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts))).repartition(2 * pair_groups, "grp", "part")
+    sums = written(apart.groupBy("grp", "part").applyInArrow(_sum_part, "grp long, keys binary, n binary"), "context_sums")
+    sums = sums.repartition(2 * pair_groups, "grp")
+    joint = written(sums.groupBy("grp").applyInArrow(
         _joint_nodes, "grp long, node long, zeros double, ones double, log_w double"), "context_nodes")
-    answered = pairs.groupBy("grp").cogroup(_above(joint).groupBy("grp")).applyInArrow(
+    predicted = sums.groupBy("grp").cogroup(_above(joint).repartition(2 * pair_groups, "grp").groupBy("grp")).applyInArrow(
+        _predict, "grp long, keys binary, found binary")
+    each = predicted.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
+    answered = apart.groupBy("grp", "part").cogroup(each.repartition(2 * pair_groups, "grp", "part").groupBy("grp", "part")).applyInArrow(
         _answer_pairs, "block long, kind string, grp long, found binary")
     answers = counted.select("block", "kind", "grp", "found").union(answered)
     scored = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(word_groups, pair_groups), "doc_id long, held_out boolean, n_words long, known long, log_counts double, score double")
+        _score(word_groups, pair_groups),
+        "doc_id long, held_out boolean, n_words long, known long, log_counts double, score double, n_bytes long")
     count = F.col("n_words") + 1          # the words and the end
     return scored.select(
         "doc_id", "held_out", count.alias("n_tokens"), (F.col("known") + F.lit(int(train > 0))).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
         (F.col("log_counts") + F.lit(float(np.log10(train + 1))) - count * F.lit(float(np.log10(n + v + 1)))).alias("base_score"),
-        "score")
+        "score", "n_bytes", (F.col("score") * F.lit(-float(np.log2(10))) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))

@@ -74,7 +74,8 @@ def same_scores(got, want):
     assert len(got) == len(want)
     for a, b in zip(got, want):
         assert a[:5] == b[:5]
-        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+        assert a[5:7] == pytest.approx(b[5:], rel=1e-9)
+        assert a[8] == pytest.approx(-b[6] * math.log2(10) / (a[7] + 1))        # code length of a byte
 
 
 def test_scores_equal_plain_context_trees(spark, odd_rows, monkeypatch):
@@ -85,6 +86,16 @@ def test_scores_equal_plain_context_trees(spark, odd_rows, monkeypatch):
     same_scores(ct.score(df).collect(), plain_scores(rows))
 
 
+def test_scores_do_not_depend_on_blocks(spark, odd, monkeypatch):
+    """The very long row and clashing columns too; of many blocks, groups are summed in parts."""
+    one = [tuple(r)[:7] for r in ct.score(odd.coalesce(1)).collect()]
+    gather = ct.gather
+    monkeypatch.setattr(ct, "gather", lambda docs, text, lower: gather(docs, text, lower, 2_000))
+    many = ct.score(odd.repartition(4))
+    assert many.count() == 13
+    same_scores([tuple(r) for r in many.collect()], one)
+
+
 def test_scores_without_training_and_of_nothing(spark, none):
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:4]
     rows = [(i, "ab c") for i in held]
