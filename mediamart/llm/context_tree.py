@@ -41,7 +41,7 @@ from mediamart.llm.blocks import chunks, gather, packed, ranges, rest_columns, t
 from mediamart.llm.common import id_remainder, ship, written
 
 FOLDS, HELD_OUT_FOLD = 7, 2
-DEPTH, JOINT = 5, 3            # contexts of JOINT bytes and more are weighted together
+DEPTH, JOINT = 6, 3            # contexts of JOINT bytes and more are weighted together
 MARK = 0xFF                    # not in UTF-8: end of a text, and what stands before its start
 LOG_HALF = float(np.log(0.5))
 
