@@ -61,3 +61,20 @@ def test_a_slot_replaces_its_folder_and_database(spark):
     second = scratch_slot(spark, "test_slot", "mm_slot_two")
     assert first != second and not exists(spark, first)
     assert not spark.catalog.databaseExists("mm_slot_one")
+
+
+def test_a_side_of_many_narrow_rows_is_not_broadcast(spark, tmp):
+    """A few MB of Parquet that hold a million rows: far more as rows and as a
+    hash table on the driver, so neither the static nor the runtime size check
+    may broadcast them."""
+    from pyspark.sql import functions as F
+
+    from mediamart.session import apply_conf
+    apply_conf(spark)
+    spark.range(1_000_000).select(F.concat(F.lit("tt"), F.col("id").cast("string")).alias("tconst"),
+                                  (F.col("id") % 100).cast("float").alias("rating")).write.parquet(f"{tmp}/dim")
+    joined = spark.read.parquet(f"{tmp}/dim").join(spark.read.parquet(f"{tmp}/dim").select("tconst"), "tconst")
+    total = joined.groupBy().sum("rating")
+    assert total.collect()[0][0] == 49_500_000
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
