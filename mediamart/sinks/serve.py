@@ -69,6 +69,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediamart.functions import out_of_range
 from mediamart.operators.rollup import build_rollup, merge_rollups
@@ -133,6 +134,20 @@ def range_count(input_bytes: int | None, target_bytes: int = TARGET_FILE_BYTES,
     return min(max_ranges, max(1, by_size, floor))
 
 
+# Rows of one range are sorted in one task: about this much memory each, so that
+# four tasks fit an executor without spilling, whatever the rows' width.
+SORT_BYTES = 384 * 1024 * 1024
+
+
+def sort_bytes(rows: int, schema: T.StructType, input_bytes: int) -> int:
+    """Estimated memory of a sort of ``rows`` rows: the sorter's pointers and a
+    row's header, a word per column, words for each string or array, and twice
+    the compressed bytes for long values. Narrow rows take some twenty times
+    their size in the lake, long texts about twice."""
+    long_ones = sum(isinstance(f.dataType, (T.StringType, T.ArrayType)) for f in schema.fields)
+    return int(rows) * (40 + 8 * len(schema.fields) + 16 * long_ones) + 2 * int(input_bytes)
+
+
 ZORDER_BITS = 8            # ranks of a column are 0 .. 2^bits - 1
 
 
@@ -181,8 +196,9 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
     rows, files (lake files that this load read), out-of-range counts,
     files_written, elapsed_s.
 
-    ``input_bytes`` (the lake dataset's size on disk) sizes the range layout;
-    without it the session's shuffle partition count is used and AQE merges
+    ``input_bytes`` (the lake dataset's size on disk) and the lake's row count
+    size the range layout: by file size and by the memory that sorting a range
+    takes; without ``input_bytes`` the session's shuffle partition count is used and AQE merges
     small ranges."""
     t0 = time.time()
     tagged, files = _with_files(lake_df, spec.name)
@@ -194,6 +210,9 @@ def write_serving(spark: SparkSession, lake_df: DataFrame, spec: DatasetSpec, db
         laid_out = out.repartition(buckets, *spec.bucket_by)
     elif layout in ("range", "zorder"):
         n = range_count(input_bytes, max_ranges=max_ranges, parallelism=spark.sparkContext.defaultParallelism)
+        if n:
+            in_sort = sort_bytes(lake_df.count(), out.schema, input_bytes)      # the count reads the lake's footers
+            n = max(n, range_count(in_sort, SORT_BYTES, max_ranges))
         if n == max_ranges:
             log.warning("%s: the range count is at its bound of %d; ranges hold more than %d MB",
                         spec.name, max_ranges, TARGET_FILE_BYTES >> 20)

@@ -161,3 +161,14 @@ def test_file_columns_win_over_path_values(spark, tmp):
     plain = read_lake(spark, path, specs.PRINCIPALS)                     # by discovery the directory's value wins
     assert plain.where("category = 'elsewhere'").count() == 5
     assert read_lake_own_columns(spark, tmp + "/absent", specs.PRINCIPALS).count() == 0
+
+
+def test_a_write_task_sorts_a_bounded_share(spark, tmp):
+    """Some 60 MB of shuffled rows of one directory: several tasks, so that the
+    memory of one task's sort does not follow the directory's size."""
+    from mediamart.session import apply_conf
+    apply_conf(spark)
+    df = spark.range(0, 1_000_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("tconst"), F.lit("actor").alias("category"))
+    write_lake(df, os.path.join(tmp, "wide"), ["category"])
+    assert len(glob.glob(os.path.join(tmp, "wide", "category=actor", "*.parquet"))) > 1
+    assert spark.read.parquet(os.path.join(tmp, "wide")).count() == 1_000_000

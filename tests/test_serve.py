@@ -444,3 +444,23 @@ def test_partition_flow_names_where_rows_were_lost(spark):
                                         (0, None): (4, 1, 2, 3, True)}
     short = flow(lake.where("category <> 'actor'"))
     assert short[1, "actor"] == (2, 1, 0, 0, False) and short[1, "unknown"][-1] and not short[0, None][-1]
+
+
+def test_ranges_follow_the_memory_of_their_sort(spark, tmp, monkeypatch):
+    """Narrow rows take many times their stored size in a sort: the ranges come
+    from that, and stay as large when the table grows."""
+    import uuid
+
+    from mediamart import specs
+    from mediamart.sinks import serve
+    schema, mb = specs.PRINCIPALS.lake_schema, 1 << 20
+    few = serve.range_count(serve.sort_bytes(33_000_000, schema, 291 * mb), serve.SORT_BYTES)
+    many = serve.range_count(serve.sort_bytes(6 * 33_000_000, schema, 6 * 291 * mb), serve.SORT_BYTES)
+    assert few > serve.range_count(291 * mb) and abs(many - 6 * few) <= 6
+    monkeypatch.setattr(serve, "SORT_BYTES", 64 * 1024)
+    rows = [(f"tt{i}", i % 9, f"nm{i % 50}", "actor", None, None) for i in range(4000)]
+    db = "t_" + uuid.uuid4().hex[:8]
+    serve.ensure_database(spark, db, f"{tmp}/_db")
+    stats = serve.write_serving(spark, spark.createDataFrame(rows, schema), specs.PRINCIPALS, db, tmp, input_bytes=20_000)
+    assert stats["rows"] == 4000 and stats["files_written"] > 4
+    assert serve.read_serving(spark, db, "principals").count() == 4000
