@@ -553,8 +553,10 @@ def q_distinct_types(spark, sf_dir):
     "A8 rows, bytes and files per lake dataset and serving table, against the sizes that the rows' own files give")
 def q_storage_report(spark, sf_dir):
     stored = wb(spark, sf_dir).stored()
-    files = checks._union([df.select(F.lit(layer).alias("layer"), F.lit(n).alias("tbl"), F.col("_metadata.file_path").alias("file"),
-                                     F.col("_metadata.file_size").alias("size")) for (layer, n), (df, _, _) in stored.items()])
+    # the first row of every file stands for it, so only those are grouped
+    files = checks._union([df.where(F.col("_metadata.row_index") == 0).select(
+        F.lit(layer).alias("layer"), F.lit(n).alias("tbl"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size")) for (layer, n), (df, _, _) in stored.items()])
     files = files.groupBy("layer", "tbl", "file").agg(F.max("size").alias("size")).groupBy("layer", "tbl").agg(
         F.sum("size").alias("real_bytes"), F.count(F.lit(1)).alias("real_files"))
     return checks.storage_report(stored).join(files, ["layer", "tbl"]).select(

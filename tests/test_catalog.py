@@ -110,3 +110,8 @@ def test_a_slot_keeps_one_copy(spark):
     once = size_bytes(spark, root)
     catalog.queries()["lake_rebuild"](spark, SF_SMALL).collect()
     assert size_bytes(spark, root) < 1.01 * once
+
+
+def test_storage_report_groups_files_not_rows(spark):
+    plan = catalog.queries()["storage_report"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Filter .*row_index.* = 0", plan)) == 8      # both layers of four tables
