@@ -26,6 +26,7 @@ empty table gives an empty result; columns of the input pass through untouched.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,39 +34,90 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediamart.llm.blocks import chunks, gather, packed, ranges, rest_columns, text_values, unpacked
-from mediamart.llm.common import id_remainder, ship, slices, unused, written
+from mediamart.llm.common import id_remainder, ship, slices, text_bytes, unused, written
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 SMOOTHING = 0.5
 ROUNDS, REFIT_ROUNDS, SETTLED = 12, 4, 1e-7
-WORDS_HELD = 200_000
+WORDS_HELD = 32 << 20        # bytes of words that are counted together
+SCORED_BYTES, FOLDED_AT_ONCE = 4 << 20, 1 << 18
 BLOCK_BYTES, BLOCK_LEVEL = 12 << 20, 5           # blocks are written and shuffled once: zstd level for less disk
 GROUP_COUNTS, GROUP_ASKED, LEAST_GROUPS = 500_000, 2_000_000, 9
 CELLS, CELLS_AT_ONCE = 8 << 20, 1 << 19       # words x languages of a run, and pairs x languages of a step
-UNKNOWN = "und"
+UNKNOWN, BORDER = "und", 2
+SPECIAL = "\u0130", "\u03a3"         # lower case of the first is two characters, that of the second depends on its place
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "struct<lang:string,score:double,known:double>"
 
 
-def words_of(text: bytes) -> list[str]:
-    return WORD.findall(text.decode().lower())
+@lru_cache
+def _folded(bits: int) -> np.ndarray:
+    """Each code point below ``1 << bits`` in lower case, or BORDER if that is
+    part of no word; SPECIAL ones are lowered before."""
+    lower = "".join(map(chr, range(min(1 << bits, 0x110000)))).replace(SPECIAL[0], SPECIAL[0].lower()[0]).lower()
+    codes = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = np.full(len(codes), BORDER, np.uint32)
+    for m in WORD.finditer(lower):
+        out[m.start():m.end()] = codes[m.start():m.end()]
+    return out
 
 
-def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every trigram of every word (with a border mark on both sides),
-    and the number of the word it is from. A key holds three code points."""
-    codes = np.frombuffer(("\x02" + "\x02".join(words) + "\x02").encode("utf-32-le"), np.uint32).astype(np.int64)
+@lru_cache
+def _kinds(bits: int) -> np.ndarray:
+    """Of each code point: 1 if it is alphabetic, plus 2 if it is not numeric."""
+    return np.array([c.isalpha() + 2 * (not c.isnumeric()) for c in map(chr, range(min(1 << bits, 0x110000)))], np.uint8)
+
+
+def _bits(codes: np.ndarray) -> int:
+    return int(codes.max()).bit_length()
+
+
+def words_of(values: list[bytes]) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """How many words each text has, and the words of all texts in their order,
+    in lower case, as code points of four bytes."""
+    count, size, letters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for a, b in chunks([len(v) for v in values]):
+        texts = [v.decode() for v in values[a:b]]
+        texts = [t.lower() if any(c in t for c in SPECIAL) else t for t in texts]
+        raw = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le"), np.uint32)
+        folded, codes = _folded(_bits(raw)), np.empty_like(raw)
+        for i in range(0, len(raw), FOLDED_AT_ONCE):
+            codes[i:i + FOLDED_AT_ONCE] = folded[raw[i:i + FOLDED_AT_ONCE]]
+        letter = codes != BORDER
+        edge = np.flatnonzero(letter[1:] != letter[:-1])     # before the first and at the last letter of each word
+        count.append(np.diff(np.searchsorted(edge[::2], np.cumsum([len(t) + 1 for t in texts])), prepend=0))
+        size.append(edge[1::2] - edge[::2])
+        letters.append(codes[letter])
+    ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *size])) * 4
+    return np.concatenate(count), pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(letters))])
+
+
+def distinct(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each word, by first appearance; the sizes of the distinct
+    words in that order, and their letters one after the other."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    coded = words.dictionary_encode()
+    _, ends, letters = coded.dictionary.buffers()
+    ends = np.frombuffer(ends, np.int64, len(coded.dictionary) + 1)
+    return np.asarray(coded.indices).astype(np.int64), np.diff(ends) // 4, np.frombuffer(letters, np.uint32, int(ends[-1]) // 4)
+
+
+def keys_of(size: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """Key of every trigram of every word, with a border mark on both sides: a
+    word has as many as letters. A key holds three code points."""
+    place = np.arange(len(letters)) + np.repeat(np.arange(1, len(size) + 1), size)
+    codes = np.full(len(letters) + len(size) + 1, BORDER, np.int64)
+    codes[place] = letters
     key = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
-    inner = codes[1:-1] != 2          # a trigram whose middle is a border belongs to no word
-    owner = np.cumsum(codes[:-2] == 2) - 1
-    # the trigram that starts at a border belongs to the word after it
-    return key[inner], owner[inner]
+    return key[place - 1]             # a trigram whose middle is a border belongs to no word
 
 
-class _Index(dict):
-    def __missing__(self, key):
-        n = self[key] = len(self)
-        return n
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the trigrams of plain words, and the number of the word each is from."""
+    size = np.array([len(w) for w in words], np.int64)
+    return keys_of(size, np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)), np.repeat(np.arange(len(words)), size)
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -73,30 +125,30 @@ def count_grams(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches):
-        index, held = _Index(), {}
+        held, size = {}, 0
 
         def flush():
-            keys, owner = trigrams(list(index))
             for lang, parts in held.items():
-                weight = np.bincount(np.concatenate(parts), minlength=len(index))
-                gram, at = np.unique(keys, return_inverse=True)
-                n = np.bincount(at, weights=weight[owner]).astype(np.int64)
-                some = n > 0
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * int(some.sum()), pa.string()),
-                                                  "gram": pa.array(gram[some]), "n": pa.array(n[some])})
-            index.clear()
-            held.clear()
+                word, long, letters = distinct(pa.concat_arrays(parts))
+                gram, at = np.unique(keys_of(long, letters), return_inverse=True)
+                n = np.bincount(at, weights=np.repeat(np.bincount(word), long)).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(gram), pa.string()),
+                                                  "gram": pa.array(gram), "n": pa.array(n)})
 
         for batch in batches:
             for part in slices(batch, 1):
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    words = words_of(text.encode())
-                    if words:
-                        held.setdefault(lang, []).append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-                if len(index) > WORDS_HELD or sum(len(x) for x in held.values()) > 4000:
+                by = {}
+                for lang, text in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
+                    by.setdefault(lang, []).append(text)
+                for lang, values in by.items():
+                    words = words_of(values)[1]
+                    if len(words):
+                        held.setdefault(lang, []).append(words)
+                        size += words.nbytes
+                if size > WORDS_HELD:
                     yield from flush()
-        if held:
-            yield from flush()
+                    held, size = {}, 0
+        yield from flush()
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -129,22 +181,20 @@ class Counts:
         place = np.repeat(np.arange(len(key)), size)
         return place, np.arange(len(place)) + np.repeat(self.start[at] - np.cumsum(size) + size, size)
 
-    def words(self, words: list[str], unknown: np.ndarray) -> np.ndarray:
-        """Log likelihood of each word in each language; ``unknown[l]`` is that
-        of a trigram without a count."""
-        out = np.empty((len(words), len(unknown)))
-        if not words:
-            return out
+    def words(self, size: np.ndarray, letters: np.ndarray, unknown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log likelihood of each word (``size`` of the letters each) in each
+        language, and whether one of its trigrams has a count; ``unknown[l]``
+        is the likelihood of a trigram without one."""
+        out, met = size[:, None] * unknown, np.zeros(len(size), bool)
         more = np.log1p(self.n / SMOOTHING)      # what a count adds to ``unknown``
-        step = max(1, CELLS_AT_ONCE // len(unknown))
-        for a in range(0, len(words), step):
-            key, owner = trigrams(words[a:a + step])
-            part = out[a:a + step]
-            part[:] = np.bincount(owner, minlength=len(part))[:, None] * unknown
-            place, entry = self.entries(key)
-            part += np.bincount(owner[place] * len(unknown) + self.lang[entry], weights=more[entry],
-                                minlength=part.size).reshape(part.shape)
-        return out
+        ends, step = np.cumsum(size), max(1, CELLS_AT_ONCE // len(unknown))
+        for a in range(0, len(size), step):
+            some, part = size[a:a + step], out[a:a + step]
+            place, entry = self.entries(keys_of(some, letters[ends[a] - size[a]:ends[a + len(some) - 1]]))
+            owner = np.repeat(np.arange(len(some)), some)[place]
+            met[a + owner] = True
+            part += np.bincount(owner * len(unknown) + self.lang[entry], weights=more[entry], minlength=part.size).reshape(part.shape)
+        return out, met
 
 
 def fit(docs: DataFrame) -> Model:
@@ -163,85 +213,83 @@ def mixtures(ll: np.ndarray, doc: np.ndarray, n: np.ndarray, docs: int, word: np
     rows (doc, word, count), which are sorted by doc; ``ll[word]`` are a row's
     likelihoods (without ``word``: ll has a row for each). Languages outside
     the set chosen by penalised likelihood have proportion 0."""
-    langs = ll.shape[1]
     word = np.arange(len(doc)) if word is None else word
-    like = np.exp(ll - ll.max(1, keepdims=True))
+    like = ll - ll.max(1, keepdims=True)
+    like = np.ascontiguousarray(np.exp(like, out=like).T)
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    present = doc[first]
-    total = np.add.reduceat(n, first)
-    owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(doc)]))
-    step = max(1, CELLS_AT_ONCE // langs)
+    size = np.diff(np.r_[first, len(doc)])
+    out = np.zeros((docs, ll.shape[1]))
+    for a, b in chunks((size * ll.shape[1]).tolist(), CELLS_AT_ONCE):
+        rows = slice(first[a], first[a] + size[a:b].sum())
+        out[doc[first[a:b]]] = _mixed(np.take(like, word[rows], 1), n[rows], size[a:b]).T
+    return out
 
-    def shares(pi: np.ndarray, own: np.ndarray, count: np.ndarray, which: np.ndarray):
-        """Step by step the rows' counts, proportions times likelihoods, their
-        documents, and where those begin."""
-        for a in range(0, len(own), step):
-            o = own[a:a + step]
-            cut = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-            yield count[a:a + step], pi[o] * like[which[a:a + step]], o[cut], cut
+
+def _mixed(like: np.ndarray, n: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Proportions (languages x documents) of a few documents, the likelihoods
+    (languages x rows) and counts of whose ``size`` rows follow each other."""
+    langs, first = len(like), np.cumsum(size) - size
+    total = np.add.reduceat(n, first)
 
     def rounds(pi: np.ndarray, times: int, open_: np.ndarray) -> np.ndarray:
         """``times`` rounds for the documents of ``open_``, each until no
         proportion of it moves by more than SETTLED."""
-        pi, own, count, which = pi.copy(), owner, n, word
+        pi, at, own, count, rows = pi.copy(), np.arange(len(size)), like, n, size
         for _ in range(times):
-            keep = open_[own]
-            if not keep.all():
-                own, count, which = own[keep], count[keep], which[keep]
-            if not len(own):
+            if not open_.all():
+                keep = np.repeat(open_, rows)
+                at, own, count, rows = at[open_], np.compress(keep, own, 1), count[keep], rows[open_]
+            if not len(at):
                 break
-            new = np.zeros_like(pi)
-            for c, share, to, cut in shares(pi, own, count, which):
-                share *= (c / np.maximum(share.sum(1), 1e-300))[:, None]
-                new[to] += np.add.reduceat(share, cut)
-            at = np.flatnonzero(open_)
-            moved = new[at] / total[at, None]
-            still = np.abs(moved - pi[at]).max(1) > SETTLED
-            pi[at] = moved
-            open_ = np.zeros(len(pi), bool)
-            open_[at[still]] = True
+            was, cut, share = pi[:, at], np.cumsum(rows) - rows, np.zeros(len(count))
+            held = np.flatnonzero(was.any(1))
+            for j in held:
+                share += own[j] * np.repeat(was[j], rows)
+            share = count / np.maximum(share, 1e-300)
+            new = np.zeros_like(was)
+            for j in held:
+                # without a share there may be no finite sum
+                new[j] = np.where(was[j] > 0, np.add.reduceat(own[j] * share, cut), 0) * was[j] / total[at]
+            pi[:, at] = new
+            open_ = np.abs(new - was).max(0) > SETTLED
         return pi
 
-    pi = rounds(np.full((len(first), langs), 1.0 / langs), ROUNDS, np.ones(len(first), bool))
-    order = np.argsort(-pi, axis=1, kind="stable")
-    rank = np.argsort(order, axis=1, kind="stable")
-    # the fit of each document's first 1, 2, ... languages at once: running sums by rank
-    norm = np.log(np.maximum(np.cumsum(np.take_along_axis(pi, order, 1), 1), 1e-300))
-    fit_, at = np.zeros_like(pi), 0
-    for count, share, to, cut in shares(pi, owner, n, word):
-        o = owner[at:at + len(count)]
-        at += len(count)
-        held = np.log(np.maximum(np.cumsum(np.take_along_axis(share, order[o], 1), 1), 1e-300)) - norm[o]
-        fit_[to] += np.add.reduceat(held * count[:, None], cut)
-    cost = -2 * fit_ + np.arange(langs) * np.log(total)[:, None]
-    chosen = np.argmax(cost <= cost.min(1, keepdims=True) + 1e-9, axis=1) + 1       # the smaller set of equals
-    part = np.where(rank < chosen[:, None], pi, 0)
-    out = np.zeros((docs, langs))
+    pi = rounds(np.full((langs, len(size)), 1.0 / langs), ROUNDS, np.ones(len(size), bool))
+    order = np.argsort(-pi, axis=0, kind="stable")
+    rank = np.argsort(order, axis=0, kind="stable")
+    # the fit of each document's first 1, 2, ... languages: running sums by rank
+    falling = np.take_along_axis(pi, order, 0)
+    norm = np.log(np.maximum(np.cumsum(falling, 0), 1e-300))
+    cost, held, row = np.empty_like(pi), np.zeros(len(n)), np.arange(len(n))
+    for k in range(langs):
+        held += like[np.repeat(order[k], size), row] * np.repeat(falling[k], size)
+        cost[k] = k * np.log(total) - 2 * np.add.reduceat((np.log(np.maximum(held, 1e-300)) - np.repeat(norm[k], size)) * n, first)
+    chosen = np.argmax(cost <= cost.min(0) + 1e-9, axis=0) + 1       # the smaller set of equals
+    part = np.where(rank < chosen, pi, 0)
     # a set of one language is settled already
-    out[present] = rounds(part / part.sum(1, keepdims=True), REFIT_ROUNDS, chosen > 1)
-    return out
+    return rounds(part / part.sum(0), REFIT_ROUNDS, chosen > 1)
 
 
 def identify(values: list[bytes], langs: list[str], unknown: np.ndarray, counts: Counts) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and share of known words of each text."""
     lang, score, known = [UNKNOWN] * len(values), np.zeros(len(values)), np.zeros(len(values))
-    each = [words_of(v) for v in values]
-    lettered = [i for i, words in enumerate(each) if any(not w.isnumeric() and any(map(str.isalpha, w)) for w in words)]
-    for a, b in chunks([len(each[i]) * len(langs) for i in lettered], CELLS):
-        part, index = lettered[a:b], _Index()
-        ids = [np.fromiter(map(index.__getitem__, each[i]), np.int64, len(each[i])) for i in part]
-        owner = np.repeat(np.arange(len(part)), [len(x) for x in ids])
-        pair, n = np.unique(owner * len(index) + np.concatenate(ids), return_counts=True)
-        doc, word = np.divmod(pair, len(index))
-        likelihood = counts.words(list(index), unknown)
-        floor = np.fromiter(map(len, index), np.int64, len(index))[:, None] * unknown
-        met = (likelihood > floor + 1e-9).any(1)
-        known[part] = np.bincount(doc, n * met[word], len(part)) / np.bincount(doc, n, len(part))
-        pi = mixtures(likelihood, doc, n.astype(float), len(part), word)
+    count, words = words_of(values)
+    ends = np.cumsum(count)
+    for a, b in chunks((count * len(langs)).tolist(), CELLS):
+        word, size, letters = distinct(words[ends[a] - count[a]:ends[b - 1]])
+        if not len(word):
+            continue
+        pair, n = np.unique(np.repeat(np.arange(b - a), count[a:b]) * len(size) + word, return_counts=True)
+        doc, word = np.divmod(pair, len(size))
+        kinds = np.bitwise_or.reduceat(_kinds(_bits(letters))[letters], np.cumsum(size) - size)
+        lettered = np.flatnonzero(np.bincount(doc, kinds[word] == 3, b - a))
+        likelihood, met = counts.words(size, letters, unknown)
+        pi = mixtures(likelihood, doc, n.astype(float), b - a, word)
         top = pi.argmax(1)
-        for j, i in enumerate(part):
-            lang[i] = langs[top[j]]
-        score[part] = np.minimum(pi[np.arange(len(pi)), top], 1.0)
+        for i in lettered:
+            lang[a + i] = langs[top[i]]
+        score[a + lettered] = np.minimum(pi[lettered, top[lettered]], 1.0)
+        known[a + lettered] = (np.bincount(doc, n * met[word], b - a) / np.maximum(count[a:b], 1))[lettered]
     return lang, score, known
 
 
@@ -255,17 +303,9 @@ def _ask(batches):
     """The distinct trigrams of each block, ascending."""
     for batch in batches:
         for row in batch.to_pylist():
-            held, index = np.zeros(0, np.int64), _Index()
-
-            def seen():
-                return np.union1d(held, trigrams(list(index))[0]) if index else held
-            for text in text_values(row):
-                for w in words_of(text):
-                    index[w]
-                if len(index) > WORDS_HELD:
-                    held = seen()
-                    index.clear()
-            held = seen()
+            held, values = np.zeros(0, np.int64), text_values(row)
+            for a, b in chunks(row["size"]):
+                held = np.union1d(held, keys_of(*distinct(words_of(values[a:b])[1])[1:]))
             yield pa.RecordBatch.from_pylist([{"block": row["block"], "asked": len(held), "keys": packed(np.diff(held, prepend=0))}], _ASKED)
 
 
@@ -329,7 +369,7 @@ def predict(docs: DataFrame, model: Model, column: str, text_col: str = "text")
         out = []
         for row in block.to_pylist():
             values, lang, share, met = text_values(row), [], [], []
-            for a, b in chunks(row["size"]):
+            for a, b in chunks(row["size"], SCORED_BYTES):
                 x, y, z = identify(values[a:b], langs, unknown, counts)
                 lang += x
                 share.append(y)

@@ -1,5 +1,6 @@
 """Operators 2 and 5: held-out accuracy, and defined results on odd rows."""
 
+import sys
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from mediamart.llm import language_mixture as lm
 from mediamart.llm import quality_rules as qr
 from mediamart.llm import registry
+from mediamart.llm.blocks import zipped
 
 SF = "/root/testdata/sf0.01"
 
@@ -185,3 +187,100 @@ def test_language_sets_equal_plain_comparison():
             cost.append(-2 * float((n * np.log((part / part.sum() * like).sum(1).clip(1e-300))).sum()) + (k - 1) * np.log(n.sum()))
         got = lm.mixtures(ll, np.zeros(80, int), n, 1)[0]
         assert set(np.flatnonzero(got > 0)) == set(order[:int(np.argmin(cost)) + 1])
+
+
+def plain_words(value):
+    return lm.WORD.findall(value.decode().lower())
+
+
+def as_text(words):
+    return [w.decode("utf-32-le") for w in words.to_pylist()]
+
+
+def test_words_equal_plain_words():
+    """Every code point alone, inside and at the end of a word; texts, of which
+    none runs into the next, with and without the letters of special lower case."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    usual = [c for c in points if c not in lm.SPECIAL]
+    values = [f"{c} a{c}B Z{c}".encode() for c in points[:0x3000]]
+    values += ["\n".join(f"{c} a{c}B Z{c}" for c in x).encode() for x in (usual, points)]
+    values += [b"", "ΟΔΟΣ".encode(), "Σ".encode(), "ΑΣ".encode(), b"a", b"B1c_d", b" ", "İI".encode(), b"\x02x\x00y"]
+    count, words = lm.words_of(values)
+    assert count.tolist() == [len(plain_words(v)) for v in values]
+    assert as_text(words) == [w for v in values for w in plain_words(v)]
+    some = ["ab", "é", "ab", "", "c", "é"]
+    number, size, letters = lm.distinct(lm.words_of([w.encode() for w in some])[1])
+    assert number.tolist() == [0, 1, 0, 2, 1] and size.tolist() == [2, 1, 1] and letters.tolist() == [97, 98, 0xE9, 99]
+    assert [len(x) for x in (*lm.words_of([]), *lm.distinct(lm.words_of([b"1"])[1]))] == [0] * 5
+
+
+def plain_mixture(like, n):
+    """Rounds, choice and refit of one document, in rows of plain arrays."""
+    def rounds(pi, times):
+        for _ in range(times):
+            share = pi * like
+            new = (share / share.sum(1, keepdims=True).clip(1e-300) * n[:, None]).sum(0) / n.sum()
+            pi, still = new, np.abs(new - pi).max() > lm.SETTLED
+            if not still:
+                break
+        return pi
+    pi = rounds(np.full(like.shape[1], 1 / like.shape[1]), lm.ROUNDS)
+    order = np.argsort(-pi, kind="stable")
+    cost = []
+    for k in range(1, len(order) + 1):
+        part = np.where(np.isin(np.arange(len(order)), order[:k]), pi, 0)
+        cost.append(-2 * (n * np.log((part / part.sum() * like).sum(1).clip(1e-300))).sum() + (k - 1) * np.log(n.sum()))
+    k = int(np.argmax(np.array(cost) <= min(cost) + 1e-9)) + 1
+    part = np.where(np.isin(np.arange(len(order)), order[:k]), pi, 0)
+    return rounds(part / part.sum(), lm.REFIT_ROUNDS if k > 1 else 0)
+
+
+@pytest.mark.parametrize("langs, cells", [(1, 64), (4, 64), (4, 1 << 19), (7, 300)])
+def test_mixtures_equal_plain_rounds(monkeypatch, langs, cells):
+    """Documents of any length beside each other, one without a row, also words
+    that a language can not say at all."""
+    monkeypatch.setattr(lm, "CELLS_AT_ONCE", cells)
+    rng = np.random.default_rng(16)
+    size = np.array([1, 40, 3, 0, 200, 17, 2, 90])
+    doc = np.repeat(np.arange(len(size)), size)
+    ll = -rng.exponential(4, (150, langs)) * rng.choice([1, 1, 300], (150, 1))
+    word, n = rng.integers(0, 150, len(doc)), rng.integers(1, 9, len(doc)).astype(float)
+    got = lm.mixtures(ll, doc, n, len(size), word)
+    like = np.exp(ll - ll.max(1, keepdims=True))
+    assert not got[3].any()
+    for d in np.flatnonzero(size):
+        assert got[d] == pytest.approx(plain_mixture(like[word[doc == d]], n[doc == d]), abs=1e-6)
+
+
+def test_identify_on_texts_with_and_without_letters():
+    counts = lm.Counts(*(np.array(x) for x in zip(*[(g, j, 5) for j, w in enumerate(["abab", "cdcd"]) for g in set(lm.trigrams([w])[0].tolist())])))
+    unknown = np.log(0.5 / (np.array([20, 20]) + 0.5 * (len(counts.grams) + 1)))
+    values = [b"abab", b"", b"12 _", "一".encode(), "Ⅷ ²".encode(), b"cdcd CDCD zz", "一 一丁甲".encode(), b"abab cdcd"]
+    lang, score, known = lm.identify(values, ["x", "y"], unknown, counts)
+    assert lang == ["x", "und", "und", "und", "und", "y", "x", lang[7]] and score[1:5].tolist() == known[1:5].tolist() == [0] * 4
+    assert known[[0, 5, 6, 7]] == pytest.approx([1, 2 / 3, 0, 1]) and (score[[0, 5, 6, 7]] > 0).all()
+
+
+@pytest.mark.parametrize("step", ["identify", "ask"])
+def test_words_are_not_handled_one_by_one(step):
+    """CPU time a word: 20,000 different words take far fewer calls than words."""
+    rng = np.random.default_rng(17)
+    values = [" ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (1000, 8))).encode() for _ in range(20)]
+    counts = lm.Counts(lm.trigrams(["abcdefgh"])[0], np.zeros(8, np.int64), np.ones(8, np.int64))
+    row = {"block": 1, "size": [len(v) for v in values], "texts": zipped(b"".join(values))}
+    batch = lm.pa.RecordBatch.from_pylist([row])
+    calls = 0
+
+    def seen(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(seen)
+    try:
+        if step == "identify":
+            lm.identify(values, ["x"], np.array([-5.0]), counts)
+        else:
+            list(lm._ask([batch]))
+    finally:
+        sys.setprofile(None)
+    assert calls < 5000
